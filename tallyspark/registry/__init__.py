@@ -1,7 +1,7 @@
 """Registered queries over the test tables, each next to the SQL that must give the same rows."""
 
 from tallyspark.registry.base import QUERIES, SQL
-from tallyspark.registry import valuation  # noqa: F401
+from tallyspark.registry import movements, returns, valuation  # noqa: F401
 
 
 def all_queries():
