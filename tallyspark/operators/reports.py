@@ -24,21 +24,28 @@ def control_report(
 
     ``sums`` and ``distinct`` map result names to input columns. ``row_kind`` tells the three kinds apart and
     ``grouped_by`` names the column of a subtotal; display columns that are not grouped are NULL, and a NULL label is a
-    group of its own. Distinct counts of subtotals are counted anew; with ``additive`` they are the sum of the detail
-    counts. The input is aggregated to the display columns (plus the counted keys) before subtotals multiply rows.
+    group of its own. Subtotals are rounded last and count distinct keys anew; with ``additive`` they add up the
+    detail rows as shown. The input is aggregated to the display columns (plus the counted keys) before subtotals
+    multiply rows.
     """
     distinct = dict(distinct or {})
     keys = list(dict.fromkeys(distinct.values()))
-    base = df.groupBy(*display, *keys).agg(*(F.sum(column).alias(name) for name, column in sums.items()))
+    base = df.select(*display, *keys, *(F.col(column).alias(name) for name, column in sums.items()))
+    if sums:
+        base = base.groupBy(*display, *keys).agg(*(F.sum(name).alias(name) for name in sums))
+    else:
+        base = base.distinct()
 
     def measures(counting: bool) -> list[Column]:
-        totals = [F.sum(name).cast(sum_type).alias(name) for name in sums]
-        if counting:
-            return [F.countDistinct(key).alias(name) for name, key in distinct.items()] + totals
-        return [F.sum(name).cast("bigint").alias(name) for name in distinct] + totals
+        counts = [
+            F.countDistinct(key).alias(name) if counting else F.sum(name).cast("bigint").alias(name)
+            for name, key in distinct.items()
+        ]
+        return counts + [F.sum(name).cast(sum_type).alias(name) for name in sums]
 
     detail = base.groupBy(*display).agg(*measures(counting=True))
-    source, counting = (detail, False) if additive or not distinct else (base, True)
+    source = detail if additive else base
+    counting = not additive
     columns = [F.col(name) for name in display]
     sets = [[column] for column in columns] + [[]]
     not_grouped = {name: F.grouping(name) for name in display}

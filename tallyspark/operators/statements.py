@@ -143,28 +143,30 @@ def statement_header(
     return _audit(with_balances(numbered, front, require_subtotal), user)
 
 
-def window_periods(returns: DataFrame, periods: DataFrame, chosen: DataFrame, term: Term) -> DataFrame:
-    """Clients' formats with the first and last period that has returns inside their front window.
+def window_bounds(returns: DataFrame, formats: DataFrame, periods: DataFrame, term: Term) -> DataFrame:
+    """First and last period with returns inside each front window length.
 
-    The distinct periods (one per month of history) become one array in a scalar subquery, so no join is needed.
+    The months of a window are enumerated, so periods meet them in an equi-join. Every side has one row per month or
+    per window length.
     """
-    present = returns.select("period_id").distinct().join(
-        broadcast_if_small(periods.select("period_id", period_start(F.col("period")).alias("starts"))), "period_id"
+    first_month = lookback_start(F.lit(term.start), F.col("front_months"), inclusive=False)
+    months = formats.select("front_months").distinct().select(
+        "front_months", F.explode(F.sequence(first_month, F.lit(term.start), F.expr("INTERVAL 1 MONTH"))).alias("starts")
     )
-    all_periods = present.agg(F.array_sort(F.collect_set(F.struct("starts", "period_id"))).alias("all")).scalar()
-    lower = lookback_start(F.lit(term.start), F.col("front_months"), inclusive=False)
-    inside = F.filter(all_periods, lambda p: p["starts"].between(lower, F.lit(term.end)))
-    months = chosen.select("front_months").distinct().select(
-        "front_months",
-        F.get(inside, F.lit(0))["period_id"].alias("first_period"),
-        F.element_at(inside, -1)["period_id"].alias("last_period"),
+    present = returns.select("period_id").distinct().join(broadcast_if_small(_period_starts(periods)), "period_id")
+    return months.join(present, "starts").groupBy("front_months").agg(
+        F.min_by("period_id", "starts").alias("first_period"), F.max_by("period_id", "starts").alias("last_period")
     )
-    return chosen.join(broadcast_if_small(months), "front_months")
+
+
+def _period_starts(periods: DataFrame) -> DataFrame:
+    return periods.select("period_id", period_start(F.col("period")).alias("starts"))
 
 
 def statement_front(
     returns: DataFrame,
     chosen: DataFrame,
+    formats: DataFrame,
     lines: DataFrame,
     periods: DataFrame,
     term: Term,
@@ -181,9 +183,8 @@ def statement_front(
     due = chosen.filter(is_due(F.lit(term.end), F.col("generation_months"))).select(
         "account_id", "format_id", "generation_id", "front_months"
     )
-    windows = window_periods(returns, periods, due, term)
-    starts = periods.select("period_id", period_start(F.col("period")).alias("starts"))
-    rows = returns.join(broadcast_if_small(starts), "period_id").join(windows, "account_id")
+    windows = due.join(broadcast_if_small(window_bounds(returns, formats, periods, term)), "front_months", "left")
+    rows = returns.join(broadcast_if_small(_period_starts(periods)), "period_id").join(windows, "account_id")
     inside = in_window(
         F.col("starts"), F.lit(term.start), F.lit(term.end), F.col("front_months"), inclusive=False
     )
@@ -252,9 +253,7 @@ def statement_back(
     already reduced. Only movements of due months count; with ``due_on_term`` the month of the statement decides.
     """
     concepts = bridge.select("concept_id", "regulator_id").join(regulator_concepts, "regulator_id")
-    starts = periods.select("period_id", period_start(F.col("period")).alias("starts")).filter(
-        F.col("starts") <= F.lit(term.end)
-    )
+    starts = _period_starts(periods).filter(F.col("starts") <= F.lit(term.end))
     summed = (
         movements.join(broadcast_if_small(starts), "period_id")
         .join(broadcast_if_small(concepts), "concept_id")

@@ -1,7 +1,9 @@
 """Registered queries over the test tables, each next to the SQL that must give the same rows."""
 
 from tallyspark.registry.base import QUERIES, SQL
-from tallyspark.registry import clients, movements, returns, selection, upkeep, valuation  # noqa: F401
+from tallyspark.registry import (  # noqa: F401
+    clients, control, movements, returns, selection, statements, upkeep, valuation, withdrawals,
+)
 
 
 def all_queries():

@@ -529,3 +529,9 @@ def phase(spark: SparkSession, folder: str) -> DataFrame:
         "('error', '00:01', '00:02')"
     )
     return _literal(spark, f"{values} AS t(phase_id, green, yellow)")
+
+
+def concept(spark: SparkSession, folder: str) -> DataFrame:
+    """Descriptions of movement concepts."""
+    values = ", ".join(f"({n}, 'CONCEPTO {n}')" for n in range(1, 8))
+    return _literal(spark, f"{values} AS t(concept_id, description)")
