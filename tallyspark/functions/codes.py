@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 CREDIT_TYPE = 180
 CHARGE_TYPE = 181
 MOVEMENT_ORIGIN = "M"
+CURRENT_ORIGIN, LEGACY_ORIGIN = "MIT", "INTEGRITY"
 BALANCE_KIND = "F"
 RECODED_MOVEMENT = 117
 RECODE_FROM = 114

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,17 +117,22 @@ def has_generation_mark(label: Column) -> Column:
     return label.contains(first) | label.contains(second)
 
 
+def _marked_subaccounts(subaccounts: DataFrame) -> DataFrame:
+    marked = has_generation_mark(F.col("label")).cast("int").alias("_marked")
+    return broadcast_if_small(subaccounts.select("subaccount_id", marked).distinct())
+
+
+def _generation(highest_mark: Column) -> Column:
+    return F.when(highest_mark == 1, codes.AFORE).when(highest_mark == 0, codes.TRANSITION)
+
+
 def generation_of(history: DataFrame, subaccounts: DataFrame) -> DataFrame:
     """Generation per account: the older one if any of its sub-accounts is marked, else transition.
 
     Only one flag per account is shuffled, after combining map-side.
     """
-    marked = broadcast_if_small(
-        subaccounts.select("subaccount_id", has_generation_mark(F.col("label")).cast("int").alias("_marked")).distinct()
-    )
-    per_account = history.select("account_id", "subaccount_id").join(marked, "subaccount_id")
-    generation = F.when(F.max("_marked") == 1, codes.AFORE).otherwise(codes.TRANSITION)
-    return per_account.groupBy("account_id").agg(generation.alias("generation"))
+    per_account = history.select("account_id", "subaccount_id").join(_marked_subaccounts(subaccounts), "subaccount_id")
+    return per_account.groupBy("account_id").agg(_generation(F.max("_marked")).alias("generation"))
 
 
 def bond_holders(history: DataFrame, fund_id: int | str = codes.BOND_FUND) -> DataFrame:
@@ -137,6 +140,15 @@ def bond_holders(history: DataFrame, fund_id: int | str = codes.BOND_FUND) -> Da
     return history.filter(F.col("fund_id") == fund_id).select("account_id").distinct()
 
 
+def history_profile(history: DataFrame, subaccounts: DataFrame, fund_id: int | str = codes.BOND_FUND) -> DataFrame:
+    """Generation and bond flag per account in one scan of the balance history, the largest input of the month."""
+    columns = history.select("account_id", "subaccount_id", "fund_id")
+    return columns.join(_marked_subaccounts(subaccounts), "subaccount_id", "left").groupBy("account_id").agg(
+        _generation(F.max("_marked")).alias("generation"),
+        F.max((F.col("fund_id") == fund_id).cast("int")).alias("_holds_bond"),
+    ).withColumn("is_bond", F.coalesce(F.col("_holds_bond") == 1, F.lit(False))).drop("_holds_bond")
+
+
 def pension_type(
     payments: DataFrame,
     payment_subaccounts: DataFrame,
@@ -170,25 +182,22 @@ def classify_clients(
     clients: DataFrame,
     indicators: DataFrame,
     config: DataFrame,
-    generations: DataFrame,
-    bonds: DataFrame,
+    holdings: DataFrame,
     pensions: DataFrame,
     profiles: DataFrame,
     term: Term,
 ) -> DataFrame:
     """One row per known client that has an origin, with every label and flag of the period.
 
-    Each input is brought to one row per account before the joins, so the joins share one partitioning by account and
+    ``holdings`` is the history profile. Each input is brought to one row per account before the joins, so the joins share one partitioning by account and
     no account can multiply rows. Accounts of mixed origin without any balance get the mixed generation.
     """
     base = indicator_profile(indicators, config).filter(F.col("has_origin") == 1)
     pension = pensions.groupBy("account_id").agg(F.min("pension_type").alias("pension_type"))
     profile = profiles.groupBy("account_id").agg(F.min("profile").alias("profile"))
-    bond = bonds.select("account_id").distinct().withColumn("_bond", F.lit(True))
     joined = (
         base.join(clients.select("account_id"), "account_id", "left_semi")
-        .join(generations, "account_id", "left")
-        .join(bond, "account_id", "left")
+        .join(holdings, "account_id", "left")
         .join(pension, "account_id", "left")
         .join(profile, "account_id", "left")
     )
@@ -200,7 +209,7 @@ def classify_clients(
         "origin",
         "validity",
         F.coalesce("generation", mixed).alias("generation"),
-        F.coalesce("_bond", F.lit(False)).alias("is_bond"),
+        F.coalesce("is_bond", F.lit(False)).alias("is_bond"),
         "pension_type",
         "profile",
     )

@@ -11,15 +11,14 @@ BROADCAST_ROW_LIMIT = 100_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after counting that the side has at most ``max_rows`` rows.
+    """Hint a broadcast only after looking whether the side has more than ``max_rows`` rows.
 
-    The count stops after ``max_rows + 1`` rows. A larger side is returned without a hint: Spark then shuffles both
-    sides and adaptive execution splits hot keys, so a catalog that outgrows the limit costs time, not memory. Call it
-    on narrow selections, because the limit is in rows.
+    The look stops at the first row beyond the limit and reads no columns. A larger side is returned without a hint:
+    Spark then shuffles both sides and adaptive execution splits hot keys, so a catalog that outgrows the limit costs
+    time, not memory. Call it on narrow selections, because the limit is in rows.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    is_small = df.select(F.lit(1)).offset(max_rows).isEmpty()
+    return F.broadcast(df) if is_small else df
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -148,7 +148,7 @@ def legacy_movements(
 
 def legacy_switches(concepts: DataFrame) -> DataFrame:
     """Switch rows of the legacy system from the concept catalog, each once."""
-    chosen = concepts.filter(F.col("is_switch") & (F.col("origin") == "INTEGRITY"))
+    chosen = concepts.filter(F.col("is_switch") & (F.col("origin") == codes.LEGACY_ORIGIN))
     return chosen.select("code", "slot", "subaccount_id", "ordinal").distinct()
 
 

@@ -2,7 +2,7 @@
 
 from tallyspark.registry.base import QUERIES, SQL
 from tallyspark.registry import (  # noqa: F401
-    clients, control, movements, returns, selection, statements, upkeep, valuation, withdrawals,
+    catalogs, clients, control, movements, returns, selection, statements, upkeep, valuation, withdrawals,
 )
 
 

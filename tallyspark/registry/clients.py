@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tallyspark.functions import codes
 from tallyspark.operators import clients
 from tallyspark.registry.base import TERM, VIEWS, register, with_views
@@ -98,14 +96,14 @@ def master(spark, folder):
 
 
 def client_facts(spark, folder):
-    history = roles.balance_history(spark, folder)
     catalog = roles.catalog(spark, folder)
     return clients.classify_clients(
         roles.client(spark, folder),
         roles.account_indicator(spark, folder),
         roles.indicator_config(spark, folder),
-        clients.generation_of(history, roles.subaccount_type(spark, folder)),
-        clients.bond_holders(history, TEST_BOND_FUND),
+        clients.history_profile(
+            roles.balance_history(spark, folder), roles.subaccount_type(spark, folder), TEST_BOND_FUND
+        ),
         clients.pension_type(roles.payment(spark, folder), roles.payment_subaccount(spark, folder), catalog, TERM),
         clients.investment_profile(roles.investment_group(spark, folder), catalog),
         TERM,

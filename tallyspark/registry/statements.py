@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.calendar import is_due, lookback_start, period_start
 from tallyspark.operators import statements
+from tallyspark.plans.statements import StatementConfig, build_statements
 from tallyspark.registry.base import TERM, register, with_views
 from tallyspark.registry.clients import CLASSIFY_STEPS, CLASSIFY_VIEWS, MASTER, PARTY, client_facts, master
 from tallyspark.sources import roles
@@ -157,21 +158,21 @@ def front(spark, folder):
     ).drop("created_at")
 
 
-def header(spark, folder):
-    return statements.statement_header(
-        chosen(spark, folder), master(spark, folder), front(spark, folder), TERM
-    ).drop("created_at")
-
-
-def back(spark, folder):
-    return statements.statement_back(
-        roles.dated_movement(spark, folder),
-        chosen(spark, folder),
-        roles.concept_bridge(spark, folder),
-        roles.regulator_concept(spark, folder),
-        roles.period(spark, folder),
-        TERM,
-    ).drop("created_at")
+def products(spark, folder):
+    """All statement products, for every client."""
+    config = StatementConfig(
+        formats=roles.statement_format(spark, folder),
+        periodicity=roles.periodicity(spark, folder),
+        format_indicators=roles.format_indicator(spark, folder),
+        lines=roles.front_line(spark, folder),
+        bridge=roles.concept_bridge(spark, folder),
+        regulator_concepts=roles.regulator_concept(spark, folder),
+        periods=roles.period(spark, folder),
+    )
+    return build_statements(
+        client_facts(spark, folder), master(spark, folder), roles.return_fact(spark, folder),
+        roles.dated_movement(spark, folder), config, None, TERM,
+    )
 
 
 @register(
@@ -224,7 +225,19 @@ def statement_front(spark, folder):
 
 @register("statement_header", with_views("SELECT * FROM header", *VIEWS, **STEPS))
 def statement_header(spark, folder):
-    return header(spark, folder)
+    return products(spark, folder).header.drop("created_at")
+
+
+@register(
+    "statement_front_with_id",
+    with_views(
+        "SELECT f.*, h.statement_id FROM front f JOIN header h ON h.account_id = f.account_id AND h.format_id = f.format_id",
+        *VIEWS,
+        **STEPS,
+    ),
+)
+def statement_front_with_id(spark, folder):
+    return products(spark, folder).front.drop("created_at")
 
 
 @register(
@@ -254,7 +267,7 @@ def statement_ids(spark, folder):
     ),
 )
 def statement_back(spark, folder):
-    return statements.with_statement_id(back(spark, folder), header(spark, folder), front(spark, folder))
+    return products(spark, folder).back.drop("created_at")
 
 
 @register(
@@ -276,4 +289,4 @@ def sample_links(spark, folder):
         F.col("c_custkey").alias("account_id"), F.lit(TERM.period_id).alias("period_id"),
         F.lit("Pendiente").alias("status"), F.lit(34).alias("user_id"), F.lit(5).alias("area_id"),
     )
-    return statements.sample_links(sample, header(spark, folder), TERM, URL_BASE)
+    return statements.sample_links(sample, products(spark, folder).header, TERM, URL_BASE)

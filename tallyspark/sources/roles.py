@@ -6,14 +6,29 @@ before anything is added up.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FIRST_YEAR = 1995
 
+# Declared schemas: reading does not have to open a file to infer them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _order_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,7 +52,7 @@ def period(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def period_of(day) -> "F.Column":
+def period_of(day: Column) -> Column:
     return ((F.year(day) - FIRST_YEAR) * 12 + F.month(day)).cast("int")
 
 
@@ -413,11 +428,11 @@ def dated_movement(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def return_fact(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly measures per account and sub-account."""
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    quantity = F.col("l_quantity").cast("decimal(18,2)")
+    """Monthly measures per account and sub-account. Narrow decimals add up as longs."""
+    price = F.col("l_extendedprice").cast("decimal(8,2)")
+    quantity = F.col("l_quantity").cast("decimal(8,2)")
     flag = F.col("l_returnflag")
-    zero = F.lit(0).cast("decimal(18,2)")
+    zero = F.lit(0).cast("decimal(8,2)")
 
     def total(value, name):
         return F.sum(value).cast("decimal(18,4)").alias(name)
@@ -535,3 +550,38 @@ def concept(spark: SparkSession, folder: str) -> DataFrame:
     """Descriptions of movement concepts."""
     values = ", ".join(f"({n}, 'CONCEPTO {n}')" for n in range(1, 8))
     return _literal(spark, f"{values} AS t(concept_id, description)")
+
+
+# --- catalogs ----------------------------------------------------------------------------------
+def fund_source(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "supplier").select(F.col("s_suppkey").alias("fund_id"))
+
+
+def supplier_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("catalog_id"), F.col("s_name").alias("value")
+    )
+
+
+def subaccount_source(spark: SparkSession, folder: str) -> DataFrame:
+    size = F.col("p_size")
+    return table(spark, folder, "part").select(
+        F.col("p_partkey").alias("subaccount_id"), size.alias("regime_id"), size.cast("bigint").alias("category_id")
+    )
+
+
+def concept_source(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "part").select(
+        F.col("p_partkey").alias("concept_id"),
+        F.col("p_partkey").alias("mov_subacc_id"),
+        F.when(F.col("p_brand") != "Brand#1", 3).alias("slot"),
+        (F.col("p_size") + 400).alias("legacy_code"),
+        F.col("p_name").alias("description"),
+        F.col("p_type").alias("legacy_description"),
+    )
+
+
+def concept_subaccount_source(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "part").select(
+        F.col("p_partkey").alias("mov_subacc_id"), F.col("p_size").alias("subaccount_id")
+    )
