@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.operators.movements import union_all
 from tallyspark.operators.numbering import number_rows
 
 DETAIL, SUBTOTAL, TOTAL = "detail", "subtotal", "total"
@@ -47,17 +48,19 @@ def control_report(
     source = detail if additive else base
     counting = not additive
     columns = [F.col(name) for name in display]
-    sets = [[column] for column in columns] + [[]]
-    not_grouped = {name: F.grouping(name) for name in display}
-    grouped_by = F.coalesce(*(F.when(flag == 0, F.lit(name)) for name, flag in not_grouped.items()))
-    subtotals = source.groupingSets(sets, *columns).agg(grouped_by.alias("grouped_by"), *measures(counting))
+    grouped_by = F.coalesce(*(F.when(F.grouping(name) == 0, F.lit(name)) for name in display))
+    subtotals = source.groupingSets([[column] for column in columns], *columns).agg(
+        grouped_by.alias("grouped_by"), *measures(counting)
+    )
+    total = source.agg(*measures(counting))
+    kinds = (
+        (DETAIL, detail.withColumn("grouped_by", F.lit(None).cast("string"))),
+        (SUBTOTAL, subtotals),
+        (TOTAL, total.withColumn("grouped_by", F.lit(None).cast("string"))),
+    )
     order = [*display, *distinct, *sums]
-    return detail.select(
-        F.lit(DETAIL).alias("row_kind"), F.lit(None).cast("string").alias("grouped_by"), *order
-    ).unionByName(
-        subtotals.select(
-            F.when(F.col("grouped_by").isNull(), TOTAL).otherwise(SUBTOTAL).alias("row_kind"), "grouped_by", *order
-        )
+    return union_all(df.withColumn("row_kind", F.lit(kind)) for kind, df in kinds).select(
+        "row_kind", "grouped_by", *order
     )
 
 

@@ -18,7 +18,8 @@ FORMAT = """
            o.value AS origin_code, x.value AS affiliation_code
     FROM (SELECT 10 * g + n AS format_id, g AS generation_id, front, back, origin, affiliation
           FROM (VALUES (2), (3)) AS t(g)
-          CROSS JOIN (VALUES (0, 3, 4, 1, 5), (1, 3, 1, 2, 6), (2, 2, 2, 3, 5), (3, 4, 3, 4, 6), (4, 1, 1, 1, 7))
+          CROSS JOIN (VALUES (0, 3, 4, 1, 5), (1, 3, 1, 2, 6), (2, 2, 2, 3, 5), (3, 4, 3, 4, 6), (4, 1, 1, 1, 7),
+                             (6, 2, 2, 1, 6))
                      AS u(n, front, back, origin, affiliation)) f
     JOIN (VALUES (1, 1), (2, 2), (3, 3), (4, 12)) AS a(id, months) ON a.id = f.front
     JOIN (VALUES (1, 1), (2, 2), (3, 3), (4, 12)) AS b(id, months) ON b.id = f.back

@@ -392,7 +392,7 @@ def statement_format(spark: SparkSession, folder: str) -> DataFrame:
         for generation in (2, 3)
         for number, (front, back, origin, affiliation, active) in enumerate(
             [(3, 4, 1, 5, "true"), (3, 1, 2, 6, "true"), (2, 2, 3, 5, "true"), (4, 3, 4, 6, "true"),
-             (1, 1, 1, 7, "true"), (1, 1, 2, 5, "false")]
+             (1, 1, 1, 7, "true"), (1, 1, 2, 5, "false"), (2, 2, 1, 6, "true")]
         )
     )
     return _literal(
