@@ -41,7 +41,8 @@ def client_master(
     """One row per account: the first contract (by number) of a client, with name, home address and identifiers.
 
     The account is the digits of the contract number. Role, line and home type are filtered on their own scans before
-    anything is joined; geography is a chain of size-checked lookups.
+    anything is joined; the joins by person follow each other and share one shuffle; geography is a chain of
+    size-checked lookups.
     """
     line = contracts.filter(F.col("line_id") == codes.BUSINESS_LINE).select("contract_id", "contract_number")
     holders = roles.filter(F.col("role_id") == codes.CLIENT_ROLE).select("contract_id", "person_id")
@@ -60,8 +61,8 @@ def client_master(
         line.join(holders, "contract_id")
         .join(persons, "person_id")
         .join(home, "person_id")
-        .join(places, "address_id")
         .join(identifiers_by_person(identifiers), "person_id", "left")
+        .join(places, "address_id")
         .withColumn("account_id", codes.digits_key(F.col("contract_number")))
     )
     order = [F.col(name) for name in ("contract_number", "contract_id", "person_id", "address_id")]
@@ -88,7 +89,8 @@ def indicator_values(
 def indicator_profile(indicators: DataFrame, config: DataFrame) -> DataFrame:
     """Origin, client type, validity and pension flag of every account, in one scan of the indicator table.
 
-    An account with several values of one indicator takes the first label in alphabetical order.
+    An account with several values of one indicator takes the first label in alphabetical order. Labels are compared as
+    their position in that order, so the aggregation works on integers.
     """
     columns = {
         "origin": (codes.INDICATOR_ORIGIN, codes.ORIGIN_LABELS),
@@ -101,14 +103,19 @@ def indicator_profile(indicators: DataFrame, config: DataFrame) -> DataFrame:
         broadcast_if_small(config.select("indicator_id").distinct()), "indicator_id", "left_semi"
     )
 
-    def label(indicator_id: int, labels: Mapping[str, str]) -> Column:
-        return F.min(F.when(F.col("indicator_id") == indicator_id, codes.decode(F.col("code"), dict(labels))))
+    def first_position(indicator_id: int, labels: Mapping[str, str]) -> Column:
+        ordered = sorted(labels.values())
+        positions = {code: ordered.index(label) for code, label in labels.items()}
+        return F.min(F.when(F.col("indicator_id") == indicator_id, codes.decode(F.col("code"), positions)))
+
+    def label(name: str, labels: Mapping[str, str]) -> Column:
+        return codes.decode(F.col(f"_{name}"), dict(enumerate(sorted(labels.values())))).alias(name)
 
     has_origin_row = F.max((F.col("indicator_id") == codes.INDICATOR_ORIGIN).cast("int"))
     return rows.groupBy("account_id").agg(
-        *(label(*spec).alias(name) for name, spec in columns.items()),
+        *(first_position(*spec).alias(f"_{name}") for name, spec in columns.items()),
         has_origin_row.alias("has_origin"),
-    )
+    ).select("account_id", *(label(name, labels) for name, (_, labels) in columns.items()), "has_origin")
 
 
 def has_generation_mark(label: Column) -> Column:

@@ -250,14 +250,15 @@ def statement_back(
     """Movements of the look-back window, summed per statement, regulator concept and date.
 
     Amounts are summed per account, period, concept and date before the clients are joined, so a hot account arrives
-    already reduced. Only movements of due months count; with ``due_on_term`` the month of the statement decides.
+    already reduced; concept texts are attached last. Only movements of due months count; with ``due_on_term`` the
+    month of the statement decides.
     """
-    concepts = bridge.select("concept_id", "regulator_id").join(regulator_concepts, "regulator_id")
+    texts = regulator_concepts.select("regulator_id", "section", "description")
     starts = _period_starts(periods).filter(F.col("starts") <= F.lit(term.end))
     summed = (
         movements.join(broadcast_if_small(starts), "period_id")
-        .join(broadcast_if_small(concepts), "concept_id")
-        .groupBy("account_id", "starts", "regulator_id", "section", "description", "settled_at")
+        .join(broadcast_if_small(bridge.select("concept_id", "regulator_id")), "concept_id")
+        .groupBy("account_id", "starts", "regulator_id", "settled_at")
         .agg(F.sum("amount").alias("amount"))
     )
     shown = summed.join(
@@ -267,8 +268,9 @@ def statement_back(
         & in_window(F.col("starts"), F.lit(term.start), F.lit(term.end), F.col("back_months"))
     )
     return _audit(
-        shown.groupBy(*STATEMENT_KEYS, "section", "regulator_id", "description", "settled_at")
+        shown.groupBy(*STATEMENT_KEYS, "regulator_id", "settled_at")
         .agg(F.sum("amount").cast("decimal(18,2)").alias("amount"))
+        .join(broadcast_if_small(texts), "regulator_id")
         .withColumns(
             {
                 "reference_period": F.lit(codes.UNKNOWN_REFERENCE),

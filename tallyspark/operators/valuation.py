@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.codes import BALANCE_KIND
@@ -24,12 +24,17 @@ def latest_per_group(
 ) -> DataFrame:
     """All rows of the latest day on or before ``as_of``, per key.
 
-    The latest day comes from an aggregate that combines map-side, and the rows are joined back on key and day. A
-    window would bring every row of a hot account into one task; this join is one that adaptive execution can split.
+    The history is read once. Ranks are filtered to the first, so Spark drops everything but the latest day of each key
+    that a map task has seen before it shuffles (window group limit): a hot key with many days is cut down where it is
+    read, and the shuffle does not carry the history.
     """
-    in_scope = history.filter(F.col(ts) <= as_of).withColumn("_day", F.to_date(ts))
-    latest = in_scope.groupBy(*keys).agg(F.max("_day").alias("_day"))
-    return in_scope.join(latest, [*keys, "_day"]).drop("_day")
+    by_day = Window.partitionBy(*keys).orderBy(F.to_date(ts).desc())
+    return (
+        history.filter(F.col(ts) <= as_of)
+        .withColumn("_rank", F.rank().over(by_day))
+        .filter(F.col("_rank") == 1)
+        .drop("_rank")
+    )
 
 
 def price_as_of(prices: DataFrame, as_of: Column, keys: Sequence[str] = ("fund_id", "regime_id")) -> DataFrame:
@@ -64,7 +69,8 @@ def value_balances(
     """Latest balance per account, fund, sub-account and moment, valued at the share price as of ``price_date``.
 
     Units are summed to the result grain before prices are attached: the price is constant within a group, so the
-    amount is the same and the price join sees only one row per balance. Balances without a price are dropped.
+    amount is the same and the price join sees only one row per balance. The sum needs no shuffle of its own, because
+    the rows already lie together by account, fund and sub-account. Balances without a price are dropped.
     """
     columns = [*BALANCE_KEYS, "settled_at", "units"]
     units = (

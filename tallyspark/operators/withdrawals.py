@@ -12,6 +12,7 @@ from tallyspark.operators.joins import broadcast_if_small, first_per_key
 from tallyspark.operators.movements import union_all
 from tallyspark.operators.numbering import number_rows
 from tallyspark.operators.terms import Term, stamp_period
+from tallyspark.sources.shared import written_once
 from tallyspark.operators.valuation import cutoff_date, latest_per_group, subaccount_prices
 
 PROCEDURE_COLUMNS = (
@@ -135,7 +136,8 @@ def withdrawals(
 ) -> DataFrame:
     """One row per settled folio whose procedure is a known withdrawal.
 
-    The balance date and price date default to the end of the period.
+    The balance date and price date default to the end of the period. The chosen folios, a month's withdrawals, are
+    written once because they both select the balances to value and carry the result.
     """
     requests = settled_requests(current_requests, historic_requests, term)
     settled = settlements(requests, movements, term)
@@ -144,7 +146,7 @@ def withdrawals(
     chosen = procedure_of_folio(procedures, transfers, historic_transfers, procedure_map).filter(
         F.col("procedure_name").isin(*codes.WITHDRAWAL_PROCEDURES)
     )
-    rows = per_folio.join(chosen, "folio")
+    rows = written_once(per_folio.join(chosen, "folio"), "settled")
     balance = balances_of_accounts(
         rows, history, subaccounts, prices, balance_after or term.end, price_date or term.price_date
     )
