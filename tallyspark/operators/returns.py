@@ -35,30 +35,35 @@ def commission_totals(commission_rows: DataFrame) -> DataFrame:
     return commission_rows.groupBy(*RETURN_KEYS).agg(F.sum("amount").cast("decimal(18,4)").alias("commission"))
 
 
-def flows(movements: DataFrame, term: Term) -> DataFrame:
-    """Credits and charges of the period per account and sub-account, in one pass over the movements."""
+def flow_rows(movements: DataFrame, term: Term) -> DataFrame:
+    """Credits and charges of the period, one row per movement."""
     kind = F.col("type_id")
     wanted = term.covers(F.col("settled_at")) & kind.isin(codes.CREDIT_TYPE, codes.CHARGE_TYPE)
     amount = codes.money(F.col("amount"))
-    return (
-        movements.filter(wanted)
-        .groupBy(*RETURN_KEYS)
-        .agg(
-            F.sum(F.when(kind == codes.CREDIT_TYPE, amount)).cast("decimal(18,2)").alias("credit"),
-            F.sum(F.when(kind == codes.CHARGE_TYPE, amount)).cast("decimal(18,2)").alias("charge"),
-        )
+    return movements.filter(wanted).select(
+        *RETURN_KEYS,
+        F.when(kind == codes.CREDIT_TYPE, amount).alias("credit"),
+        F.when(kind == codes.CHARGE_TYPE, amount).alias("charge"),
     )
 
 
-def final_balances(
-    balances: DataFrame, term: Term, kind: str = codes.BALANCE_KIND, measure: str = "final"
-) -> DataFrame:
-    """Balances of one kind dated in the period, per account and sub-account."""
+def flows(movements: DataFrame, term: Term) -> DataFrame:
+    """Credits and charges of the period per account and sub-account, in one pass over the movements."""
+    return flow_rows(movements, term).groupBy(*RETURN_KEYS).agg(
+        *(F.sum(name).cast("decimal(18,2)").alias(name) for name in ("credit", "charge"))
+    )
+
+
+def final_rows(balances: DataFrame, term: Term, kind: str = codes.BALANCE_KIND) -> DataFrame:
+    """Balances of one kind dated in the period, one row per balance."""
     wanted = (F.col("kind") == kind) & term.covers(F.col("settled_at"))
-    return (
-        balances.filter(wanted)
-        .groupBy(*RETURN_KEYS)
-        .agg(F.sum("amount").cast("decimal(18,2)").alias(measure))
+    return balances.filter(wanted).select(*RETURN_KEYS, F.col("amount").alias("final"))
+
+
+def final_balances(balances: DataFrame, term: Term, kind: str = codes.BALANCE_KIND) -> DataFrame:
+    """Balances of one kind dated in the period, per account and sub-account."""
+    return final_rows(balances, term, kind).groupBy(*RETURN_KEYS).agg(
+        F.sum("final").cast("decimal(18,2)").alias("final")
     )
 
 
@@ -84,7 +89,8 @@ def compute_returns(
     """Return = final - (credits + initial - commissions - charges), per account and sub-account.
 
     The inputs are unioned and summed in one aggregation instead of chained full joins: one shuffle, partial sums
-    map-side, and each measure counted once however many rows the others have.
+    map-side, and each measure counted once however many rows the others have. So the inputs need not be summed before:
+    pass single rows (``flow_rows``, ``final_rows``) and they are shuffled once instead of twice.
     """
     inputs = [
         initial.select(*RETURN_KEYS, "initial"),

@@ -29,24 +29,40 @@ def _active(quotas: DataFrame, only_active: bool) -> DataFrame:
     return broadcast_if_small(chosen.select("regulator_id", "quantity"))
 
 
+def _held_concepts(
+    concepts: DataFrame, quotas: DataFrame, only_active: bool, accounts: DataFrame | None
+) -> DataFrame:
+    """Per account the set of configured concepts it holds, which their number bounds.
+
+    The sets are combined map-side, so a hot account arrives as one row per task; the given accounts are matched after
+    that, on the same partitioning.
+    """
+    share = F.expr(f"bigint({WEIGHT_SCALE}) div bigint(quantity)").alias("share")
+    held = (
+        concepts.join(_active(quotas, only_active), "regulator_id")
+        .groupBy("account_id")
+        .agg(F.collect_set(F.struct("regulator_id", "quantity", share)).alias("_held"))
+    )
+    return held if accounts is None else held.join(accounts.select("account_id"), "account_id", "left_semi")
+
+
 def quota_ranks(
-    concepts: DataFrame, quotas: DataFrame, only_active: bool = False, salts: int = SALTS
+    concepts: DataFrame,
+    quotas: DataFrame,
+    only_active: bool = False,
+    accounts: DataFrame | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """The accounts that fill each concept's quota, with their rank in it.
+    """The accounts that fill each concept's quota, with their rank in it; ``accounts`` limits who can be drawn.
 
     Accounts that serve rare concepts come first: the weight is the sum of 1/quota over the account's concepts, kept as
     a scaled integer so that it does not depend on summation order; ties go to the lower account. A concept may hold
     most accounts, so ranks are taken twice: within ``(concept, salt)`` first, where nothing below the quota can reach
-    the final ranks, and then among the few survivors of each concept. The set collected per account is bounded by the
-    number of configured concepts.
+    the final ranks, and then among the few survivors of each concept.
     """
-    wanted = concepts.join(_active(quotas, only_active), "regulator_id")
-    share = F.expr(f"bigint({WEIGHT_SCALE}) div bigint(quantity)").alias("share")
-    per_account = wanted.groupBy("account_id").agg(
-        F.collect_set(F.struct("regulator_id", "quantity", share)).alias("_held")
-    )
     weight = F.aggregate("_held", F.lit(0).cast("bigint"), lambda total, held: total + held["share"])
-    pairs = per_account.select("account_id", weight.alias("weight"), F.inline("_held")).select(
+    held = _held_concepts(concepts, quotas, only_active, accounts)
+    pairs = held.select("account_id", weight.alias("weight"), F.inline("_held")).select(
         "account_id", "weight", "regulator_id", "quantity",
         F.pmod(F.xxhash64("account_id"), F.lit(salts)).alias("_salt"),
     )
@@ -59,21 +75,25 @@ def quota_ranks(
     return keep(keep(pairs, "regulator_id", "_salt"), "regulator_id").drop("_salt")
 
 
-def quota_sample(concepts: DataFrame, quotas: DataFrame, only_active: bool = False) -> DataFrame:
+def quota_sample(
+    concepts: DataFrame, quotas: DataFrame, only_active: bool = False, accounts: DataFrame | None = None
+) -> DataFrame:
     """The sampled accounts. An account is in the sample as soon as it fills a place of any quota."""
-    return quota_ranks(concepts, quotas, only_active).select("account_id").distinct()
+    return quota_ranks(concepts, quotas, only_active, accounts).select("account_id").distinct()
 
 
-def quota_check(concepts: DataFrame, quotas: DataFrame, only_active: bool = False) -> DataFrame:
+def quota_check(
+    concepts: DataFrame, quotas: DataFrame, only_active: bool = False, accounts: DataFrame | None = None
+) -> DataFrame:
     """Per configured concept: its quota, how many accounts hold it, and whether the quota can be met."""
-    chosen = _active(quotas, only_active)
     holders = (
-        concepts.join(chosen, "regulator_id", "left_semi")
+        _held_concepts(concepts, quotas, only_active, accounts)
+        .select(F.inline("_held"))
         .groupBy("regulator_id")
-        .agg(F.countDistinct("account_id").alias("holders"))
+        .agg(F.count(F.lit(1)).alias("holders"))
     )
     counted = F.coalesce("holders", F.lit(0))
-    return chosen.join(holders, "regulator_id", "left").select(
+    return _active(quotas, only_active).join(holders, "regulator_id", "left").select(
         "regulator_id",
         "quantity",
         counted.cast("bigint").alias("holders"),
@@ -81,14 +101,16 @@ def quota_check(concepts: DataFrame, quotas: DataFrame, only_active: bool = Fals
     )
 
 
-def require_quotas(concepts: DataFrame, quotas: DataFrame, only_active: bool = False) -> None:
+def require_quotas(
+    concepts: DataFrame, quotas: DataFrame, only_active: bool = False, accounts: DataFrame | None = None
+) -> None:
     """Raise when a quota cannot be met, or when the configuration itself is not usable."""
     config = (quotas.filter("active") if only_active else quotas).groupBy("regulator_id").agg(
         F.count(F.lit(1)).alias("rows"), F.min("quantity").alias("quantity")
     )
     if config.filter((F.col("rows") > 1) | (F.col("quantity") < 1)).take(1):
         raise ValueError("every concept needs one quota of at least 1")
-    if quota_check(concepts, quotas, only_active).filter(~F.col("is_satisfied")).take(1):
+    if quota_check(concepts, quotas, only_active, accounts).filter(~F.col("is_satisfied")).take(1):
         raise ValueError("not enough accounts to meet every quota")
 
 

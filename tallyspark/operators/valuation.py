@@ -12,6 +12,7 @@ from tallyspark.functions.codes import BALANCE_KIND
 from tallyspark.operators.joins import broadcast_if_small
 
 BALANCE_KEYS = ("account_id", "fund_id", "subaccount_id")
+SALTS = 8
 
 
 def cutoff_date(history: DataFrame, after: date, ts: str = "settled_at") -> DataFrame:
@@ -19,6 +20,11 @@ def cutoff_date(history: DataFrame, after: date, ts: str = "settled_at") -> Data
     return history.filter(F.col(ts) > F.lit(after)).agg(F.min(ts).alias("cutoff"))
 
 
+def _latest_day(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    by_day = Window.partitionBy(*keys).orderBy(F.to_date(ts).desc())
+    return df.withColumn("_rank", F.rank().over(by_day)).filter(F.col("_rank") == 1).drop("_rank")
+
+
 def latest_per_group(
     history: DataFrame, as_of: Column, keys: Sequence[str] = BALANCE_KEYS, ts: str = "settled_at"
 ) -> DataFrame:
@@ -28,13 +34,26 @@ def latest_per_group(
     that a map task has seen before it shuffles (window group limit): a hot key with many days is cut down where it is
     read, and the shuffle does not carry the history.
     """
-    by_day = Window.partitionBy(*keys).orderBy(F.to_date(ts).desc())
-    return (
-        history.filter(F.col(ts) <= as_of)
-        .withColumn("_rank", F.rank().over(by_day))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
+    return _latest_day(history.filter(F.col(ts) <= as_of), keys, ts)
+
+
+def latest_units(history: DataFrame, as_of: Column, salts: int = SALTS) -> DataFrame:
+    """Units of the latest day on or before ``as_of``, summed per account, fund, sub-account and moment.
+
+    A key may have most rows of the table on one day, which no ranking can cut down. So the latest day is taken within
+    ``(key, salt)`` first, what is left is summed map-side and by moment, and the latest day of the key is taken from
+    the sums.
+    """
+    in_scope = history.filter(F.col("settled_at") <= as_of).select(
+        *BALANCE_KEYS, "settled_at", "units",
+        F.pmod(F.xxhash64("settled_at", "units"), F.lit(salts)).alias("_salt"),
+    )
+    summed = (
+        _latest_day(in_scope, [*BALANCE_KEYS, "_salt"], "settled_at")
+        .groupBy(*BALANCE_KEYS, "settled_at")
+        .agg(F.round(F.sum("units"), 6).cast("decimal(18,6)").alias("units"))
     )
+    return _latest_day(summed, BALANCE_KEYS, "settled_at")
 
 
 def price_as_of(prices: DataFrame, as_of: Column, keys: Sequence[str] = ("fund_id", "regime_id")) -> DataFrame:
@@ -69,17 +88,10 @@ def value_balances(
     """Latest balance per account, fund, sub-account and moment, valued at the share price as of ``price_date``.
 
     Units are summed to the result grain before prices are attached: the price is constant within a group, so the
-    amount is the same and the price join sees only one row per balance. The sum needs no shuffle of its own, because
-    the rows already lie together by account, fund and sub-account. Balances without a price are dropped.
+    amount is the same and the price join sees only one row per balance. Balances without a price are dropped.
     """
-    columns = [*BALANCE_KEYS, "settled_at", "units"]
-    units = (
-        latest_per_group(history.select(*columns), cutoff)
-        .groupBy(*BALANCE_KEYS, "settled_at")
-        .agg(F.round(F.sum("units"), 6).cast("decimal(18,6)").alias("units"))
-    )
     price = broadcast_if_small(subaccount_prices(subaccounts, prices, price_date))
-    return units.join(price, ["fund_id", "subaccount_id"]).select(
+    return latest_units(history, cutoff).join(price, ["fund_id", "subaccount_id"]).select(
         *BALANCE_KEYS,
         "settled_at",
         F.lit(kind).alias("kind"),

@@ -12,8 +12,8 @@ from tallyspark.operators.joins import broadcast_if_small, first_per_key
 from tallyspark.operators.movements import union_all
 from tallyspark.operators.numbering import number_rows
 from tallyspark.operators.terms import Term, stamp_period
+from tallyspark.operators.valuation import cutoff_date, latest_units, subaccount_prices
 from tallyspark.sources.shared import written_once
-from tallyspark.operators.valuation import cutoff_date, latest_per_group, subaccount_prices
 
 PROCEDURE_COLUMNS = (
     "procedure_type", "benefit_type", "regime_code", "insurance_code", "pension_code", "transfer_insurance",
@@ -105,13 +105,10 @@ def balances_of_accounts(
     """Valued balance per account and sub-account that was settled, as of the first history date after ``after``."""
     touched = settled.select("account_id", "subaccount_id").filter(F.col("subaccount_id").isNotNull()).distinct()
     own = history.join(touched, ["account_id", "subaccount_id"], "left_semi")
-    latest = latest_per_group(own, cutoff_date(history, after).scalar())
-    units = latest.groupBy("account_id", "fund_id", "subaccount_id").agg(
-        F.sum("units").cast("decimal(18,6)").alias("units")
-    )
+    latest = latest_units(own, cutoff_date(history, after).scalar())
     price = broadcast_if_small(subaccount_prices(subaccounts, prices, F.lit(price_date)))
     return (
-        units.join(price, ["fund_id", "subaccount_id"])
+        latest.join(price, ["fund_id", "subaccount_id"])
         .groupBy("account_id", "subaccount_id")
         .agg(F.sum(F.col("units") * F.col("price")).cast("decimal(18,4)").alias("balance"))
     )

@@ -168,9 +168,9 @@ def load_returns(
     ).withColumnRenamed("amount", "initial")
     computed = returns.compute_returns(
         opening,
-        returns.final_balances(warehouse.of_term("balance", term), term),
-        returns.flows(warehouse.of_term("movement", term), term),
-        returns.commission_totals(warehouse.of_term("commission", term)),
+        returns.final_rows(warehouse.of_term("balance", term), term),
+        returns.flow_rows(warehouse.of_term("movement", term), term),
+        warehouse.of_term("commission", term).withColumnRenamed("amount", "commission"),
         term,
         **options,
     )
@@ -216,10 +216,9 @@ def load_sample(
 ) -> int:
     """Draw and store the sample; fails before writing when a quota cannot be met."""
     concepts = sampling.account_concepts(warehouse.of_term("movement", term), bridge)
-    if only_clients:
-        concepts = concepts.join(warehouse.table("client").select("account_id"), "account_id", "left_semi")
-    sampling.require_quotas(concepts, quotas, only_active)
-    automatic = sampling.quota_sample(concepts, quotas, only_active)
+    accounts = warehouse.table("client") if only_clients else None
+    sampling.require_quotas(concepts, quotas, only_active, accounts)
+    automatic = sampling.quota_sample(concepts, quotas, only_active, accounts)
     rows = sampling.build_sample(
         sampling.manual_accounts(uploads), automatic, term, user_id, area_id, url_base
     )

@@ -57,9 +57,9 @@ def opening_balances(spark, folder):
 def return_facts(spark, folder, **options):
     return returns.compute_returns(
         opening_balances(spark, folder),
-        returns.final_balances(balances(spark, folder), TERM),
-        returns.flows(roles.movement(spark, folder), TERM),
-        returns.commission_totals(commission_rows(spark, folder)),
+        returns.final_rows(balances(spark, folder), TERM),
+        returns.flow_rows(roles.movement(spark, folder), TERM),
+        commission_rows(spark, folder).withColumnRenamed("amount", "commission"),
         TERM,
         **options,
     )

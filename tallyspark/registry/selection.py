@@ -75,17 +75,19 @@ SAMPLED = """
 SAMPLE_VIEWS = ("movement", "concept_bridge", "client", "sample_quota")
 
 
-def concepts(spark, folder):
+def draw(spark, folder):
+    """Arguments of a draw: concepts of the period's movements, quotas, and the clients who may be drawn."""
     movements = roles.movement(spark, folder).filter(TERM.covers(F.col("settled_at")))
-    known = roles.client(spark, folder).select("account_id")
-    return sampling.account_concepts(movements, roles.concept_bridge(spark, folder)).join(
-        known, "account_id", "left_semi"
+    return dict(
+        concepts=sampling.account_concepts(movements, roles.concept_bridge(spark, folder)),
+        quotas=roles.sample_quota(spark, folder),
+        accounts=roles.client(spark, folder),
     )
 
 
 @register("quota_ranks", with_views(SAMPLED, *SAMPLE_VIEWS, concepts=TERM_CONCEPTS))
 def quota_ranks(spark, folder):
-    return sampling.quota_ranks(concepts(spark, folder), roles.sample_quota(spark, folder))
+    return sampling.quota_ranks(**draw(spark, folder))
 
 
 @register(
@@ -93,7 +95,7 @@ def quota_ranks(spark, folder):
     with_views("SELECT DISTINCT account_id FROM ranked", *SAMPLE_VIEWS, concepts=TERM_CONCEPTS, ranked=SAMPLED),
 )
 def quota_sample(spark, folder):
-    return sampling.quota_sample(concepts(spark, folder), roles.sample_quota(spark, folder), only_active=True)
+    return sampling.quota_sample(**draw(spark, folder), only_active=True)
 
 
 @register(
@@ -109,7 +111,7 @@ def quota_sample(spark, folder):
     ),
 )
 def quota_check(spark, folder):
-    return sampling.quota_check(concepts(spark, folder), roles.sample_quota(spark, folder))
+    return sampling.quota_check(**draw(spark, folder))
 
 
 @register(
@@ -128,11 +130,10 @@ def quota_check(spark, folder):
     ),
 )
 def sample(spark, folder):
-    quotas = roles.sample_quota(spark, folder)
-    held = concepts(spark, folder)
-    sampling.require_quotas(held, quotas)
+    arguments = draw(spark, folder)
+    sampling.require_quotas(**arguments)
     return sampling.build_sample(
         sampling.manual_accounts(roles.manual_upload(spark, folder)),
-        sampling.quota_sample(held, quotas),
+        sampling.quota_sample(**arguments),
         TERM, user_id=34, area_id=5, url_base=URL_BASE,
     ).drop("created_at")
