@@ -53,3 +53,8 @@ def area_recipients(
 def notification_fanout(notices: DataFrame, recipients: DataFrame) -> DataFrame:
     """One row per notice and recipient of its area."""
     return notices.join(recipients, "area_id")
+
+
+def notices_without_recipients(notices: DataFrame, recipients: DataFrame) -> DataFrame:
+    """Notices that would reach nobody because their area has no entitled user."""
+    return notices.join(recipients.select("area_id"), "area_id", "left_anti")

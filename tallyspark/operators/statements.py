@@ -10,6 +10,7 @@ from tallyspark.functions.calendar import compact_period, in_window, is_due, loo
 from tallyspark.operators.joins import broadcast_if_small
 from tallyspark.operators.numbering import number_rows
 from tallyspark.operators.terms import Term
+from tallyspark.sources.shared import written_once
 
 STATEMENT_KEYS = ("account_id", "format_id")
 
@@ -177,13 +178,15 @@ def statement_front(
 
     Contributions, withdrawals and commissions are summed over the look-back window, the opening balance is that of the
     first period in it and the closing balance that of the last. A line without matching sub-accounts shows zeros, and
-    overlapping lines each have their own sum. Returns are summed per sub-account before the few lines multiply them.
+    overlapping lines each have their own sum. Returns are summed per sub-account before the few lines multiply them,
+    and the window bounds, a few rows found in all returns, are written once.
     ``flows_in_window=False`` sums the flows of all periods.
     """
     due = chosen.filter(is_due(F.lit(term.end), F.col("generation_months"))).select(
         "account_id", "format_id", "generation_id", "front_months"
     )
-    windows = due.join(broadcast_if_small(window_bounds(returns, formats, periods, term)), "front_months", "left")
+    bounds = written_once(window_bounds(returns, formats, periods, term), "bounds")
+    windows = due.join(broadcast_if_small(bounds), "front_months", "left")
     rows = returns.join(broadcast_if_small(_period_starts(periods)), "period_id").join(windows, "account_id")
     inside = in_window(
         F.col("starts"), F.lit(term.start), F.lit(term.end), F.col("front_months"), inclusive=False

@@ -42,12 +42,17 @@ def settlements(requests: DataFrame, movements: DataFrame, term: Term) -> DataFr
 
 
 def procedure_of_folio(
-    procedures: DataFrame, transfers: DataFrame, historic_transfers: DataFrame, procedure_map: DataFrame
+    procedures: DataFrame,
+    transfers: DataFrame,
+    historic_transfers: DataFrame,
+    procedure_map: DataFrame,
+    folios: DataFrame | None = None,
 ) -> DataFrame:
     """One procedure per folio: named procedures first, then procedures before transfers before historic ones.
 
     Every settlement row of a folio would meet the same candidates, so the choice is made once per folio and not after
-    multiplying the settlements by three sources.
+    multiplying the settlements by three sources. ``folios`` restricts the sources, which reach back over years, to the
+    folios of the period before anything is ranked.
     """
     branches = [
         df.select("folio", *(name for name in PROCEDURE_COLUMNS if name in df.columns)).withColumn("_branch", F.lit(n))
@@ -59,7 +64,10 @@ def procedure_of_folio(
         F.col("legacy_code").alias("procedure_legacy_code"),
         F.col("new_description").alias("procedure_description"),
     )
-    named = union_all(branches).join(broadcast_if_small(names), "procedure_type", "left")
+    candidates = union_all(branches)
+    if folios is not None:
+        candidates = candidates.join(broadcast_if_small(folios.select("folio")), "folio", "left_semi")
+    named = candidates.join(broadcast_if_small(names), "procedure_type", "left")
     ties = [F.col(name).asc_nulls_last() for name in ("procedure_name", *PROCEDURE_COLUMNS) if name in named.columns]
     order = [F.col("procedure_name").isNull(), F.col("_branch"), *ties]
     return first_per_key(named, ["folio"], order).drop("_branch")
@@ -133,14 +141,17 @@ def withdrawals(
 ) -> DataFrame:
     """One row per settled folio whose procedure is a known withdrawal.
 
-    The balance date and price date default to the end of the period. The chosen folios, a month's withdrawals, are
-    written once because they both select the balances to value and carry the result.
+    The balance date and price date default to the end of the period. The folios of the month, and those of them that
+    are withdrawals, are written once: they select the procedures to rank and the balances to value, and carry the
+    result.
     """
     requests = settled_requests(current_requests, historic_requests, term)
     settled = settlements(requests, movements, term)
     order = ["account_id", "subaccount_id", "fund_id", "paid", "process_id", "subprocess_id", "created_at"]
-    per_folio = first_per_key(settled, ["folio"], [F.col(name).asc_nulls_last() for name in order])
-    chosen = procedure_of_folio(procedures, transfers, historic_transfers, procedure_map).filter(
+    per_folio = written_once(
+        first_per_key(settled, ["folio"], [F.col(name).asc_nulls_last() for name in order]), "folios"
+    )
+    chosen = procedure_of_folio(procedures, transfers, historic_transfers, procedure_map, per_folio).filter(
         F.col("procedure_name").isin(*codes.WITHDRAWAL_PROCEDURES)
     )
     rows = written_once(per_folio.join(chosen, "folio"), "settled")

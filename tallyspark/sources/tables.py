@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -72,6 +72,35 @@ def jdbc_sink(url: str, relation: str, partitions: int = JDBC_WRITE_PARTITIONS,
     return Table("jdbc", options=settings)
 
 
+def transfer(
+    spark: SparkSession,
+    source: Table,
+    target: Table,
+    term_id: int | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    limit: int | None = None,
+) -> int:
+    """Read a table, stamp the period, transform it and append it to another; returns the number of rows.
+
+    The rows are counted while they are written, so the source is read once.
+    """
+    df = read_table(spark, source, limit)
+    if term_id is not None:
+        df = df.withColumn("period_id", F.lit(term_id).cast("int"))
+    if transform is not None:
+        df = df.transform(transform)
+    counter = Observation()
+    append_table(df.observe(counter, F.count(F.lit(1)).alias("rows")), target)
+    return counter.get["rows"]
+
+
+def as_view(spark: SparkSession, source: Table, name: str) -> DataFrame:
+    """Make a table of any source available to ``spark.sql`` under a name."""
+    df = read_table(spark, source)
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def replace_period(df: DataFrame, path: str, term_id: int | None, period: str = "period_id") -> int:
     """Load one period so that loading it again changes nothing; ``None`` replaces the whole table.
 

@@ -239,6 +239,21 @@ def test_formats_round_trip(spark, kind):
     assert tables.read_table(spark, target, limit=3).count() == 3
 
 
+def test_transfer_stamps_transforms_and_counts(spark):
+    source = tables.Table("parquet", f"{FOLDER}/nation.parquet")
+    target = tables.Table("parquet", new_table_path(spark, "transfer"))
+
+    def keep_first_region(df):
+        return df.filter("n_regionkey = 0")
+
+    assert tables.transfer(spark, source, target, term_id=7, transform=keep_first_region) == 5
+    assert tables.transfer(spark, source, target, term_id=8, limit=3) == 3
+    tables.as_view(spark, target, "moved")
+    counts = spark.sql("SELECT period_id, COUNT(*) AS n FROM moved GROUP BY period_id").collect()
+    assert {row.period_id: row.n for row in counts} == {7: 5, 8: 3}
+    spark.catalog.dropTempView("moved")
+
+
 def test_jdbc_needs_all_bounds_for_a_parallel_read():
     source = tables.jdbc_source("jdbc:x", "(SELECT 1) t", "id", 0, 10, partitions=4, user="u")
     assert source.options["partitionColumn"] == "id" and source.options["numPartitions"] == "4"

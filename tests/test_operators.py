@@ -323,6 +323,13 @@ def test_limits_belong_to_the_better_level(spark):
     ]
 
 
+def test_notices_of_areas_without_users(spark):
+    notices = spark.createDataFrame([(1, 10), (2, 11)], "area_id int, notice_id int")
+    recipients = spark.createDataFrame([(1, 100), (1, 101)], "area_id int, user_id int")
+    assert rows(runlog.notification_fanout(notices, recipients), "notice_id", "user_id") == [(10, 100), (10, 101)]
+    assert rows(runlog.notices_without_recipients(notices, recipients), "notice_id") == [(11,)]
+
+
 # --- quality -----------------------------------------------------------------------------------
 def test_checks_on_an_empty_and_a_broken_table(spark):
     schema = "id int, parent int, kind string"
