@@ -150,10 +150,16 @@ def bond_holders(history: DataFrame, fund_id: int | str = codes.BOND_FUND) -> Da
 def history_profile(history: DataFrame, subaccounts: DataFrame, fund_id: int | str = codes.BOND_FUND) -> DataFrame:
     """Generation and bond flag per account in one scan of the balance history, the largest input of the month."""
     columns = history.select("account_id", "subaccount_id", "fund_id")
-    return columns.join(_marked_subaccounts(subaccounts), "subaccount_id", "left").groupBy("account_id").agg(
-        _generation(F.max("_marked")).alias("generation"),
-        F.max((F.col("fund_id") == fund_id).cast("int")).alias("_holds_bond"),
-    ).withColumn("is_bond", F.coalesce(F.col("_holds_bond") == 1, F.lit(False))).drop("_holds_bond")
+    flags = (
+        columns.join(_marked_subaccounts(subaccounts), "subaccount_id", "left")
+        .groupBy("account_id")
+        .agg(
+            _generation(F.max("_marked")).alias("generation"),
+            F.max((F.col("fund_id") == fund_id).cast("int")).alias("_holds_bond"),
+        )
+    )
+    is_bond = F.coalesce(F.col("_holds_bond") == 1, F.lit(False))
+    return flags.withColumn("is_bond", is_bond).drop("_holds_bond")
 
 
 def pension_type(

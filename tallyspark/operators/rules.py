@@ -31,7 +31,7 @@ class IndicatorRule:
 
 
 def read_rules(indicators: DataFrame, statements: DataFrame, max_rules: int = 1000) -> list[IndicatorRule]:
-    """Active rules of the catalog. A rule is a statement somebody maintains, so their number is checked, not assumed."""
+    """Active rules of the catalog. Somebody maintains each statement, so their number is small; it is checked."""
     rows = (
         indicators.filter("active")
         .join(statements, "indicator_id")

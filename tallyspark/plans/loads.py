@@ -13,6 +13,7 @@ from tallyspark.operators.terms import Term
 from tallyspark.operators.valuation import cutoff_date, value_balances
 from tallyspark.plans import figures
 from tallyspark.plans.warehouse import Warehouse
+from tallyspark.sources.shared import written_once
 from tallyspark.sources.tables import Table, append_table
 
 FIGURE_PAGE = 150_000
@@ -214,8 +215,13 @@ def load_sample(
     only_active: bool = True,
     only_clients: bool = True,
 ) -> int:
-    """Draw and store the sample; fails before writing when a quota cannot be met."""
-    concepts = sampling.account_concepts(warehouse.of_term("movement", term), bridge)
+    """Draw and store the sample; fails before writing when a quota cannot be met.
+
+    The movements are read once: their distinct pairs of account and concept are written and serve the check and the
+    draw.
+    """
+    pairs = sampling.account_concepts(warehouse.of_term("movement", term), bridge).distinct()
+    concepts = written_once(pairs, "concepts")
     accounts = warehouse.table("client") if only_clients else None
     sampling.require_quotas(concepts, quotas, only_active, accounts)
     automatic = sampling.quota_sample(concepts, quotas, only_active, accounts)

@@ -26,7 +26,8 @@ def report_sql(source: str, display: list[str], sums: list[str], distinct: dict[
     def part(kind: str, grouped_by: str, kept: list[str]) -> str:
         columns = [name if name in kept else f"NULL AS {name}" for name in display]
         group = f"GROUP BY {', '.join(kept)}" if kept else ""
-        return f"SELECT '{kind}' AS row_kind, {grouped_by} AS grouped_by, {', '.join([*columns, *measures])} FROM {source} {group}"
+        selected = ", ".join([f"'{kind}' AS row_kind", f"{grouped_by} AS grouped_by", *columns, *measures])
+        return f"SELECT {selected} FROM {source} {group}"
 
     parts = [part("detail", "NULL", display)]
     parts += [part("subtotal", f"'{name}'", [name]) for name in display]

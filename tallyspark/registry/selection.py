@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyspark.operators import rules, sampling
 from tallyspark.registry.base import TERM, register, with_views
 from tallyspark.sources import roles
+from tallyspark.sources.shared import written_once
 
 URL_BASE = "https://example.org/statements/"
 
@@ -131,6 +132,7 @@ def quota_check(spark, folder):
 )
 def sample(spark, folder):
     arguments = draw(spark, folder)
+    arguments["concepts"] = written_once(arguments["concepts"].distinct(), "concepts")
     sampling.require_quotas(**arguments)
     return sampling.build_sample(
         sampling.manual_accounts(roles.manual_upload(spark, folder)),

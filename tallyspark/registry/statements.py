@@ -232,7 +232,10 @@ def statement_header(spark, folder):
 @register(
     "statement_front_with_id",
     with_views(
-        "SELECT f.*, h.statement_id FROM front f JOIN header h ON h.account_id = f.account_id AND h.format_id = f.format_id",
+        """
+        SELECT f.*, h.statement_id
+        FROM front f JOIN header h ON h.account_id = f.account_id AND h.format_id = f.format_id
+        """,
         *VIEWS,
         **STEPS,
     ),
@@ -244,8 +247,10 @@ def statement_front_with_id(spark, folder):
 @register(
     "statement_ids",
     with_views(
-        "SELECT account_id, format_id, statement_id, CAST(ROW_NUMBER() OVER (ORDER BY statement_id) AS VARCHAR) AS folio "
-        "FROM header_base",
+        """
+        SELECT account_id, format_id, statement_id, CAST(ROW_NUMBER() OVER (ORDER BY statement_id) AS VARCHAR) AS folio
+        FROM header_base
+        """,
         *VIEWS,
         **STEPS,
     ),

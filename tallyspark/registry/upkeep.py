@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyspark.functions import codes
 from tallyspark.operators import changes, quality, reports, runlog
-from tallyspark.operators.terms import stamp_period
+from tallyspark.operators.clients import indicator_values
 from tallyspark.registry.base import TERM, register, with_views
 from tallyspark.sources import roles
 from tallyspark.sources.shared import new_table_path
@@ -81,9 +82,6 @@ def upsert(spark, folder):
     ),
 )
 def update_from(spark, folder):
-    from tallyspark.functions import codes
-    from tallyspark.operators.clients import indicator_values
-
     seeded = changes.seed_clients(roles.client(spark, folder), TERM.period_id)
     labels = indicator_values(
         roles.account_indicator(spark, folder), roles.indicator_config(spark, folder), codes.INDICATOR_CLIENT_TYPE,
@@ -125,7 +123,7 @@ def sla_flags(spark, folder):
     FROM nation n
     JOIN (SELECT DISTINCT r.n_regionkey AS area_id, s.s_suppkey AS user_id
           FROM nation r JOIN supplier s ON s.s_nationkey = r.n_nationkey
-          WHERE r.n_nationkey % 5 <> 3) u ON u.area_id = n.n_regionkey
+          WHERE r.n_regionkey <> 3) u ON u.area_id = n.n_regionkey
     """,
 )
 def notification_fanout(spark, folder):
@@ -136,11 +134,13 @@ def notification_fanout(spark, folder):
         areas=roles.table(spark, folder, "region").select(F.col("r_regionkey").alias("area_id")),
         area_roles=nation.select(region.alias("area_id"), key.alias("role_id")),
         roles=nation.select(key.alias("role_id")),
-        role_menus=nation.select(key.alias("role_id"), F.pmod(key, F.lit(5)).alias("role_menu_id")),
+        role_menus=nation.select(key.alias("role_id"), region.alias("role_menu_id")),
         role_users=roles.table(spark, folder, "supplier").select(
             F.col("s_nationkey").alias("role_id"), F.col("s_suppkey").alias("user_id")
         ),
-        menu_functions=spark.sql("SELECT * FROM VALUES (0, 7), (1, 7), (2, 7), (3, 8), (4, 7) AS t(function_id, menu_id)"),
+        menu_functions=spark.sql(
+            "SELECT * FROM VALUES (0, 7), (1, 7), (2, 7), (3, 8), (4, 7) AS t(function_id, menu_id)"
+        ),
     )
     notices = nation.select(region.alias("area_id"), key.alias("notice_id"), F.col("n_name").alias("title"))
     return runlog.notification_fanout(notices, recipients)

@@ -1,9 +1,7 @@
-"""Withdrawals and their figures. The SQL multiplies every settlement by three procedure sources and ranks after that."""
+"""Withdrawals and their figures. The SQL ranks after multiplying every settlement by three procedure sources."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tallyspark.operators import numbering, withdrawals
 from tallyspark.registry.base import TERM, register, with_views
 from tallyspark.sources import roles

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators import (
-    changes, clients, joins, movements, numbering, quality, reports, returns, rules, runlog, sampling, statements,
-    valuation, withdrawals,
+    changes, clients, joins, movements, numbering, quality, reports, returns, rules, runlog, statements, valuation,
+    withdrawals,
 )
 from tallyspark.operators.terms import Term
 
