@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import content_sort, sharding
+from tallyspark.llm import chat, content_sort, decontamination, sharding
 
 QUERIES = {
     "op3_hypergeometric_sharding": sharding.op3_hypergeometric_sharding,
+    "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
     "op5_exact_dedup": content_sort.op5_exact_dedup,
+    "op7_chat_formatting": chat.op7_chat_formatting,
 }
 
 SQL = {
+    "op4_benchmark_decontamination": decontamination.SQL,
     "op5_exact_dedup": content_sort.SQL,
+    "op7_chat_formatting": chat.SQL,
 }
