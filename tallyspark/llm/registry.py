@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import chat, content_sort, decontamination, sharding
+from functools import wraps
+from pathlib import Path
 
-QUERIES = {
+from tallyspark.llm import chat, content_sort, decontamination, packing, sharding
+
+
+def _prepared(query):
+    """Let the Python workers of a session find the package where this checkout is not installed."""
+
+    @wraps(query)
+    def run(spark, folder):
+        root = str(Path(__file__).resolve().parents[2])
+        known = spark.sparkContext.environment.get("PYTHONPATH")
+        if root not in (known or "").split(":"):
+            spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}" if known else root
+        return query(spark, folder)
+
+    return run
+
+
+_ALL = {
+    "op2_hilbert_packing": packing.op2_hilbert_packing,
     "op3_hypergeometric_sharding": sharding.op3_hypergeometric_sharding,
     "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
     "op5_exact_dedup": content_sort.op5_exact_dedup,
     "op7_chat_formatting": chat.op7_chat_formatting,
 }
+QUERIES = {name: _prepared(query) for name, query in _ALL.items()}
 
 SQL = {
     "op4_benchmark_decontamination": decontamination.SQL,
