@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import wraps
 from pathlib import Path
 
-from tallyspark.llm import chat, content_sort, decontamination, packing, sharding
+from tallyspark.llm import chat, content_sort, decontamination, language_id, packing, sharding
 
 
 def _prepared(query):
@@ -27,6 +27,7 @@ _ALL = {
     "op3_hypergeometric_sharding": sharding.op3_hypergeometric_sharding,
     "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
     "op5_exact_dedup": content_sort.op5_exact_dedup,
+    "op6_language_bitmask": language_id.op6_language_bitmask,
     "op7_chat_formatting": chat.op7_chat_formatting,
 }
 QUERIES = {name: _prepared(query) for name, query in _ALL.items()}
