@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import wraps
 from pathlib import Path
 
-from tallyspark.llm import chat, content_sort, decontamination, language_id, packing, sharding
+from tallyspark.llm import chat, content_sort, decontamination, language_id, ngram_join, packing, sharding
 
 
 def _prepared(query):
@@ -23,6 +23,7 @@ def _prepared(query):
 
 
 _ALL = {
+    "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op2_hilbert_packing": packing.op2_hilbert_packing,
     "op3_hypergeometric_sharding": sharding.op3_hypergeometric_sharding,
     "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
@@ -33,6 +34,7 @@ _ALL = {
 QUERIES = {name: _prepared(query) for name, query in _ALL.items()}
 
 SQL = {
+    "op1_ngram_jaccard_join": ngram_join.SQL,
     "op4_benchmark_decontamination": decontamination.SQL,
     "op5_exact_dedup": content_sort.SQL,
     "op7_chat_formatting": chat.SQL,
