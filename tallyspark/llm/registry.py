@@ -5,18 +5,21 @@ from __future__ import annotations
 from functools import wraps
 from pathlib import Path
 
-from tallyspark.llm import chat, content_sort, decontamination, language_id, ngram_join, packing, sharding
+from tallyspark.llm import chat, content_sort, decontamination, language_id, ngram_join, packing, sharding, token_counts
 
 
-def _prepared(query):
+def find_package(spark) -> None:
     """Let the Python workers of a session find the package where this checkout is not installed."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH")
+    if root not in (known or "").split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}" if known else root
+
 
+def _prepared(query):
     @wraps(query)
     def run(spark, folder):
-        root = str(Path(__file__).resolve().parents[2])
-        known = spark.sparkContext.environment.get("PYTHONPATH")
-        if root not in (known or "").split(":"):
-            spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}" if known else root
+        find_package(spark)
         return query(spark, folder)
 
     return run
@@ -30,6 +33,7 @@ _ALL = {
     "op5_exact_dedup": content_sort.op5_exact_dedup,
     "op6_language_bitmask": language_id.op6_language_bitmask,
     "op7_chat_formatting": chat.op7_chat_formatting,
+    "op8_separator_scan": token_counts.op8_separator_scan,
 }
 QUERIES = {name: _prepared(query) for name, query in _ALL.items()}
 

@@ -17,16 +17,19 @@ class Encoder:
 
     Where a file with the same vocabulary as ranks is given, texts of common characters (ASCII, Latin letters, usual
     punctuation) without a special token are encoded by ``tiktoken``, which gives the same identifiers three times as
-    fast. All other texts go to ``tokenizers`` itself, so that tables of character classes cannot differ.
+    fast. With ``specials_as_text`` the strings of special tokens are ordinary text. All other texts go to ``tokenizers`` itself, so that tables of character classes cannot differ.
     """
 
-    def __init__(self, path: str, ranks_path: str | None = None):
+    def __init__(self, path: str, ranks_path: str | None = None, specials_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.exact = Tokenizer.from_file(path)
+        self.exact.encode_special_tokens = specials_as_text
         if self.exact.get_vocab_size() > 1 << (8 * ID_BYTES):
             raise ValueError("identifiers do not fit in two bytes")
-        self.specials = [token.content for token in self.exact.get_added_tokens_decoder().values()]
+        self.specials = []
+        if not specials_as_text:
+            self.specials = [token.content for token in self.exact.get_added_tokens_decoder().values()]
         self.fast = None
         if ranks_path is not None:
             import public_tokenizers
@@ -47,6 +50,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, ranks_path: str | None = None) -> Encoder:
+def encoder(path: str, ranks_path: str | None = None, specials_as_text: bool = False) -> Encoder:
     """One encoder per worker process."""
-    return Encoder(path, ranks_path)
+    return Encoder(path, ranks_path, specials_as_text)
