@@ -5,7 +5,10 @@ from __future__ import annotations
 from functools import wraps
 from pathlib import Path
 
-from tallyspark.llm import chat, content_sort, decontamination, language_id, ngram_join, packing, sharding, token_counts
+from tallyspark.llm import (
+    chat, content_sort, decontamination, language_id, ngram_join, packing, pseudonyms, sentence_spans, sharding,
+    token_counts,
+)
 
 
 def find_package(spark) -> None:
@@ -34,6 +37,8 @@ _ALL = {
     "op6_language_bitmask": language_id.op6_language_bitmask,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_separator_scan": token_counts.op8_separator_scan,
+    "op9_sentence_spans": sentence_spans.op9_sentence_spans,
+    "op10_feistel_pseudonyms": pseudonyms.op10_feistel_pseudonyms,
 }
 QUERIES = {name: _prepared(query) for name, query in _ALL.items()}
 
