@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.llm.tokens import ID_BYTES, encoder
+from tallyspark.sources.shared import written_once
 
 SEQUENCE = 1024
 END_ID = 0
@@ -75,7 +76,8 @@ def pack(
     sequence_id, offset`` and, on demand, the piece's ``ids`` (little-endian, two bytes each).
 
     1. A task encodes its texts, adds ``end_id``, and computes each document's place on the Hilbert curve. Whole
-       sequences are cut off the front of a document; only their checksums (or ids) and the rest travel on.
+       sequences are cut off the front of a document; only their checksums (or ids) and the rest travel on. That is
+       written once, because the splitters of the range are sampled from it before it is sorted.
     2. Documents are range-partitioned and sorted by (place, identifier), so neighbours on the curve are neighbours
        in a partition, and equal documents, however many, spread over partitions by identifier.
     3. Each partition lays the rests along the curve end to end and cuts at every full sequence. Only the last
@@ -86,7 +88,7 @@ def pack(
     """
     id_type = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    encoded = rows.mapInArrow(
+    made = rows.mapInArrow(
         _encode(tokenizer, ranks, size, end_id, seed, with_ids),
         T.StructType(
             [
@@ -96,6 +98,7 @@ def pack(
             ]
         ),
     )
+    encoded = written_once(made, "encoded")
     order = ["curve", F.col("doc_id").asc_nulls_first(), "tokens", "rest_crc32"]
     along = encoded.repartitionByRange(*order).sortWithinPartitions(*order)
     fields = [
