@@ -44,8 +44,8 @@ def prefix_length(size: int, percent: int = PERCENT) -> int:
 def bitmap(hashes: np.ndarray) -> bytes:
     """Parities of the hashes modulo the width, which grows with the set."""
     width = SMALL_BITS
-    while width < len(hashes):
-        width *= 4
+    while width < 2 * len(hashes):
+        width *= 2
     counts = np.bincount((hashes % np.uint64(width)).astype(np.int64), minlength=width)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
@@ -59,26 +59,62 @@ def possible(sizes_a, sizes_b, differing, percent: int = PERCENT):
     return 100 * overlap >= percent * (sizes_a + sizes_b - overlap)
 
 
-def differing_bits(bits_a: list[bytes], bits_b: list[bytes]) -> np.ndarray:
-    """Differing bits of pairs of bitmaps; the wider one is folded to the width of the other."""
-    out = np.zeros(len(bits_a), np.int64)
+def folded(bits: list[bytes]) -> np.ndarray:
+    """All bitmaps folded to the smallest width, one row each: parities modulo a divisor are parities again."""
+    out = np.empty((len(bits), SMALL_BITS // 64), np.uint64)
     small = SMALL_BITS // 8
-    plain = np.array([len(a) == small and len(b) == small for a, b in zip(bits_a, bits_b, strict=True)], bool)
-    where = np.flatnonzero(plain)
-    for first in range(0, len(where), 1 << 16):
-        part = where[first : first + (1 << 16)]
-        a = np.frombuffer(b"".join([bits_a[i] for i in part]), np.uint64)
-        b = np.frombuffer(b"".join([bits_b[i] for i in part]), np.uint64)
-        out[part] = np.bitwise_count(a ^ b).reshape(len(part), -1).sum(axis=1, dtype=np.int64)
-    for i in np.flatnonzero(~plain):
-        a, b = np.frombuffer(bits_a[i], np.uint64), np.frombuffer(bits_b[i], np.uint64)
-        width = min(len(a), len(b))
-        a = np.bitwise_xor.reduce(a.reshape(-1, width), axis=0)
-        b = np.bitwise_xor.reduce(b.reshape(-1, width), axis=0)
-        out[i] = int(np.bitwise_count(a ^ b).sum())
+    plain = [place for place, one in enumerate(bits) if len(one) == small]
+    if plain:
+        out[plain] = np.frombuffer(b"".join([bits[place] for place in plain]), np.uint64).reshape(len(plain), -1)
+    for place, one in enumerate(bits):
+        if len(one) != small:
+            out[place] = _fold(np.frombuffer(one, np.uint64), SMALL_BITS // 64)
     return out
 
 
+def _fold(words: np.ndarray, width: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(words.reshape(-1, width), axis=0)
+
+
+def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of the rows of two matrices of folded bitmaps."""
+    out = np.empty(len(a), np.int64)
+    for first in range(0, len(a), 1 << 15):
+        part = slice(first, first + (1 << 15))
+        out[part] = np.bitwise_count(a[part] ^ b[part]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def differing_bits_of(a: bytes, b: bytes) -> int:
+    """Differing bits of two bitmaps at the width of the narrower one."""
+    one, other = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    width = min(len(one), len(other))
+    return int(np.bitwise_count(_fold(one, width) ^ _fold(other, width)).sum())
+
+
+def bounded_pairs(n: np.ndarray, bits: list[bytes], small: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int):
+    """Of the pairs of rows ``a, b``, those that their bitmaps leave, and the part of their elements that differs."""
+    differ = differing_bits(small[a], small[b])
+    kept = np.flatnonzero(possible(n[a], n[b], differ, percent))
+    a, b, differ = a[kept], b[kept], differ[kept]
+    narrow = SMALL_BITS // 8
+    wide = [place for place, (x, y) in enumerate(zip(a, b, strict=True)) if len(bits[x]) > narrow < len(bits[y])]
+    for place in wide:
+        differ[place] = differing_bits_of(bits[a[place]], bits[b[place]])
+    kept = np.flatnonzero(possible(n[a], n[b], differ, percent))
+    a, b, differ = a[kept], b[kept], differ[kept]
+    return a, b, differ / (n[a] + n[b])
+
+
+def may_start(n_a, place_a, n_b, place_b, percent: int):
+    """Whether the first hash that two sets share can be at these places of them, if they are similar enough.
+
+    What comes before is not shared, so the overlap is what comes after, at most.
+    """
+    overlap = np.minimum(n_a - place_a, n_b - place_b)
+    return 100 * overlap >= percent * (n_a + n_b - overlap)
+
+
 # ---- the join
 
 def jaccard_components(
@@ -254,10 +290,10 @@ class _Join:
 
         def bound(batches):
             for batch in batches:
-                n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-                bits = differing_bits(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())
-                kept = np.flatnonzero(possible(n_a, n_b, bits, percent))
-                share = (bits / (n_a + n_b))[kept]
+                n = np.concatenate([batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()])
+                bits = batch.column("bits_a").to_pylist() + batch.column("bits_b").to_pylist()
+                here = np.arange(batch.num_rows)
+                kept, _, share = bounded_pairs(n, bits, folded(bits), here, here + batch.num_rows, percent)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("a").take(pa.array(kept)), batch.column("b").take(pa.array(kept)),
@@ -273,13 +309,15 @@ class _Join:
         """All pairs of two components that share a key of both prefixes and that the bitmaps leave."""
         percent = self.percent
         marked = self.classes.select("cid", "n", "prefix").join(self.labels(), "cid", "left")
-        keyed = marked.select("cid", "n", F.coalesce("component", "cid").alias("component"), F.explode("prefix").alias("key"))
+        keyed = marked.select(
+            "cid", "n", F.coalesce("component", "cid").alias("component"), F.posexplode("prefix").alias("place", "key")
+        )
         tiled = keyed.repartition("key").sortWithinPartitions("key", "n", "cid").mapInArrow(
-            _tiles(percent), "key long, first int, second int, block int, n long, cid long, component long"
+            _tiles(percent), "key long, first int, second int, block int, n long, place int, cid long, component long"
         )
         rows = tiled.join(self.classes.select("cid", "bits"), "cid")
         tile = ["key", "first", "second"]
-        ordered = rows.select(*tile, "block", "n", "cid", "component", "bits").repartition(*tile)
+        ordered = rows.select(*tile, "block", "n", "place", "cid", "component", "bits").repartition(*tile)
         pairs = ordered.sortWithinPartitions(*tile, "n", "cid").mapInArrow(
             _compare(percent), "a long, b long, share double"
         )
@@ -391,6 +429,30 @@ def _whole_runs(batches, keys: list[str]):
         yield whole, starts_of(whole)
 
 
+def _pairs_ahead(table: pa.Table, starts: np.ndarray, percent: int):
+    """Pairs of rows of one run, in arrays: each row with those one, two, three ... places ahead.
+
+    Only pairs of two components are given whose sizes allow the similarity and which can share their first hash here.
+    """
+    if not table.num_rows:
+        return
+    n, place, component = (table.column(name).to_numpy() for name in ("n", "place", "component"))
+    ends = np.repeat(np.append(starts[1:], len(n)), np.diff(np.append(starts, len(n))))
+    here, ahead = np.arange(len(n)), 1
+    while True:
+        here = here[here + ahead < ends[here]]
+        here = here[percent * n[here + ahead] <= 100 * n[here]]  # sizes go up, so farther ones differ more
+        if not len(here):
+            return
+        there = here + ahead
+        fit = component[here] != component[there]
+        a, b = here[fit], there[fit]
+        fit = may_start(n[a], place[a], n[b], place[b], percent)
+        if fit.any():
+            yield a[fit], b[fit]
+        ahead += 1
+
+
 def _tiles(percent: int):
     """Rows of keys with two components or more, in tiles of two blocks of sizes that can be similar."""
 
@@ -400,7 +462,13 @@ def _tiles(percent: int):
             ends = np.append(starts[1:], len(n))
             mixed = np.minimum.reduceat(component, starts) != np.maximum.reduceat(component, starts)
             small = mixed & (ends - starts <= BLOCK)
-            rows = [np.flatnonzero(np.repeat(small, ends - starts))]
+            inside = np.flatnonzero(np.repeat(small, ends - starts))
+            lengths = (ends - starts)[small]
+            part = table.take(pa.array(inside))
+            paired = np.zeros(len(inside), bool)
+            for a, b in _pairs_ahead(part, np.cumsum(lengths) - lengths, percent):
+                paired[a] = paired[b] = True
+            rows = [inside[paired]]
             places = [np.zeros((3, len(rows[0])), np.int32)]
             for start, end in zip(starts[mixed & ~small], ends[mixed & ~small], strict=True):
                 blocks = [np.arange(at, min(at + BLOCK, end)) for at in range(start, end, BLOCK)]
@@ -419,44 +487,28 @@ def _tiles(percent: int):
                         places.append(place)
             rows, places = np.concatenate(rows), np.concatenate(places, axis=1)
             part = table.take(pa.array(rows))
-            yield from pa.table(
-                {
-                    "key": part["key"], "first": places[0], "second": places[1], "block": places[2],
-                    "n": part["n"], "cid": part["cid"], "component": part["component"],
-                }
-            ).to_batches()
+            columns = {name: part[name] for name in ("n", "place", "cid", "component")}
+            tile = {"key": part["key"], "first": places[0], "second": places[1], "block": places[2]}
+            yield from pa.table(tile | columns).to_batches()
 
     return run
 
 
 def _compare(percent: int):
-    """Pairs within each tile by bitmap; rows of a tile are compared with those one, two, three ... places ahead."""
+    """Pairs within each tile that the bitmaps leave."""
 
     def run(batches):
         for table, starts in _whole_runs(batches, ["key", "first", "second"]):
-            n, cid, component = (table.column(name).to_numpy() for name in ("n", "cid", "component"))
-            block = table.column("block").to_numpy()
+            n, cid, block = (table.column(name).to_numpy() for name in ("n", "cid", "block"))
             own = table.column("first").to_numpy() == table.column("second").to_numpy()
             bits = table.column("bits").to_pylist()
-            ends = np.repeat(np.append(starts[1:], len(n)), np.diff(np.append(starts, len(n))))
-            here = np.arange(len(n))
-            ahead = 1
+            small = folded(bits)
             found = []
-            while True:
-                here = here[here + ahead < ends[here]]
-                here = here[percent * n[here + ahead] <= 100 * n[here]]  # sizes go up, so farther ones differ more
-                if not len(here):
-                    break
-                there = here + ahead
-                fit = (component[here] != component[there]) & (own[here] | (block[here] != block[there]))
-                a, b = here[fit], there[fit]
+            for a, b in _pairs_ahead(table, starts, percent):
+                fit = own[a] | (block[a] != block[b])
+                a, b, share = bounded_pairs(n, bits, small, a[fit], b[fit], percent)
                 if len(a):
-                    differ = differing_bits([bits[i] for i in a], [bits[i] for i in b])
-                    kept = possible(n[a], n[b], differ, percent)
-                    if kept.any():
-                        a, b, share = a[kept], b[kept], (differ / (n[a] + n[b]))[kept]
-                        found.append((np.maximum(cid[a], cid[b]), np.minimum(cid[a], cid[b]), share))
-                ahead += 1
+                    found.append((np.maximum(cid[a], cid[b]), np.minimum(cid[a], cid[b]), share))
             if found:
                 a, b, share = (np.concatenate(columns) for columns in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(share)], names=["a", "b", "share"])
