@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 from tallyspark.llm import ngram_join
 from tallyspark.llm.components import connected_components
 from tallyspark.llm.ngram_join import (
-    bitmap, differing_bits, jaccard_components, keep_one_per_component, possible, prefix_length, shingles,
+    bitmap, bounded_pairs, differing_bits_of, folded, jaccard_components, keep_one_per_component, may_start, possible,
+    prefix_length, shingles,
 )
 
 
@@ -65,18 +66,25 @@ def test_bounds_lose_nothing(one, more, part):
     a = np.array(sorted(one | {x for x in more if x % 100 < part * 100}), np.uint64)
     b = np.array(sorted(one), np.uint64)
     similar = 100 * len(one & set(a.tolist())) >= 80 * len(set(a.tolist()) | one)
-    bits = differing_bits([bitmap(a)], [bitmap(b)])
+    bits = [bitmap(a), bitmap(b)]
     if similar:
-        assert possible(np.array([len(a)]), np.array([len(b)]), bits)[0]
-        assert set(a[: prefix_length(len(a))].tolist()) & set(b[: prefix_length(len(b))].tolist())
+        assert possible(len(a), len(b), differing_bits_of(*bits))
+        sizes = np.array([len(a), len(b)])
+        assert len(bounded_pairs(sizes, bits, folded(bits), np.array([0]), np.array([1]), 80)[0]) == 1
+        shared = sorted(set(a[: prefix_length(len(a))].tolist()) & set(b[: prefix_length(len(b))].tolist()))
+        assert shared
+        places = np.searchsorted(a, np.uint64(shared[0])), np.searchsorted(b, np.uint64(shared[0]))
+        assert may_start(len(a), places[0], len(b), places[1], 80)
 
 
 def test_bitmaps_of_different_width():
     rng = np.random.default_rng(1)
     large = np.unique(rng.integers(0, 2**63, 1200).astype(np.uint64))
-    small = large[:1000]
+    small = large[:400]
     assert len(bitmap(large)) != len(bitmap(small))
-    assert 0 < differing_bits([bitmap(large)], [bitmap(small)])[0] <= len(large) - 1000
+    assert 0 < differing_bits_of(bitmap(large), bitmap(small)) <= len(large) - 400
+    one, other = folded([bitmap(large), bitmap(small)])
+    assert np.bitwise_count(one ^ other).sum() == differing_bits_of(bitmap(large), bitmap(small))
 
 
 @pytest.mark.parametrize("block", [512, 3])
