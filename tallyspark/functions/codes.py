@@ -67,6 +67,18 @@ WITHDRAWAL_PROCEDURES = (
 
 # --- fixed values: run log ---------------------------------------------------------------------
 GREEN, YELLOW, RED, FAILED = "Verde", "Amarillo", "Rojo", "Error"
+UNKNOWN_PHASE = "Sin fase"
+NOTICE_MENU = 7
+MANUAL_FLAGS = 1
+
+# --- fixed values: quality checks --------------------------------------------------------------
+NO_DATA = "TABLE_NO_DATA"
+MISSED_VALUES = "TABLE_MISSED_VALUES"
+UNEXPECTED_VALUES = "TABLE_UNEXPECTED_VALUES"
+DUPLICATED_VALUES = "TABLE_DUPLICATED_VALUES"
+INVALID_FOREIGN_VALUES = "TABLE_INVALID_FOREIGN_VALUES"
+NULL_METRICS = "CONTROL_METRICS_NULL_VALUES"
+MISSED_TABLE = "TABLE_MISSED"
 
 
 def decode(value: Column, table: dict) -> Column:

@@ -36,6 +36,7 @@ def _concepts(
         F.lit(origin).alias("origin"),
         F.col(description).alias("description"),
         F.lit(is_switch).alias("is_switch"),
+        slot.cast("int").alias("ordinal"),
     )
 
 
@@ -45,7 +46,10 @@ def concept_catalog(config: DataFrame, concept_subaccount: DataFrame) -> DataFra
 
 
 def legacy_concept_catalog(config: DataFrame, concept_subaccount: DataFrame) -> DataFrame:
-    """Movement concepts of the legacy system, which switch amount slots to sub-accounts."""
+    """Movement concepts of the legacy system, which switch amount slots to sub-accounts.
+
+    Of several slots of a movement the highest counts, so the slot is the ordinal.
+    """
     known = config.filter(F.col("legacy_code").isin(*codes.LEGACY_CODES))
     slot = F.coalesce("slot", F.lit(0))
     return _concepts(known, concept_subaccount, slot, "legacy_description", codes.LEGACY_ORIGIN, True)

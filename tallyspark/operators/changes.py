@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.joins import broadcast_if_small, first_per_key
+from tallyspark.operators.joins import first_per_key
 
 
 def upsert(
@@ -32,7 +32,7 @@ def upsert(
         order.append(F.col(position))
     order += [F.col(name).asc_nulls_last() for name in values]
     winners = first_per_key(source, keys, order).select(*keys, *values)
-    kept = target.join(broadcast_if_small(source.select(*keys)), list(keys), "left_anti")
+    kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(winners, allowMissingColumns=True)
 
 

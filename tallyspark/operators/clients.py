@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions import codes
-from tallyspark.operators.joins import broadcast_if_small, first_per_key
+from tallyspark.operators.joins import first_per_key
 from tallyspark.operators.terms import Term, stamp_period
 
 
@@ -49,10 +49,10 @@ def client_master(
     home = homes.filter(F.col("home_type") == codes.HOME_TYPE).select("person_id", "address_id")
 
     def named(df: DataFrame, key: str, name: str) -> DataFrame:
-        return broadcast_if_small(df.select(key, F.col("name").alias(name)))
+        return df.select(key, F.col("name").alias(name))
 
     places = (
-        addresses.join(broadcast_if_small(zip_codes), "zip_id", "left")
+        addresses.join(zip_codes, "zip_id", "left")
         .join(named(states, "state_id", "state"), "state_id", "left")
         .join(named(municipalities, "municipality_id", "municipality"), "municipality_id", "left")
         .join(named(settlements, "settlement_id", "colony"), "settlement_id", "left")
@@ -80,7 +80,7 @@ def indicator_values(
     rows = indicators.filter(wanted & (F.col("valid") == 1) if only_valid else wanted)
     known = config.filter(wanted).select("indicator_id")
     return (
-        rows.join(broadcast_if_small(known), "indicator_id", "left_semi")
+        rows.join(known, "indicator_id", "left_semi")
         .select("account_id", codes.decode(F.col("code"), dict(labels)).alias("value"))
         .distinct()
     )
@@ -100,7 +100,7 @@ def indicator_profile(indicators: DataFrame, config: DataFrame) -> DataFrame:
     }
     ids = [indicator_id for indicator_id, _ in columns.values()]
     rows = indicators.filter((F.col("valid") == 1) & F.col("indicator_id").isin(ids)).join(
-        broadcast_if_small(config.select("indicator_id").distinct()), "indicator_id", "left_semi"
+        config.select("indicator_id").distinct(), "indicator_id", "left_semi"
     )
 
     def first_position(indicator_id: int, labels: Mapping[str, str]) -> Column:
@@ -126,7 +126,7 @@ def has_generation_mark(label: Column) -> Column:
 
 def _marked_subaccounts(subaccounts: DataFrame) -> DataFrame:
     marked = has_generation_mark(F.col("label")).cast("int").alias("_marked")
-    return broadcast_if_small(subaccounts.select("subaccount_id", marked).distinct())
+    return subaccounts.select("subaccount_id", marked).distinct()
 
 
 def _generation(highest_mark: Column) -> Column:
@@ -180,7 +180,7 @@ def pension_type(
     names = catalog.select(F.col("catalog_id").alias("subprocess_id"), F.col("value").alias("pension_type"))
     return (
         chosen.join(eligible, ["folio", "settlement_folio"])
-        .join(broadcast_if_small(names), "subprocess_id")
+        .join(names, "subprocess_id")
         .select("account_id", "pension_type")
     )
 
@@ -188,7 +188,7 @@ def pension_type(
 def investment_profile(groups: DataFrame, catalog: DataFrame) -> DataFrame:
     """Description of the investment group of each account."""
     names = catalog.select(F.col("catalog_id").alias("group_id"), F.col("description").alias("profile"))
-    return groups.join(broadcast_if_small(names), "group_id").select("account_id", "profile")
+    return groups.join(names, "group_id").select("account_id", "profile")
 
 
 def classify_clients(

@@ -1,4 +1,4 @@
-"""Joins against catalogs and configuration, and first-row-per-key selection."""
+"""First row per key."""
 
 from __future__ import annotations
 
@@ -7,19 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after looking whether the side has more than ``max_rows`` rows.
-
-    The look stops at the first row beyond the limit and reads no columns. A larger side is returned without a hint:
-    Spark then shuffles both sides and adaptive execution splits hot keys, so a catalog that outgrows the limit costs
-    time, not memory. Call it on narrow selections, because the limit is in rows.
-    """
-    is_small = df.select(F.lit(1)).offset(max_rows).isEmpty()
-    return F.broadcast(df) if is_small else df
-
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of every key under a total order.

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions import codes
-from tallyspark.operators.joins import broadcast_if_small
 from tallyspark.operators.terms import Term, stamp_period
 
 MOVEMENT_COLUMNS = (
@@ -24,7 +23,7 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def union_movements(
-    families: Mapping[str, DataFrame], term: Term, origin: str = codes.MOVEMENT_ORIGIN, whole_days: bool = False
+    families: Mapping[str, DataFrame], term: Term, origin: str = codes.MOVEMENT_ORIGIN
 ) -> DataFrame:
     """Movements of the period from every family, in one schema and with amounts rounded to cents.
 
@@ -32,9 +31,8 @@ def union_movements(
     """
 
     def normalise(family: str, df: DataFrame) -> DataFrame:
-        in_term = term.covers_whole_days(F.col("settled_at")) if whole_days else term.covers(F.col("settled_at"))
         present = [F.col(name) for name in MOVEMENT_COLUMNS if name in df.columns and name != "amount"]
-        return df.filter(in_term).select(
+        return df.filter(term.covers(F.col("settled_at"))).select(
             *present,
             F.round("amount", 2).cast("decimal(18,2)").alias("amount"),
             F.lit(family).alias("family"),
@@ -96,7 +94,7 @@ def map_switches(wide: DataFrame, switches: DataFrame) -> DataFrame:
     )
     helpers = [f"_switch_{slot}" for slot in slots]
     return (
-        wide.join(broadcast_if_small(per_code), "code", "left")
+        wide.join(per_code, "code", "left")
         .withColumn("_match", F.array_max(matches))
         .select(
             *[F.col(name) for name in wide.columns],
@@ -121,7 +119,7 @@ def explode_switches(wide: DataFrame, switches: DataFrame) -> DataFrame:
     targets = switches.groupBy("code", "slot").agg(
         F.max(F.struct("ordinal", "subaccount_id")).getField("subaccount_id").cast("int").alias("subaccount_id")
     )
-    return long.join(broadcast_if_small(targets), ["code", "slot"])
+    return long.join(targets, ["code", "slot"])
 
 
 def legacy_movements(

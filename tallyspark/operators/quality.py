@@ -8,17 +8,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.joins import broadcast_if_small
+from tallyspark.functions.codes import (
+    DUPLICATED_VALUES, INVALID_FOREIGN_VALUES, MISSED_TABLE, MISSED_VALUES, NO_DATA, NULL_METRICS, UNEXPECTED_VALUES,
+)
 from tallyspark.operators.movements import union_all
 
-NO_DATA = "TABLE_NO_DATA"
-MISSED_VALUES = "TABLE_MISSED_VALUES"
-UNEXPECTED_VALUES = "TABLE_UNEXPECTED_VALUES"
-DUPLICATED_VALUES = "TABLE_DUPLICATED_VALUES"
-INVALID_FOREIGN_VALUES = "TABLE_INVALID_FOREIGN_VALUES"
-NULL_METRICS = "CONTROL_METRICS_NULL_VALUES"
-MISSED_TABLE = "TABLE_MISSED"
-
 
 @dataclass(frozen=True)
 class CheckSpec:
@@ -64,7 +58,7 @@ def quality_checks(df: DataFrame, spec: CheckSpec) -> DataFrame:
     for column, (parent, parent_key) in spec.references.items():
         values = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
         known = parent.select(F.col(parent_key).alias(column))
-        orphans = values.join(broadcast_if_small(known), column, "left_anti")
+        orphans = values.join(known, column, "left_anti")
         counted = orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failures"))
         results.append(result(INVALID_FOREIGN_VALUES, column, counted))
     return union_all(results)

@@ -65,45 +65,46 @@ def control_report(
 
 
 def run_subtotals(
-    detail: DataFrame, display: Sequence[str], values: Sequence[str], order: Sequence[str], block: int = 10_000
+    detail: DataFrame, display: Sequence[str], values: Sequence[str], order: Sequence[str], blocks: int = 1024
 ) -> DataFrame:
     """Subtotals of a report read top to bottom: one whenever the value of a display column changes.
 
     Every display column has its own runs, so the same value can give several subtotals when the order does not keep it
-    together. Rows are numbered in the given order; a change is found by joining each row with its successor, and runs
-    are numbered by prefix sums in blocks, so nothing is sorted or scanned in one task. ``last_row`` is the number of
-    the row after which the subtotal stands.
+    together. Rows are numbered in the given order, and a change is found by joining each row with its successor. Runs
+    are numbered by prefix sums within ``blocks`` blocks of consecutive rows; only the sums of the blocks, a fixed
+    number per column, are added up in one window. ``last_row`` is the number of the row after which the subtotal
+    stands.
     """
     numbered = number_rows(detail, [F.col(name).asc_nulls_first() for name in order], "_n")
+    per_block = F.lit(numbered.count() // blocks + 1)
     flagged = numbered.join(
         numbered.select((F.col("_n") + 1).alias("_n"), *(F.col(name).alias(f"_before_{name}") for name in display)),
         "_n",
         "left",
     )
-
-    def runs_of(column: str) -> DataFrame:
-        changed = (F.col("_n") > 1) & ~F.col(column).eqNullSafe(F.col(f"_before_{column}"))
-        blocks = flagged.select(
-            "_n", column, *values, changed.cast("int").alias("_changed"),
-            F.floor(F.col("_n") / block).alias("_block"),
-        )
-        per_block = blocks.groupBy("_block").agg(F.sum("_changed").alias("_changes"))
-        earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = per_block.select("_block", F.coalesce(F.sum("_changes").over(earlier), F.lit(0)).alias("_offset"))
-        within = Window.partitionBy("_block").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
-        run = F.col("_offset") + F.col("_run")
-        return (
-            blocks.withColumn("_run", F.sum("_changed").over(within))
-            .join(offsets, "_block")
-            .groupBy(run.alias("_run"), F.col(column).cast("string").alias("value"))
-            .agg(F.max("_n").alias("last_row"), *(F.sum(name).alias(name) for name in values))
-            .select(F.lit(column).alias("grouped_by"), "value", "last_row", *values)
+    entries = F.array(
+        *(
+            F.struct(
+                F.lit(name).alias("grouped_by"), F.col(name).cast("string").alias("value"),
+                ((F.col("_n") > 1) & ~F.col(name).eqNullSafe(F.col(f"_before_{name}"))).cast("int").alias("_changed"),
+            )
+            for name in display
         )
-
-    first, *rest = [runs_of(column) for column in display]
-    for frame in rest:
-        first = first.unionByName(frame)
-    return first
+    )
+    long = flagged.select("_n", F.floor(F.col("_n") / per_block).alias("_block"), *values, F.inline(entries))
+    changes = long.groupBy("grouped_by", "_block").agg(F.sum("_changed").alias("_changes"))
+    earlier = Window.partitionBy("grouped_by").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = changes.select(
+        "grouped_by", "_block", F.coalesce(F.sum("_changes").over(earlier), F.lit(0)).alias("_offset")
+    )
+    within = Window.partitionBy("grouped_by", "_block").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        long.withColumn("_run", F.sum("_changed").over(within))
+        .join(offsets, ["grouped_by", "_block"])
+        .groupBy("grouped_by", (F.col("_offset") + F.col("_run")).alias("_run"), "value")
+        .agg(F.max("_n").alias("last_row"), *(F.sum(name).alias(name) for name in values))
+        .select("grouped_by", "value", "last_row", *values)
+    )
 
 
 def load_summary(df: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions import codes
-from tallyspark.operators.joins import broadcast_if_small
 from tallyspark.operators.movements import union_all
 from tallyspark.operators.terms import Term, stamp_period
 
@@ -25,7 +24,7 @@ def commissions(
         concept_subaccount.select("mov_subacc_id", "subaccount_id"), "mov_subacc_id"
     )
     rows = charged.filter(term.covers(F.col("settled_at"))).join(
-        broadcast_if_small(lookup.select("concept_id", "subaccount_id")), "concept_id"
+        lookup.select("concept_id", "subaccount_id"), "concept_id"
     )
     return stamp_period(rows, term.period_id)
 
@@ -138,7 +137,7 @@ def json_breakdown(returns: DataFrame, clients: DataFrame, subaccounts: DataFram
         affiliation.alias("affiliation"),
         indicator("33").alias("client_type"),
     )
-    labels = broadcast_if_small(subaccounts.select("subaccount_id", F.col("label").alias("subaccount")))
+    labels = subaccounts.select("subaccount_id", F.col("label").alias("subaccount"))
     per_account = returns.groupBy(*RETURN_KEYS).agg(F.sum("computed_return").alias("computed_return"))
     return (
         per_account.join(labels, "subaccount_id")

@@ -9,12 +9,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.functions import codes
 from tallyspark.functions.codes import pack_flags
-from tallyspark.operators.joins import broadcast_if_small
 from tallyspark.operators.movements import union_all
 from tallyspark.operators.terms import Term, stamp_period
 
-MANUAL_FLAGS = 1
+RULES_PER_PLAN = 50
 
 
 @dataclass(frozen=True)
@@ -30,18 +30,16 @@ class IndicatorRule:
     generated: bool = False
 
 
-def read_rules(indicators: DataFrame, statements: DataFrame, max_rules: int = 1000) -> list[IndicatorRule]:
-    """Active rules of the catalog. Somebody maintains each statement, so their number is small; it is checked."""
+def read_rules(indicators: DataFrame, statements: DataFrame) -> Iterator[IndicatorRule]:
+    """Active rules of the catalog in order, fetched a partition at a time: the driver never holds the catalog."""
     rows = (
         indicators.filter("active")
         .join(statements, "indicator_id")
         .select("indicator_id", "sql", "source", "available", "printed", "sent", "generated")
         .orderBy("indicator_id", "source", "sql")
-        .take(max_rules + 1)
+        .toLocalIterator()
     )
-    if len(rows) > max_rules:
-        raise ValueError(f"more than {max_rules} active indicator rules")
-    return [IndicatorRule(*row) for row in rows]
+    return (IndicatorRule(*row) for row in rows)
 
 
 @contextmanager
@@ -88,10 +86,10 @@ def run_indicator_rules(
 
 def manual_indicators(uploads: DataFrame, indicators: DataFrame, term: Term) -> DataFrame:
     """Indicators of accounts uploaded by hand for the period, matched by procedure."""
-    known = broadcast_if_small(indicators.select("procedure", "indicator_id"))
+    known = indicators.select("procedure", "indicator_id")
     rows = uploads.filter(F.col("period_id") == term.period_id).select("account_id", "procedure").join(
         known, "procedure"
     )
     return stamp_period(
-        rows.select("account_id", "indicator_id", F.lit(MANUAL_FLAGS).alias("flags")), term.period_id
+        rows.select("account_id", "indicator_id", F.lit(codes.MANUAL_FLAGS).alias("flags")), term.period_id
     )

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions import codes
-from tallyspark.operators.joins import broadcast_if_small
 from tallyspark.operators.terms import Term
 
 WEIGHT_SCALE = 10**15
+WEIGHT_TYPE = "decimal(38,0)"
 SALTS = 64
 
 
@@ -19,14 +19,14 @@ def account_concepts(movements: DataFrame, bridge: DataFrame) -> DataFrame:
     Pairs may repeat: every use below is insensitive to that, and a ``distinct`` here would only add a shuffle.
     """
     pairs = movements.select("account_id", "concept_id").join(
-        broadcast_if_small(bridge.select("concept_id", "regulator_id")), "concept_id"
+        bridge.select("concept_id", "regulator_id"), "concept_id"
     )
     return pairs.select("account_id", "regulator_id")
 
 
 def _active(quotas: DataFrame, only_active: bool) -> DataFrame:
     chosen = quotas.filter("active") if only_active else quotas
-    return broadcast_if_small(chosen.select("regulator_id", "quantity"))
+    return chosen.select("regulator_id", "quantity")
 
 
 def _held_concepts(
@@ -37,7 +37,7 @@ def _held_concepts(
     The sets are combined map-side, so a hot account arrives as one row per task; the given accounts are matched after
     that, on the same partitioning.
     """
-    share = F.expr(f"bigint({WEIGHT_SCALE}) div bigint(quantity)").alias("share")
+    share = F.greatest(F.lit(1), F.expr(f"bigint({WEIGHT_SCALE}) div bigint(quantity)")).alias("share")
     held = (
         concepts.join(_active(quotas, only_active), "regulator_id")
         .groupBy("account_id")
@@ -46,6 +46,10 @@ def _held_concepts(
     return held if accounts is None else held.join(accounts.select("account_id"), "account_id", "left_semi")
 
 
+def _plus_share(total: Column, held: Column) -> Column:
+    return (total + held["share"]).cast(WEIGHT_TYPE)
+
+
 def quota_ranks(
     concepts: DataFrame,
     quotas: DataFrame,
@@ -56,11 +60,11 @@ def quota_ranks(
     """The accounts that fill each concept's quota, with their rank in it; ``accounts`` limits who can be drawn.
 
     Accounts that serve rare concepts come first: the weight is the sum of 1/quota over the account's concepts, kept as
-    a scaled integer so that it does not depend on summation order; ties go to the lower account. A concept may hold
+    a scaled whole number so that it depends on no order of summation; ties go to the lower account. A concept may hold
     most accounts, so ranks are taken twice: within ``(concept, salt)`` first, where nothing below the quota can reach
     the final ranks, and then among the few survivors of each concept.
     """
-    weight = F.aggregate("_held", F.lit(0).cast("bigint"), lambda total, held: total + held["share"])
+    weight = F.aggregate("_held", F.lit(0).cast(WEIGHT_TYPE), _plus_share)
     held = _held_concepts(concepts, quotas, only_active, accounts)
     pairs = held.select("account_id", weight.alias("weight"), F.inline("_held")).select(
         "account_id", "weight", "regulator_id", "quantity",

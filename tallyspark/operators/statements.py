@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions import codes
 from tallyspark.functions.calendar import compact_period, in_window, is_due, lookback_start, period_start
-from tallyspark.operators.joins import broadcast_if_small
 from tallyspark.operators.numbering import number_rows
 from tallyspark.operators.terms import Term
 from tallyspark.sources.shared import written_once
@@ -62,7 +61,7 @@ def client_formats(client_facts: DataFrame, formats: DataFrame, sample: DataFram
         }
     )
     return decoded.join(
-        broadcast_if_small(formats), ["generation_id", "origin_code", "affiliation_code"]
+        formats, ["generation_id", "origin_code", "affiliation_code"]
     ).drop("origin_code", "affiliation_code")
 
 
@@ -107,8 +106,16 @@ def header_base(chosen: DataFrame, clients: DataFrame, term: Term) -> DataFrame:
 
 
 def with_folio(header: DataFrame) -> DataFrame:
-    """Consecutive folios in statement id order, as text."""
-    return number_rows(header, ["statement_id"], "folio").withColumn("folio", F.col("folio").cast("string"))
+    """Consecutive folios in statement id order, as text.
+
+    Only the keys are sorted and numbered, from a stored table; the wide header meets its folio in one join. Headers
+    have one row per account and format.
+    """
+    keys = written_once(header.select(*STATEMENT_KEYS, "statement_id"), "statement-keys")
+    folios = number_rows(keys, ["statement_id"], "folio").select(
+        *STATEMENT_KEYS, F.col("folio").cast("string").alias("folio")
+    )
+    return header.join(folios, list(STATEMENT_KEYS)).select(*header.columns, "folio")
 
 
 def with_uuid_ids(header: DataFrame) -> DataFrame:
@@ -154,12 +161,25 @@ def window_bounds(returns: DataFrame, formats: DataFrame, periods: DataFrame, te
     months = formats.select("front_months").distinct().select(
         "front_months", F.explode(F.sequence(first_month, F.lit(term.start), F.expr("INTERVAL 1 MONTH"))).alias("starts")
     )
-    present = returns.select("period_id").distinct().join(broadcast_if_small(_period_starts(periods)), "period_id")
+    present = returns.select("period_id").distinct().join(_period_starts(periods), "period_id")
     return months.join(present, "starts").groupBy("front_months").agg(
         F.min_by("period_id", "starts").alias("first_period"), F.max_by("period_id", "starts").alias("last_period")
     )
 
 
+def period_range(periods: DataFrame, term: Term, months: DataFrame, column: str) -> Column:
+    """Whether a row's period can lie in the longest window that ``column`` names, as bounds that prune partitions.
+
+    Three numbers are looked up, in the formats and the periods; the caller still checks the exact window of each row.
+    """
+    longest = months.agg(F.max(column)).first()[0]
+    reached = in_window(
+        F.col("starts"), F.lit(term.start), F.lit(term.end), F.lit(longest).cast("int"), inclusive=False
+    )
+    first, last = _period_starts(periods).filter(reached).agg(F.min("period_id"), F.max("period_id")).first()
+    return F.col("period_id").between(F.lit(first), F.lit(last))
+
+
 def _period_starts(periods: DataFrame) -> DataFrame:
     return periods.select("period_id", period_start(F.col("period")).alias("starts"))
 
@@ -179,15 +199,19 @@ def statement_front(
     Contributions, withdrawals and commissions are summed over the look-back window, the opening balance is that of the
     first period in it and the closing balance that of the last. A line without matching sub-accounts shows zeros, and
     overlapping lines each have their own sum. Returns are summed per sub-account before the few lines multiply them,
-    and the window bounds, a few rows found in all returns, are written once.
-    ``flows_in_window=False`` sums the flows of all periods.
+    and the window bounds, a few rows, are written once. Literal bounds on the period prune the partitions of the
+    returns; with ``flows_in_window=False`` the flows of all periods are summed, and all returns are read.
     """
     due = chosen.filter(is_due(F.lit(term.end), F.col("generation_months"))).select(
         "account_id", "format_id", "generation_id", "front_months"
     )
-    bounds = written_once(window_bounds(returns, formats, periods, term), "bounds")
-    windows = due.join(broadcast_if_small(bounds), "front_months", "left")
-    rows = returns.join(broadcast_if_small(_period_starts(periods)), "period_id").join(windows, "account_id")
+    inside_range = period_range(periods, term, formats, "front_months")
+    recent = returns.filter(inside_range)
+    bounds = written_once(window_bounds(recent, formats, periods, term), "bounds")
+    if flows_in_window:
+        returns = recent
+    windows = due.join(bounds, "front_months", "left")
+    rows = returns.join(_period_starts(periods), "period_id").join(windows, "account_id")
     inside = in_window(
         F.col("starts"), F.lit(term.start), F.lit(term.end), F.col("front_months"), inclusive=False
     )
@@ -210,7 +234,7 @@ def statement_front(
         return F.sum(F.when(listed, F.col(measure)).otherwise(0)).cast("decimal(16,2)").alias(name)
 
     shown = (
-        per_subaccount.join(broadcast_if_small(lines), "generation_id")
+        per_subaccount.join(lines, "generation_id")
         .groupBy("account_id", "format_id", "savings_type", "concept", "section")
         .agg(
             listed_sum("credit", "contribution"),
@@ -249,18 +273,20 @@ def statement_back(
     term: Term,
     user: str = "0",
     due_on_term: bool = False,
+    formats: DataFrame | None = None,
 ) -> DataFrame:
     """Movements of the look-back window, summed per statement, regulator concept and date.
 
     Amounts are summed per account, period, concept and date before the clients are joined, so a hot account arrives
-    already reduced; concept texts are attached last. Only movements of due months count; with ``due_on_term`` the
+    already reduced; concept texts are attached last. Literal bounds on the period prune the movements' partitions. Only movements of due months count; with ``due_on_term`` the
     month of the statement decides.
     """
     texts = regulator_concepts.select("regulator_id", "section", "description")
     starts = _period_starts(periods).filter(F.col("starts") <= F.lit(term.end))
     summed = (
-        movements.join(broadcast_if_small(starts), "period_id")
-        .join(broadcast_if_small(bridge.select("concept_id", "regulator_id")), "concept_id")
+        movements.filter(period_range(periods, term, chosen if formats is None else formats, "back_months"))
+        .join(starts, "period_id")
+        .join(bridge.select("concept_id", "regulator_id"), "concept_id")
         .groupBy("account_id", "starts", "regulator_id", "settled_at")
         .agg(F.sum("amount").alias("amount"))
     )
@@ -273,7 +299,7 @@ def statement_back(
     return _audit(
         shown.groupBy(*STATEMENT_KEYS, "regulator_id", "settled_at")
         .agg(F.sum("amount").cast("decimal(18,2)").alias("amount"))
-        .join(broadcast_if_small(texts), "regulator_id")
+        .join(texts, "regulator_id")
         .withColumns(
             {
                 "reference_period": F.lit(codes.UNKNOWN_REFERENCE),
@@ -310,3 +336,13 @@ def sample_links(sample: DataFrame, header: DataFrame, term: Term, url_base: str
         "area_id",
         F.concat(F.lit(url_base), F.col("folio"), F.lit(".pdf")).alias("url"),
     )
+
+
+def sample_update(sample: DataFrame, header: DataFrame, term: Term, url_base: str) -> DataFrame:
+    """The sample rows of the period with the address of their statement; rows without a statement keep theirs.
+
+    An account with statements in several formats has one row per statement.
+    """
+    folios = header.select("account_id", F.concat(F.lit(url_base), F.col("folio"), F.lit(".pdf")).alias("_url"))
+    rows = sample.filter(F.col("period_id") == term.period_id).join(folios, "account_id", "left")
+    return rows.withColumn("url", F.coalesce("_url", "url")).select(*sample.columns)

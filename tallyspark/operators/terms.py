@@ -25,11 +25,7 @@ class Term:
     previous_price_date: date
 
     def covers(self, moment: Column) -> Column:
-        """Inclusive day bounds. A time part on the last day falls outside, as BETWEEN dates does."""
-        return moment.between(F.lit(self.start), F.lit(self.end))
-
-    def covers_whole_days(self, moment: Column) -> Column:
-        """Half-open bounds: every moment of the last day is inside."""
+        """Every moment of the period's days, the last day to its end, for dates and timestamps alike."""
         return (moment >= F.lit(self.start)) & (moment < F.lit(self.next_start))
 
     @property

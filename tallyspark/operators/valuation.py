@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.codes import BALANCE_KIND
-from tallyspark.operators.joins import broadcast_if_small
 
 BALANCE_KEYS = ("account_id", "fund_id", "subaccount_id")
 SALTS = 8
 
 
 def cutoff_date(history: DataFrame, after: date, ts: str = "settled_at") -> DataFrame:
-    """One row: the first history date strictly after ``after`` (NULL when there is none)."""
-    return history.filter(F.col(ts) > F.lit(after)).agg(F.min(ts).alias("cutoff"))
+    """One row: the first history date strictly after ``after``, or ``after`` itself while there is none yet."""
+    return history.filter(F.col(ts) > F.lit(after)).agg(
+        F.coalesce(F.min(ts), F.lit(after).cast(history.schema[ts].dataType)).alias("cutoff")
+    )
 
 
 def _latest_day(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
@@ -30,23 +33,29 @@ def latest_per_group(
 ) -> DataFrame:
     """All rows of the latest day on or before ``as_of``, per key.
 
-    The history is read once. Ranks are filtered to the first, so Spark drops everything but the latest day of each key
-    that a map task has seen before it shuffles (window group limit): a hot key with many days is cut down where it is
-    read, and the shuffle does not carry the history.
+    The latest day of a key is a maximum, combined where the history is read. The rows are then joined on key and day,
+    and adaptive execution splits a key with most rows on that day.
     """
-    return _latest_day(history.filter(F.col(ts) <= as_of), keys, ts)
+    day = F.to_date(ts)
+    in_scope = history.filter(F.col(ts) <= as_of)
+    last = in_scope.groupBy(*keys).agg(F.max(day).alias("_day"))
+    joined = in_scope.withColumn("_own_day", day).join(
+        last.select(*(F.col(key).alias(f"_{key}") for key in keys), F.col("_day").alias("_own_day")), "_own_day"
+    )
+    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+    return joined.filter(reduce(and_, same)).select(*history.columns)
 
 
 def latest_units(history: DataFrame, as_of: Column, salts: int = SALTS) -> DataFrame:
     """Units of the latest day on or before ``as_of``, summed per account, fund, sub-account and moment.
 
     A key may have most rows of the table on one day, which no ranking can cut down. So the latest day is taken within
-    ``(key, salt)`` first, what is left is summed map-side and by moment, and the latest day of the key is taken from
-    the sums.
+    ``(key, salt)`` first, where rows take salts in turn, equal ones too; what is left is summed map-side and by
+    moment, and the latest day of the key is taken from the sums.
     """
     in_scope = history.filter(F.col("settled_at") <= as_of).select(
         *BALANCE_KEYS, "settled_at", "units",
-        F.pmod(F.xxhash64("settled_at", "units"), F.lit(salts)).alias("_salt"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(salts)).alias("_salt"),
     )
     summed = (
         _latest_day(in_scope, [*BALANCE_KEYS, "_salt"], "settled_at")
@@ -72,7 +81,7 @@ def subaccount_prices(subaccounts: DataFrame, prices: DataFrame, price_date: Col
     regimes = subaccounts.select("subaccount_id", "regime_id")
     return (
         price_as_of(prices, price_date)
-        .join(broadcast_if_small(regimes), "regime_id")
+        .join(regimes, "regime_id")
         .select("fund_id", "subaccount_id", "price_date", "price")
     )
 
@@ -90,7 +99,7 @@ def value_balances(
     Units are summed to the result grain before prices are attached: the price is constant within a group, so the
     amount is the same and the price join sees only one row per balance. Balances without a price are dropped.
     """
-    price = broadcast_if_small(subaccount_prices(subaccounts, prices, price_date))
+    price = subaccount_prices(subaccounts, prices, price_date)
     return latest_units(history, cutoff).join(price, ["fund_id", "subaccount_id"]).select(
         *BALANCE_KEYS,
         "settled_at",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions import codes
-from tallyspark.operators.joins import broadcast_if_small, first_per_key
+from tallyspark.operators.joins import first_per_key
 from tallyspark.operators.movements import union_all
 from tallyspark.operators.numbering import number_rows
 from tallyspark.operators.terms import Term, stamp_period
@@ -66,8 +66,8 @@ def procedure_of_folio(
     )
     candidates = union_all(branches)
     if folios is not None:
-        candidates = candidates.join(broadcast_if_small(folios.select("folio")), "folio", "left_semi")
-    named = candidates.join(broadcast_if_small(names), "procedure_type", "left")
+        candidates = candidates.join(folios.select("folio"), "folio", "left_semi")
+    named = candidates.join(names, "procedure_type", "left")
     ties = [F.col(name).asc_nulls_last() for name in ("procedure_name", *PROCEDURE_COLUMNS) if name in named.columns]
     order = [F.col("procedure_name").isNull(), F.col("_branch"), *ties]
     return first_per_key(named, ["folio"], order).drop("_branch")
@@ -75,20 +75,19 @@ def procedure_of_folio(
 
 def payment_of_folio(payments: DataFrame, catalog: DataFrame, term: Term) -> DataFrame:
     """One payment per folio: tax is summed, the rest comes from the first payment; bank and medium are named."""
-    in_term = payments.filter(term.covers(F.col("created_at")))
-    tax = in_term.groupBy("folio").agg(F.sum("tax").cast("decimal(18,2)").alias("tax"))
-    first = first_per_key(
-        in_term.select("folio", "subprocess_id", "pay_type_id", "settlement_folio", "bank", "created_at"),
-        ["folio"],
-        [F.col(name) for name in ("created_at", "settlement_folio", "subprocess_id", "pay_type_id", "bank")],
+    order = ("created_at", "settlement_folio", "subprocess_id", "pay_type_id", "bank")
+    first = (
+        payments.filter(term.covers(F.col("created_at")))
+        .groupBy("folio")
+        .agg(F.sum("tax").cast("decimal(18,2)").alias("tax"), F.min(F.struct(*order)).alias("_first"))
+        .select("folio", "tax", "_first.*")
     )
     names = catalog.select("catalog_id", "value")
     banks = names.select(F.col("catalog_id").cast("string").alias("bank"), F.col("value").alias("bank_name"))
     media = names.select(F.col("catalog_id").alias("pay_type_id"), F.col("value").alias("pay_medium"))
     return (
-        first.join(tax, "folio")
-        .join(broadcast_if_small(banks), "bank", "left")
-        .join(broadcast_if_small(media), "pay_type_id", "left")
+        first.join(banks, "bank", "left")
+        .join(media, "pay_type_id", "left")
         .select(
             "folio",
             F.col("subprocess_id").alias("payment_subprocess_id"),
@@ -114,7 +113,7 @@ def balances_of_accounts(
     touched = settled.select("account_id", "subaccount_id").filter(F.col("subaccount_id").isNotNull()).distinct()
     own = history.join(touched, ["account_id", "subaccount_id"], "left_semi")
     latest = latest_units(own, cutoff_date(history, after).scalar())
-    price = broadcast_if_small(subaccount_prices(subaccounts, prices, F.lit(price_date)))
+    price = subaccount_prices(subaccounts, prices, F.lit(price_date))
     return (
         latest.join(price, ["fund_id", "subaccount_id"])
         .groupBy("account_id", "subaccount_id")
@@ -172,7 +171,7 @@ def withdrawal_figures(withdrawn: DataFrame, term: Term) -> DataFrame:
     A missing amount leaves the opening balance missing.
     """
     in_term = withdrawn.filter(F.col("period_id") == term.period_id)
-    numbered = number_rows(in_term, ["account_id", "folio"], "id")
+    numbered = number_rows(written_once(in_term, "withdrawn"), ["account_id", "folio"], "id")
     amounts = {
         name: F.round(source, 2).cast("decimal(18,2)")
         for name, source in (("remaining", "balance"), ("paid", "paid"), ("tax", "tax"))

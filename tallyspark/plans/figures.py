@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.codes import BALANCE_KIND
-from tallyspark.operators.joins import broadcast_if_small
 from tallyspark.operators.reports import control_report
 from tallyspark.operators.terms import Term
 
@@ -24,7 +23,7 @@ def _profiles(client_facts: DataFrame, term: Term) -> DataFrame:
 
 
 def _label(df: DataFrame, key: str, label: str, name: str) -> DataFrame:
-    return broadcast_if_small(df.select(key, F.col(label).alias(name)))
+    return df.select(key, F.col(label).alias(name))
 
 
 def _per_account(df: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -45,7 +44,7 @@ def movement_figures_by_concept(
         regulator_concepts.select("regulator_id", F.col("description").alias("regulator_concept")), "regulator_id"
     )
     amounts = _of_term(movements, term).join(
-        broadcast_if_small(names.select("concept_id", "regulator_concept")), "concept_id"
+        names.select("concept_id", "regulator_concept"), "concept_id"
     )
     rows = _per_account(amounts, ["regulator_concept"], ["amount"]).join(_profiles(client_facts, term), "account_id")
     return control_report(rows, [*PROFILE, "regulator_concept"], {"amount": "amount"}, {"clients": "account_id"})

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.operators import catalogs, changes, clients, movements, returns, rules, sampling, withdrawals
+from tallyspark.operators import (
+    catalogs, changes, clients, movements, returns, rules, sampling, statements, withdrawals,
+)
 from tallyspark.operators.numbering import page_rows
 from tallyspark.operators.terms import Term
 from tallyspark.operators.valuation import cutoff_date, value_balances
 from tallyspark.plans import figures
+from tallyspark.plans.statements import StatementConfig, build_statements
 from tallyspark.plans.warehouse import Warehouse
-from tallyspark.sources.shared import written_once
-from tallyspark.sources.tables import Table, append_table
+from tallyspark.sources.shared import new_table_path, written_once
+from tallyspark.sources.tables import Table, replace_period_in
 
 FIGURE_PAGE = 150_000
 
@@ -81,13 +85,22 @@ def load_indicator_rules(
     uploads: DataFrame,
     term: Term,
     publish: Table | None = None,
+    clear: Callable[[int], None] | None = None,
 ) -> None:
-    """Indicators by rule and by hand; the period is published to another sink when one is given."""
-    ruled = rules.run_indicator_rules(spark, rules.read_rules(indicators, statements), sources, term)
+    """Indicators by rule and by hand; the period is also replaced in another sink when one is given.
+
+    Rules run in groups of a fixed number, so no plan grows with the catalog.
+    """
     manual = rules.manual_indicators(uploads, indicators, term)
-    warehouse.load("client_indicator", ruled.unionByName(manual), term)
+    collected = new_table_path(spark, "indicators")
+    manual.write.parquet(collected)
+    listed = iter(rules.read_rules(indicators, statements))
+    while group := list(islice(listed, rules.RULES_PER_PLAN)):
+        ruled = rules.run_indicator_rules(spark, group, sources, term)
+        ruled.select(*manual.columns).write.mode("append").parquet(collected)
+    warehouse.load("client_indicator", spark.read.schema(manual.schema).parquet(collected), term)
     if publish is not None:
-        append_table(warehouse.of_term("client_indicator", term), publish)
+        replace_period_in(warehouse.of_term("client_indicator", term), publish, term.period_id, clear)
 
 
 def load_movements(
@@ -229,3 +242,27 @@ def load_sample(
         sampling.manual_accounts(uploads), automatic, term, user_id, area_id, url_base
     )
     return warehouse.load("sample", rows, term)
+
+
+def load_statements(
+    warehouse: Warehouse, config: StatementConfig, term: Term, url_base: str, sampled: bool = True, user: str = "0"
+) -> dict[str, int]:
+    """Header, front and back of the period, of the sampled accounts or of all, each replacing its period.
+
+    For a sample, its rows of the period are replaced by those with the address of each statement. Returns the rows
+    written to each table.
+    """
+    sample = warehouse.table("sample") if sampled else None
+    made = build_statements(
+        warehouse.table("client_fact"), warehouse.table("client"), warehouse.table("return_fact"),
+        warehouse.table("movement"), config, sample, term, user,
+    )
+    rows = {
+        f"statement_{name}": warehouse.load(f"statement_{name}", product, term)
+        for name, product in (("header", made.header), ("front", made.front), ("back", made.back))
+    }
+    if sampled:
+        stored = warehouse.of_term("sample", term)
+        linked = written_once(statements.sample_update(stored, made.header, term, url_base), "sample-links")
+        rows["sample"] = warehouse.load("sample", linked, term)
+    return rows

@@ -55,7 +55,7 @@ def build_statements(
     )
     header = written_once(statements.statement_header(chosen, clients, front, term), "header")
     back = statements.statement_back(
-        movements, chosen, config.bridge, config.regulator_concepts, config.periods, term, user
+        movements, chosen, config.bridge, config.regulator_concepts, config.periods, term, user, formats=formats
     )
     return Statements(
         header=header,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +12,8 @@ from tallyspark.operators.terms import Term
 from tallyspark.sources.shared import written_once
 from tallyspark.sources.tables import replace_period
 
+NEW, ASIDE = "__new", "__aside"
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -36,15 +37,35 @@ class Warehouse:
         return replace_period(df, self.path(name), term.period_id)
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Replace a table that has no periods."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        """Replace a table that has no periods; the old rows stay until the new ones are complete.
+
+        The new table is written beside the old one. Only then is the old folder set aside and the new one put in its
+        place, so a failed write changes nothing; a stop between the two moves is mended by the next look at the table.
+        """
+        path = self.path(name)
+        df.write.mode("overwrite").parquet(f"{path}{NEW}")
+        files, old, new, aside = self._files(path, path, f"{path}{NEW}", f"{path}{ASIDE}")
+        files.delete(aside, True)
+        if files.exists(old):
+            files.rename(old, aside)
+        files.rename(new, old)
+        files.delete(aside, True)
 
     def exists(self, name: str) -> bool:
-        try:
-            self.table(name)
-        except AnalysisException:
-            return False
-        return True
+        """Whether the table's folder is there. A table that cannot be read is not a missing one."""
+        path = self.path(name)
+        files, here, new, aside = self._files(path, path, f"{path}{NEW}", f"{path}{ASIDE}")
+        if not files.exists(here) and files.exists(aside):  # a replacement stopped between its two moves
+            files.rename(new if files.exists(self._path(f"{path}{NEW}/_SUCCESS")) else aside, here)
+        return files.exists(here)
+
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self, path: str, *paths: str):
+        """The file system of a path, as Spark's writers see it, and more paths on it."""
+        files = self._path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return files, *(self._path(one) for one in paths)
 
     def upsert(self, name: str, source: DataFrame, keys: list[str], **order: str) -> None:
         """Merge rows into a table. The merged rows are written elsewhere first, never over their own input."""

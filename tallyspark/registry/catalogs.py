@@ -28,7 +28,7 @@ def catalog_subaccounts(spark, folder):
     "catalog_concepts",
     """
     SELECT p_partkey AS code, CAST(0 AS INTEGER) AS slot, p_size AS subaccount_id, 'MIT' AS origin,
-           p_name AS description, FALSE AS is_switch
+           p_name AS description, FALSE AS is_switch, CAST(0 AS INTEGER) AS ordinal
     FROM part
     """,
 )
@@ -40,7 +40,8 @@ def catalog_concepts(spark, folder):
     "catalog_legacy_concepts",
     f"""
     SELECT p_partkey AS code, CAST(CASE WHEN p_brand = 'Brand#1' THEN 0 ELSE 3 END AS INTEGER) AS slot,
-           p_size AS subaccount_id, 'INTEGRITY' AS origin, p_type AS description, TRUE AS is_switch
+           p_size AS subaccount_id, 'INTEGRITY' AS origin, p_type AS description, TRUE AS is_switch,
+           CAST(CASE WHEN p_brand = 'Brand#1' THEN 0 ELSE 3 END AS INTEGER) AS ordinal
     FROM part WHERE p_size + 400 IN ({", ".join(map(str, LEGACY_CODES))})
     """,
 )

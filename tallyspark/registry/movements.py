@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyspark.operators import movements
+from tallyspark.functions import codes
+from tallyspark.operators import catalogs, movements
 from tallyspark.registry.base import TERM, register, with_views
 from tallyspark.sources import roles
 
@@ -132,6 +133,64 @@ def legacy_movements(spark, folder):
     return legacy_load(spark, folder)
 
 
+LEGACY_FAMILIES = ("GOB", "RCV", "VIV97", "COMRET", "SAR92", "VIV92", "BONO")
+LEGACY_FAMILY_CODE = 400
+
+
+def legacy_families(spark, folder):
+    """Seven wide families by supplier, whose codes are partly in the list of legacy codes."""
+    wide = roles.legacy_wide(spark, folder).withColumn("code", (F.col("fund_id") + LEGACY_FAMILY_CODE).cast("int"))
+    return {
+        name: wide.filter(F.pmod(F.col("fund_id"), F.lit(7)) == number) for number, name in enumerate(LEGACY_FAMILIES)
+    }
+
+
+def legacy_family_switches(spark, folder):
+    """One switch per code and slot from the parts, as the concept catalog gives them."""
+    return movements.legacy_switches(
+        catalogs.legacy_concept_catalog(
+            roles.concept_source(spark, folder), roles.concept_subaccount_source(spark, folder)
+        ).withColumn("code", F.lit(LEGACY_FAMILY_CODE) + F.col("subaccount_id"))
+    ).groupBy("code", "slot").agg(F.max("subaccount_id").alias("subaccount_id"), F.max("ordinal").alias("ordinal"))
+
+
+@register(
+    "legacy_families",
+    f"""
+    WITH wide AS (
+        SELECT ROW_NUMBER() OVER () AS rid, l_partkey + 6999999000 AS account_id, l_orderkey AS folio,
+               CAST(l_suppkey + 400 AS INTEGER) AS raw_code, CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS booked,
+               CAST(l_suppkey AS INTEGER) AS supplier,
+               CASE l_returnflag WHEN 'R' THEN 'INT. RET08' WHEN 'A' THEN 'INT. CYVTRA' ELSE 'OTHER' END AS employer_tag,
+               CASE WHEN l_returnflag IN ('A', 'N') THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END AS slot_1,
+               CASE WHEN l_returnflag IN ('R', 'N') THEN CAST(l_quantity AS DECIMAL(18,2)) ELSE 0 END AS slot_3
+        FROM lineitem),
+    loaded AS (
+        SELECT *, list_extract(['GOB', 'RCV', 'VIV97', 'COMRET', 'SAR92', 'VIV92', 'BONO'], supplier % 7 + 1) AS family
+        FROM wide
+        WHERE booked BETWEEN 19980301 AND 19980331 AND raw_code IN ({", ".join(map(str, codes.LEGACY_CODES))})),
+    recoded AS (
+        SELECT *, CAST(CASE WHEN family = 'RCV' AND raw_code >= 114 AND employer_tag IN ('INT. RET08', 'INT. CYVTRA')
+                            THEN 117 ELSE raw_code END AS INTEGER) AS code,
+               CAST(CASE supplier WHEN 98 THEN 14 WHEN 99 THEN 15 ELSE supplier END AS INTEGER) AS fund_id,
+               CAST(CASE WHEN account_id < 7000000000 THEN 1 ELSE 2 END AS INTEGER) AS account_class
+        FROM loaded),
+    switch AS (
+        SELECT p_size + 400 AS code, CASE WHEN p_brand = 'Brand#1' THEN 0 ELSE 3 END AS slot,
+               MAX(p_size) AS subaccount_id
+        FROM part WHERE p_size + 400 IN ({", ".join(map(str, codes.LEGACY_CODES))}) GROUP BY 1, 2)
+    SELECT r.account_id, r.folio, r.booked, r.employer_tag, r.slot_1, r.slot_3, r.code, r.fund_id, r.account_class,
+           CAST(COALESCE(s.subaccount_id, 0) AS INTEGER) AS subaccount_id,
+           CAST(CASE WHEN s.code IS NULL THEN 0 ELSE r.slot_3 END AS DECIMAL(18,2)) AS amount, r.family,
+           CAST(39 AS INTEGER) AS period_id
+    FROM recoded r LEFT JOIN switch s ON s.code = r.code AND s.slot = 3 AND r.slot_3 > 0
+    """,
+)
+def legacy_families_query(spark, folder):
+    """All seven families, with the code list on and switches from the concept catalog."""
+    return movements.legacy_movements(legacy_families(spark, folder), legacy_family_switches(spark, folder), TERM)
+
+
 @register(
     "history_extract",
     """

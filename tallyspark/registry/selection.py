@@ -11,9 +11,9 @@ from tallyspark.sources.shared import written_once
 
 URL_BASE = "https://example.org/statements/"
 
-MIT_RULE = """
+CORE_RULE = """
     SELECT account_id FROM movement WHERE settled_at BETWEEN :start AND :end GROUP BY account_id HAVING COUNT(*) > 1"""
-BUC_RULE = "SELECT account_id FROM client WHERE segment = 'BUILDING'"
+CRM_RULE = "SELECT account_id FROM client WHERE segment = 'BUILDING'"
 DEFAULT_RULE = "SELECT account_id FROM uploads WHERE period_id = :term AND procedure = 'MM'"
 
 
@@ -26,9 +26,9 @@ def _rule_catalog(spark):
         """
     )
     statements = spark.sql(
-        "SELECT * FROM VALUES (1, :mit, 'MIT'), (2, :buc, 'BUC'), (3, :buc, 'BUC'), (4, :other, 'OTHER') "
+        "SELECT * FROM VALUES (1, :core, 'CORE'), (2, :crm, 'CRM'), (3, :crm, 'CRM'), (4, :other, 'OTHER') "
         "AS t(indicator_id, sql, source)",
-        args={"mit": MIT_RULE, "buc": BUC_RULE, "other": DEFAULT_RULE},
+        args={"core": CORE_RULE, "crm": CRM_RULE, "other": DEFAULT_RULE},
     )
     return indicators, statements
 
@@ -53,8 +53,8 @@ def indicator_rules(spark, folder):
     indicators, statements = _rule_catalog(spark)
     uploads = roles.manual_upload(spark, folder)
     sources = {
-        "MIT": {"movement": roles.movement(spark, folder)},
-        "BUC": {"client": roles.client(spark, folder)},
+        "CORE": {"movement": roles.movement(spark, folder)},
+        "CRM": {"client": roles.client(spark, folder)},
         "WAREHOUSE": {"uploads": uploads},
     }
     ruled = rules.run_indicator_rules(spark, rules.read_rules(indicators, statements), sources, TERM)
@@ -70,7 +70,7 @@ SAMPLED = """
     SELECT regulator_id, account_id, weight, quantity, CAST(n AS INTEGER) AS rank
     FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY regulator_id ORDER BY weight DESC, account_id) AS n
           FROM (SELECT c.account_id, c.regulator_id, q.quantity,
-                       CAST(SUM(1000000000000000 // q.quantity) OVER (PARTITION BY c.account_id) AS BIGINT) AS weight
+                       CAST(SUM(1000000000000000 // q.quantity) OVER (PARTITION BY c.account_id) AS DECIMAL(38,0)) AS weight
                 FROM concepts c JOIN sample_quota q ON q.regulator_id = c.regulator_id))
     WHERE n <= quantity"""
 SAMPLE_VIEWS = ("movement", "concept_bridge", "client", "sample_quota")

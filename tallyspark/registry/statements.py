@@ -296,3 +296,70 @@ def sample_links(spark, folder):
         F.lit("Pendiente").alias("status"), F.lit(34).alias("user_id"), F.lit(5).alias("area_id"),
     )
     return statements.sample_links(sample, products(spark, folder).header, TERM, URL_BASE)
+
+
+SAMPLE_ROWS = """
+    SELECT c_custkey AS account_id, CAST(39 AS INTEGER) AS period_id, CAST(34 AS INTEGER) AS user_id,
+           CAST(5 AS INTEGER) AS area_id, 'Pendiente' AS status, 'none' AS url
+    FROM customer WHERE c_mktsegment = 'BUILDING'"""
+
+
+def sample_rows(spark, folder):
+    """A stored sample: the clients of one segment."""
+    return roles.table(spark, folder, "customer").filter(F.col("c_mktsegment") == "BUILDING").select(
+        F.col("c_custkey").alias("account_id"), F.lit(TERM.period_id).alias("period_id"), F.lit(34).alias("user_id"),
+        F.lit(5).alias("area_id"), F.lit("Pendiente").alias("status"), F.lit("none").alias("url"),
+    )
+
+
+@register(
+    "statement_sample_update",
+    with_views(
+        f"""
+        SELECT s.account_id, s.period_id, s.user_id, s.area_id, s.status,
+               COALESCE('{URL_BASE}' || h.folio || '.pdf', s.url) AS url
+        FROM sample_rows s LEFT JOIN header h ON h.account_id = s.account_id
+        """,
+        *VIEWS,
+        **STEPS,
+        sample_rows=SAMPLE_ROWS,
+    ),
+)
+def statement_sample_update(spark, folder):
+    return statements.sample_update(sample_rows(spark, folder), products(spark, folder).header, TERM, URL_BASE)
+
+
+@register(
+    "statement_formats_of_sample",
+    with_views(
+        "SELECT * FROM chosen WHERE account_id IN (SELECT account_id FROM sample_rows)",
+        *VIEWS,
+        **STEPS,
+        sample_rows=SAMPLE_ROWS,
+    ),
+)
+def statement_formats_of_sample(spark, folder):
+    return statements.client_formats(
+        client_facts(spark, folder), formats(spark, folder), sample_rows(spark, folder), TERM
+    )
+
+
+ALL_FLOWS = FRONT_SUM.replace(
+    """     AND w.starts BETWEEN DATE '1998-03-01' - to_months(c.front_months) AND DATE '1998-03-31'
+""",
+    "",
+)
+
+
+@register(
+    "statement_front_all_flows",
+    with_views(
+        "SELECT * FROM front", *VIEWS, **{**STEPS, "front_sum": ALL_FLOWS},
+    ),
+)
+def statement_front_all_flows(spark, folder):
+    """Contributions, withdrawals and commissions of all periods."""
+    return statements.statement_front(
+        roles.return_fact(spark, folder), chosen(spark, folder), formats(spark, folder),
+        roles.front_line(spark, folder), roles.period(spark, folder), TERM, flows_in_window=False,
+    ).drop("created_at")

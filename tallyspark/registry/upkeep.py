@@ -105,10 +105,11 @@ def client_seed(spark, folder):
     SELECT r.event_type AS phase_id, r.event_id AS run_id, r.ts AS started_at,
            r.ts + to_seconds(CAST(floor(r.value * 60) AS INTEGER)) AS ended_at, r.event_type = 'error' AS failed,
            CASE WHEN r.event_type = 'error' THEN 'Error'
+                WHEN p.phase_id IS NULL THEN 'Sin fase'
                 WHEN floor(r.value * 60) <= p.green THEN 'Verde'
                 WHEN floor(r.value * 60) <= p.yellow THEN 'Amarillo' ELSE 'Rojo' END AS flag
     FROM events r
-    JOIN (VALUES ('view', 300, 900), ('click', 600, 1800), ('purchase', 1200, 3600), ('error', 60, 120))
+    LEFT JOIN (VALUES ('view', 300, 900), ('click', 600, 1800), ('purchase', 1200, 3600), ('error', 60, 120))
          AS p(phase_id, green, yellow) ON p.phase_id = r.event_type
     """,
 )

@@ -121,3 +121,26 @@ def price_as_of(spark, folder):
 @register("balances", with_views(f"WITH {BALANCES} SELECT * FROM balance", *BALANCE_VIEWS))
 def balances_query(spark, folder):
     return balances(spark, folder)
+
+
+NEWEST = "(SELECT MAX(settled_at) FROM balance_history)"
+
+
+@register(
+    "balances_newest_period",
+    with_views(
+        f"""
+        WITH {BALANCES.replace("(SELECT MIN(settled_at) FROM balance_history WHERE settled_at > DATE '1998-04-01')", NEWEST)}
+        SELECT * FROM balance
+        """,
+        *BALANCE_VIEWS,
+    ),
+)
+def balances_newest_period(spark, folder):
+    """Balances on the day a period is closed: no later day is in the history yet."""
+    history = roles.balance_history(spark, folder)
+    newest = history.agg(F.max("settled_at")).first()[0]
+    return valuation.value_balances(
+        history, roles.subaccount_type(spark, folder), roles.share_price(spark, folder),
+        cutoff=valuation.cutoff_date(history, newest).scalar(), price_date=F.lit(TERM.price_date),
+    )

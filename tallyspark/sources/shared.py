@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,16 +24,27 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="run-")
     context.setCheckpointDir(folder)
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{shared_folder(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}"
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one intermediate table."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application, when no frame that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written_once(df: DataFrame, name: str) -> DataFrame:

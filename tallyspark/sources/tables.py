@@ -23,11 +23,10 @@ class Table:
     options: Mapping[str, str] = field(default_factory=dict)
 
 
-def read_table(spark: SparkSession, table: Table, limit: int | None = None) -> DataFrame:
-    """Read a table with lower-case column names; ``limit`` takes a preview."""
+def read_table(spark: SparkSession, table: Table) -> DataFrame:
+    """Read a table with lower-case column names."""
     df = spark.read.format(table.format).options(**table.options).load(table.path)
-    df = df.toDF(*[name.lower() for name in df.columns])
-    return df if limit is None else df.limit(limit)
+    return df.toDF(*[name.lower() for name in df.columns])
 
 
 def append_table(df: DataFrame, table: Table) -> None:
@@ -78,22 +77,50 @@ def transfer(
     target: Table,
     term_id: int | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
-    limit: int | None = None,
+    clear: Callable[[int], None] | None = None,
 ) -> int:
-    """Read a table, stamp the period, transform it and append it to another; returns the number of rows.
+    """Read a table, stamp the period, transform it and load it into another; returns the number of rows.
 
-    The rows are counted while they are written, so the source is read once.
+    With a period the target's period is replaced (``clear`` as in ``replace_period_in``), without one rows are
+    appended. The rows are counted while they are written, so the source is read once.
     """
-    df = read_table(spark, source, limit)
+    df = read_table(spark, source)
     if term_id is not None:
         df = df.withColumn("period_id", F.lit(term_id).cast("int"))
     if transform is not None:
         df = df.transform(transform)
+    if term_id is not None:
+        return replace_period_in(df, target, term_id, clear)
     counter = Observation()
     append_table(df.observe(counter, F.count(F.lit(1)).alias("rows")), target)
     return counter.get["rows"]
 
 
+def replace_period_in(
+    df: DataFrame, target: Table, term_id: int, clear: Callable[[int], None] | None = None, period: str = "period_id"
+) -> int:
+    """Replace one period of any sink; returns the rows written.
+
+    File formats are partitioned by period and only the period's partition is overwritten. Other sinks, databases among
+    them, are appended to after ``clear(term_id)`` has deleted the period there, which Spark cannot do for them.
+    """
+    counter = Observation()
+    stamped = df.withColumn(period, F.lit(term_id).cast("int")).observe(counter, F.count(F.lit(1)).alias("rows"))
+    if target.path is None:
+        if clear is None:
+            raise ValueError(f"a {target.format} sink needs a way to clear the period before it is loaded again")
+        clear(term_id)
+        append_table(stamped, target)
+        return counter.get["rows"]
+    options = {**target.options, "partitionOverwriteMode": "dynamic"}
+    stamped.write.format(target.format).options(**options).mode("overwrite").partitionBy(period).save(target.path)
+    rows = counter.get["rows"]
+    if rows == 0:
+        emptied = df.drop(period).limit(0).write.format(target.format).options(**target.options)
+        emptied.mode("overwrite").save(f"{target.path.rstrip('/')}/{period}={term_id}")
+    return rows
+
+
 def as_view(spark: SparkSession, source: Table, name: str) -> DataFrame:
     """Make a table of any source available to ``spark.sql`` under a name."""
     df = read_table(spark, source)
@@ -102,20 +129,14 @@ def as_view(spark: SparkSession, source: Table, name: str) -> DataFrame:
 
 
 def replace_period(df: DataFrame, path: str, term_id: int | None, period: str = "period_id") -> int:
-    """Load one period so that loading it again changes nothing; ``None`` replaces the whole table.
+    """Load one period of a parquet table so that loading it again changes nothing; ``None`` replaces the whole table.
 
     The table is partitioned by period and only the loaded period is overwritten, at job commit. An empty load clears
     its period. Returns the number of rows, counted during the write.
     """
+    if term_id is not None:
+        return replace_period_in(df, Table("parquet", path), term_id, period=period)
     counter = Observation()
     counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.mode("overwrite").partitionBy(period)
-    if term_id is None:
-        writer.option("partitionOverwriteMode", "static").parquet(path)
-        return counter.get["rows"]
-    stamped = counted.withColumn(period, F.lit(term_id).cast("int"))
-    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
-    rows = counter.get["rows"]
-    if rows == 0:
-        df.drop(period).limit(0).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{period}={term_id}")
-    return rows
+    counted.write.mode("overwrite").partitionBy(period).option("partitionOverwriteMode", "static").parquet(path)
+    return counter.get["rows"]

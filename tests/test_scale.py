@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tallyspark.operators import valuation
+from tallyspark.operators import statements
+from tallyspark.registry import all_queries
 from tallyspark.registry.base import TERM
 from tallyspark.sources import roles
 
@@ -32,19 +34,13 @@ def no_auto_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-SAMPLE_OF_QUERIES = (
-    "balances", "returns", "client_master", "client_classification", "statement_front", "statement_back", "withdrawals",
-    "quota_sample", "report_returns", "upsert", "update_from", "legacy_movements", "notification_fanout",
-)
-
-
-@pytest.mark.parametrize("name", SAMPLE_OF_QUERIES)
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_cross_join_and_no_single_task_window(spark, no_auto_broadcast, name):
     plan = plan_of(contract.queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     lines = plan.splitlines()
     for number, line in enumerate(lines):
-        if re.search(r"- Window \[", line):
+        if re.search(r"- Window \[", line) and "_part#" not in line:  # offsets of partitions, one row each
             assert "SinglePartition" not in "".join(lines[number:number + 4]), line
 
 
@@ -86,10 +82,38 @@ def test_one_account_with_most_rows(spark, salts):
         hot.unionByName(rest), F.lit(datetime(2023, 3, 31)).cast("timestamp_ntz"), salts=salts
     )
     assert latest.count() == 59_999
+    salted = hot.select(F.pmod(F.monotonically_increasing_id(), F.lit(salts)).alias("salt")).groupBy("salt").count()
+    assert max(row["count"] for row in salted.collect()) <= 30_000 / salts + 8
     row = latest.filter("account_id = 1").first()
     assert (row.settled_at, row.units) == (datetime(2023, 3, 2), Decimal(20_000))
 
 
+@pytest.mark.parametrize("product", ["front", "back"])
+def test_statement_windows_prune_partitions(spark, tmp_path, product):
+    periods = roles.period(spark, FOLDER)
+    formats = spark.createDataFrame([(1, 2, 1, 3, 3)], "format_id int, generation_id int, generation_months int, "
+                                    "front_months int, back_months int")
+    chosen = formats.withColumn("account_id", F.lit(1).cast("long"))
+    facts = roles.return_fact(spark, FOLDER) if product == "front" else roles.dated_movement(spark, FOLDER)
+    facts.write.partitionBy("period_id").parquet(str(tmp_path / "facts"))
+    stored = spark.read.parquet(str(tmp_path / "facts"))
+    if product == "front":
+        made = statements.statement_front(stored, chosen, formats, roles.front_line(spark, FOLDER), periods, TERM)
+    else:
+        made = statements.statement_back(
+            stored, chosen, roles.concept_bridge(spark, FOLDER), roles.regulator_concept(spark, FOLDER), periods, TERM
+        )
+    scan = next(line for line in plan_of(made).splitlines() if str(tmp_path) in line)
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", scan).group(1)
+    assert re.search(r"period_id#\d+ >= 36\b", filters) and re.search(r"period_id#\d+ <= 39\b", filters)
+
+
+def test_only_local_sessions_may_go_without_a_shared_folder():
+    pattern = r"local(\[[^\]]*\])?"
+    assert re.fullmatch(pattern, "local[8]") and re.fullmatch(pattern, "local")
+    assert not re.fullmatch(pattern, "local-cluster[3,2,1024]")
+
+
 def test_shared_folder_is_the_configured_one(spark):
     from tallyspark.sources.shared import new_table_path, shared_folder
 
