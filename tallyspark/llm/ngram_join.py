@@ -15,7 +15,12 @@ from tallyspark.sources.shared import written_once
 WORDS = 5
 PERCENT = 80
 FIRST_KEYS = 8  # keys of a set that look for likely partners before the full search
-PARTNERS = 2  # partners of a set that are verified at a time, growing fourfold each time
+NEIGHBOURS = 8  # places ahead, in order of size under a key, to which a set is compared first
+PARTNERS = 4  # partners of a set that are verified at a time, growing eightfold each time
+SKETCH_BITS = 20  # buckets in which all sets count their hashes, so that frequent ones come last in the common order
+CHUNK = 1 << 16  # buckets per row of a task's counts
+HELD_PAIRS = 1 << 20  # pairs a task holds to give each once
+PLACE_BITS = 31  # of a place in a prefix, beside the size of the set
 BLOCK = 512  # rows of one key on one side of a tile
 SMALL_BITS = 1024
 BROADCAST_KEYS = 500_000  # identifiers (8 bytes each) up to which the sets to be read again are told to every task
@@ -36,8 +41,24 @@ def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
     return np.unique(np.array([hashed(b" ".join(found[at : at + words])) for at in range(count)], np.uint64))
 
 
+def in_order(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Hashes of a set in the common order of all sets: rarer levels first, then by value."""
+    return hashes[np.argsort(levels[_bucket(hashes)], kind="stable")]
+
+
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """Coarse frequency of each bucket of the sketch: 0 up to what chance puts there, then one more per doubling."""
+    usual = counts.mean()
+    limit = usual + 6 * np.sqrt(usual) + 8
+    return np.ceil(np.log2(np.maximum(counts, limit) / limit)).astype(np.uint8)
+
+
 def prefix_length(size: int, percent: int = PERCENT) -> int:
-    """So many of the smallest hashes: two sets this similar share one of them."""
+    """So many of the first hashes of a set: two sets this similar share one of them, whatever the common order is."""
     return size - (percent * size + 99) // 100 + 1 if size else 0
 
 
@@ -129,20 +150,23 @@ def jaccard_components(
 
     1. Equal sets become one class, so copies cost one row per task.
     2. Likely partners from a few keys are bounded by bitmaps and verified, which joins most groups.
-    3. Every class goes to the keys of its prefix (the smallest hashes, of which similar sets share one). Keys whose
+    3. Every class goes to the keys of its prefix: the first hashes in an order common to all sets, of which similar
+       sets share one. A sketch of fixed size counts the hashes of all documents, and hashes that many share come last
+       in that order, so a passage that a third of all documents hold is in few prefixes. Keys whose
        classes are all in one component are done; the others are cut, in order of size, into tiles, whose bitmaps
        bound every pair of two components; no pair is left out.
     4. What the bounds leave is verified by intersecting the sorted sets, best bounds first, until every pair that is
        left lies in one component.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    join = _Join(rows, words, percent)
+    signed = written_once(_signed(rows, words), "signed")
+    join = _Join(rows, _levels(signed), words, percent)
     labelled = join.classes.select("cid", "fp", "rep").join(join.labels(), "cid", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "cid"))
     lowest = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = written_once(labelled.join(lowest, "component").select("fp", "component_id"), "class-components")
-    signed = _signed(rows, words)
-    return signed.join(named, "fp", "left").select(
+    own = signed.filter("chunk IS NULL").select("doc_id", "n_shingles", "fp")
+    return own.join(named, "fp", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
@@ -172,33 +196,78 @@ def keep_one_per_component(
 
 
 def _signed(rows: DataFrame, words: int) -> DataFrame:
-    """``doc_id, n_shingles, fp``; the fingerprint of the set is null where the set is empty."""
+    """``doc_id, n_shingles, fp`` per document (no ``fp`` for an empty set), and per task rows of ``chunk, counts``."""
     schema = T.StructType(
-        [rows.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("fp", T.BinaryType())]
+        [
+            T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("n_shingles", T.LongType()),
+            T.StructField("fp", T.BinaryType()), T.StructField("chunk", T.IntegerType()), T.StructField("counts", T.BinaryType()),
+        ]
     )
 
     def sign(batches):
+        counts, id_type = np.zeros(1 << SKETCH_BITS, np.uint32), None
         for batch in batches:
+            id_type = batch.schema.field("doc_id").type
             sizes, prints = [], []
             for text in batch.column("text").cast(pa.binary()):
                 hashes = shingles(text.as_py(), words)
                 sizes.append(len(hashes))
                 prints.append(_fingerprint(hashes))
+                np.add.at(counts, _bucket(hashes), 1)
+            nothing = pa.nulls(batch.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
+                    nothing.cast(pa.int32()), nothing.cast(pa.binary()),
+                ],
+                names=["doc_id", "n_shingles", "fp", "chunk", "counts"],
+            )
+        if id_type is not None:
+            pieces = counts.astype("<u4").reshape(-1, CHUNK)
+            nothing = pa.nulls(len(pieces))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary())],
-                names=["doc_id", "n_shingles", "fp"],
+                [
+                    nothing.cast(id_type), nothing.cast(pa.int64()), nothing.cast(pa.binary()),
+                    pa.array(range(len(pieces)), pa.int32()), pa.array([piece.tobytes() for piece in pieces], pa.binary()),
+                ],
+                names=["doc_id", "n_shingles", "fp", "chunk", "counts"],
             )
 
     return rows.mapInArrow(sign, schema)
 
 
+def _levels(signed: DataFrame) -> np.ndarray:
+    """Levels of all buckets: a sum per chunk over the tasks, then one number per bucket on the driver (8 MB)."""
+
+    def add(batches):
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts"), strict=True):
+                one = np.frombuffer(counts.as_py(), "<u4").astype(np.int64)
+                totals[chunk] = totals[chunk] + one if chunk in totals else one
+        if totals:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(totals), pa.int32()), pa.array([one.tobytes() for one in totals.values()], pa.binary()),
+                ],
+                names=["chunk", "total"],
+            )
+
+    pieces = signed.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk")
+    counts = np.zeros((1 << SKETCH_BITS) // CHUNK * CHUNK, np.int64).reshape(-1, CHUNK)
+    for row in pieces.mapInArrow(add, "chunk int, total binary").collect():  # one row per chunk
+        counts[row.chunk] = np.frombuffer(row.total, np.int64)
+    return levels_of(counts.ravel())
+
+
 def _fingerprint(hashes: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None
 
 
 class _Join:
-    def __init__(self, rows: DataFrame, words: int, percent: int):
+    def __init__(self, rows: DataFrame, levels: np.ndarray, words: int, percent: int):
         self.rows, self.words, self.percent = rows, words, percent
+        self.levels = rows.sparkSession.sparkContext.broadcast(levels)
         self.classes = self._make_classes()
         self.links = None
         self._labels = None
@@ -215,18 +284,20 @@ class _Join:
         return self._labels
 
     def _make_classes(self) -> DataFrame:
-        """One row per different set: number, fingerprint, smallest identifier, size, prefix and bitmap."""
-        words, percent = self.words, self.percent
+        """One row per different set: number, fingerprint, smallest identifier, size, prefix, smallest hashes, bitmap."""
+        words, percent, shared = self.words, self.percent, self.levels
         schema = T.StructType(
             [
                 self.rows.schema["doc_id"], T.StructField("fp", T.BinaryType()), T.StructField("n", T.LongType()),
-                T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("bits", T.BinaryType()),
+                T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("lowest", T.ArrayType(T.LongType())),
+                T.StructField("bits", T.BinaryType()),
             ]
         )
 
         def make(batches):
+            levels = shared.value
             for batch in batches:
-                keys, prints, sizes, prefixes, bits = [], [], [], [], []
+                keys, prints, sizes, prefixes, lowest, bits = [], [], [], [], [], []
                 for place, text in enumerate(batch.column("text").cast(pa.binary())):
                     hashes = shingles(text.as_py(), words)
                     if not len(hashes):
@@ -234,21 +305,23 @@ class _Join:
                     keys.append(place)
                     prints.append(_fingerprint(hashes))
                     sizes.append(len(hashes))
-                    prefixes.append(hashes[: prefix_length(len(hashes), percent)].astype(np.int64))
+                    ordered = in_order(hashes, levels)
+                    prefixes.append(ordered[: prefix_length(len(hashes), percent)].astype(np.int64))
+                    lowest.append(hashes[:FIRST_KEYS].astype(np.int64))
                     bits.append(bitmap(hashes))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(pa.array(keys, pa.int32())), pa.array(prints, pa.binary()),
                         pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())),
-                        pa.array(bits, pa.binary()),
+                        pa.array(lowest, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
                     ],
-                    names=["doc_id", "fp", "n", "prefix", "bits"],
+                    names=["doc_id", "fp", "n", "prefix", "lowest", "bits"],
                 )
 
         made = self.rows.mapInArrow(make, schema)
         grouped = made.groupBy("fp").agg(
             F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-            F.first("bits").alias("bits"),
+            F.first("lowest").alias("lowest"), F.first("bits").alias("bits"),
         )
         return written_once(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
@@ -261,24 +334,25 @@ class _Join:
     # ---- candidates
 
     def _likely_pairs(self) -> DataFrame:
-        """Neighbours in size under a few shared keys, and the first of their size band under the key."""
-        keyed = self.classes.select("cid", "n", F.explode(F.slice("prefix", 1, FIRST_KEYS)).alias("key"))
+        """Sets that follow each other in size under a few shared keys, up to ``NEIGHBOURS`` places apart.
+
+        This only saves work later: what a batch of rows does not show here, the full search finds.
+        """
+        percent = self.percent
+        keyed = self.classes.select("cid", "n", F.explode("lowest").alias("key"))
         ordered = keyed.repartition("key").sortWithinPartitions("key", "n", "cid")
 
         def pair(batches):
             for batch in batches:
                 key, n, cid = (batch.column(name).to_numpy() for name in ("key", "n", "cid"))
-                if not len(key):
-                    continue
-                band = np.floor(np.log(n) / np.log(1.25)).astype(np.int64)
-                same = np.concatenate([[False], key[1:] == key[:-1]])
-                in_band = same & np.concatenate([[False], band[1:] == band[:-1]])
-                here = np.arange(len(key))
-                leader = np.maximum.accumulate(np.where(in_band, 0, here))
-                a = np.concatenate([cid[same], cid[in_band]])
-                b = np.concatenate([cid[here[same] - 1], cid[leader[in_band]]])
-                pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+                found = []
+                for ahead in range(1, min(NEIGHBOURS + 1, len(key))):
+                    near = (key[ahead:] == key[:-ahead]) & (percent * n[ahead:] <= 100 * n[:-ahead])
+                    found.append(np.stack([cid[ahead:][near], cid[:-ahead][near]]))
+                if found:
+                    pairs = np.concatenate(found, axis=1)
+                    pairs = np.unique(np.stack([pairs.max(axis=0), pairs.min(axis=0)]), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
         return ordered.mapInArrow(pair, "a long, b long").filter("a <> b").distinct()
 
@@ -310,9 +384,13 @@ class _Join:
         percent = self.percent
         marked = self.classes.select("cid", "n", "prefix").join(self.labels(), "cid", "left")
         keyed = marked.select(
-            "cid", "n", F.coalesce("component", "cid").alias("component"), F.posexplode("prefix").alias("place", "key")
+            "cid", (F.coalesce("component", "cid") - F.col("cid")).alias("to_component"), "n",
+            F.posexplode("prefix").alias("place", "key"),
         )
-        tiled = keyed.repartition("key").sortWithinPartitions("key", "n", "cid").mapInArrow(
+        # size and place in one number, and the component as a difference that is mostly 0, keep the shuffle small
+        sized = (F.shiftleft(F.col("n"), PLACE_BITS) + F.col("place")).alias("sized")
+        small = keyed.select("key", sized, "cid", "to_component").repartition("key")
+        tiled = small.sortWithinPartitions("key", "sized", "cid").mapInArrow(
             _tiles(percent), "key long, first int, second int, block int, n long, place int, cid long, component long"
         )
         rows = tiled.join(self.classes.select("cid", "bits"), "cid")
@@ -346,7 +424,7 @@ class _Join:
                 kept = links if self.links is None else self.links.unionByName(links)
                 self.links, self._labels = kept, None
             left = ranked.filter(F.col("rank") > width).drop("rank")
-            width *= 4
+            width *= 8
             turns = None if turns is None else turns - 1
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
@@ -458,7 +536,14 @@ def _tiles(percent: int):
 
     def run(batches):
         for table, starts in _whole_runs(batches, ["key"]):
-            n, component = table.column("n").to_numpy(), table.column("component").to_numpy()
+            sized, cid = table.column("sized").to_numpy(), table.column("cid").to_numpy()
+            n, component = sized >> PLACE_BITS, cid + table.column("to_component").to_numpy()
+            table = pa.table(
+                {
+                    "key": table["key"], "n": n, "place": (sized & ((1 << PLACE_BITS) - 1)).astype(np.int32),
+                    "cid": cid, "component": component,
+                }
+            )
             ends = np.append(starts[1:], len(n))
             mixed = np.minimum.reduceat(component, starts) != np.maximum.reduceat(component, starts)
             small = mixed & (ends - starts <= BLOCK)
@@ -495,23 +580,34 @@ def _tiles(percent: int):
 
 
 def _compare(percent: int):
-    """Pairs within each tile that the bitmaps leave."""
+    """Pairs within each tile that the bitmaps leave, each once per so many pairs of a task."""
+
+    def batch_of(found):
+        a, b, share = (np.concatenate(columns) for columns in zip(*found, strict=True))
+        _, first = np.unique(np.stack([a, b]), axis=1, return_index=True)
+        return a[first], b[first], share[first]
 
     def run(batches):
+        found, held = [], 0
         for table, starts in _whole_runs(batches, ["key", "first", "second"]):
             n, cid, block = (table.column(name).to_numpy() for name in ("n", "cid", "block"))
             own = table.column("first").to_numpy() == table.column("second").to_numpy()
             bits = table.column("bits").to_pylist()
             small = folded(bits)
-            found = []
             for a, b in _pairs_ahead(table, starts, percent):
                 fit = own[a] | (block[a] != block[b])
                 a, b, share = bounded_pairs(n, bits, small, a[fit], b[fit], percent)
                 if len(a):
                     found.append((np.maximum(cid[a], cid[b]), np.minimum(cid[a], cid[b]), share))
-            if found:
-                a, b, share = (np.concatenate(columns) for columns in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(share)], names=["a", "b", "share"])
+                    held += len(a)
+                if held > HELD_PAIRS:
+                    found = [batch_of(found)]
+                    held = len(found[0][0])
+                    if held > HELD_PAIRS // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found[0]], names=["a", "b", "share"])
+                        found, held = [], 0
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in batch_of(found)], names=["a", "b", "share"])
 
     return run
 
