@@ -9,8 +9,8 @@ from hypothesis import strategies as st
 from tallyspark.llm import ngram_join
 from tallyspark.llm.components import connected_components
 from tallyspark.llm.ngram_join import (
-    bitmap, bounded_pairs, differing_bits_of, folded, jaccard_components, keep_one_per_component, may_start, possible,
-    prefix_length, shingles,
+    SKETCH_BITS, bitmap, bounded_pairs, differing_bits_of, folded, in_order, jaccard_components, keep_one_per_component, levels_of,
+    may_start, possible, prefix_length, shingles,
 )
 
 
@@ -71,10 +71,11 @@ def test_bounds_lose_nothing(one, more, part):
         assert possible(len(a), len(b), differing_bits_of(*bits))
         sizes = np.array([len(a), len(b)])
         assert len(bounded_pairs(sizes, bits, folded(bits), np.array([0]), np.array([1]), 80)[0]) == 1
-        shared = sorted(set(a[: prefix_length(len(a))].tolist()) & set(b[: prefix_length(len(b))].tolist()))
-        assert shared
-        places = np.searchsorted(a, np.uint64(shared[0])), np.searchsorted(b, np.uint64(shared[0]))
-        assert may_start(len(a), places[0], len(b), places[1], 80)
+        counts = np.zeros(1 << SKETCH_BITS)
+        counts[(a[::3] >> np.uint64(64 - SKETCH_BITS)).astype(int)] = 5000
+        a, b = in_order(a, levels_of(counts)).tolist(), in_order(b, levels_of(counts)).tolist()
+        shared = [one for one in a[: prefix_length(len(a))] if one in b[: prefix_length(len(b))]]
+        assert shared and may_start(len(a), a.index(shared[0]), len(b), b.index(shared[0]), 80)
 
 
 def test_bitmaps_of_different_width():
@@ -99,7 +100,7 @@ def test_as_brute_force(spark, monkeypatch, block):
 
 def test_without_the_quick_pass(spark, monkeypatch):
     """The full search alone finds everything."""
-    monkeypatch.setattr(ngram_join, "FIRST_KEYS", 0)
+    monkeypatch.setattr(ngram_join, "NEIGHBOURS", 0)
     rows = corpus(8, groups=8, plain=10)
     want, _ = brute(rows)
     assert Counter(map(tuple, jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())) == want
