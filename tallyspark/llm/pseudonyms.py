@@ -9,7 +9,7 @@ ROUNDS = 8
 FIRST_YEAR, CYCLE_DAYS = 1700, 146_097  # one Gregorian cycle of 400 years: 27 * 5411 days
 DATE_HALVES = (27, 5411)
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)",
     "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)",
     "phone": r"(?<![\w(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
@@ -33,7 +33,9 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", rounds: int
     """
     text = F.col(f"`{text_col}`")
     kept = [name for name in docs.columns if name != "found"]
-    values = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(ANY), F.lit(0))
+    # every pattern needs a digit or an at sign, which one quick pass finds out for most texts
+    values = F.when(F.rlike(text, F.lit("[0-9@]")), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    values = F.coalesce(values, F.array().cast("array<string>"))
     listed = docs.select(
         *[F.col(f"`{name}`") for name in kept],
         F.transform(values, lambda value: _with_kind(value)).alias("_values_of_text"),
