@@ -139,7 +139,7 @@ def count_tokens(blocks: DataFrame, end_id: int = END_ID) -> DataFrame:
     found = written_once(wanted.mapInArrow(scan, schema), "block-ends")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offset = found.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    last = offset.withColumn("last_end", F.col("offset") + F.element_at("ends", -1))
+    last = offset.withColumn("last_end", F.col("offset") + F.try_element_at("ends", F.lit(-1)))
     stitched = last.withColumns(
         {
             "open_from": F.coalesce(F.max("last_end").over(before), F.lit(-1)) + 1,
