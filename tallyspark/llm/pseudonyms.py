@@ -96,15 +96,23 @@ def _replaced(one: Column, key: str, rounds: int) -> Column:
     return one.withField("new", F.when(one["valid"], new).otherwise(old))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _luhn_sum(digits: Column) -> Column:
     """Sum of the digits with every second one from the right, the last not counted, doubled and cast out by nine."""
-    places = F.sequence(F.lit(1), F.length(digits))
-    return F.aggregate(
-        places,
-        F.lit(0),
-        lambda done, place: done
-        + _luhn_digit(F.substr(digits, place, F.lit(1)).cast("int"), (F.length(digits) - place) % 2 == 1),
-    )
+
+    def added(digits: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(1), F.length(digits)),
+            F.lit(0),
+            lambda done, place: done
+            + _luhn_digit(F.substr(digits, place, F.lit(1)).cast("int"), (F.length(digits) - place) % 2 == 1),
+        )
+
+    return _let(digits, added)
 
 
 def _luhn_digit(digit: Column, doubled: Column) -> Column:
@@ -190,21 +198,15 @@ def _shifted(half: Column, other: Column, turn: Column, domain: str, key: str) -
 
 def _in_format(old: Column, digits: Column) -> Column:
     """The old value with its digits, in order, replaced."""
-    characters = F.split(old, "")
-    return F.array_join(
-        F.transform(
-            characters,
-            lambda character, place: F.when(
-                F.rlike(character, F.lit(r"\d")),
-                F.substr(
-                    digits,
-                    F.length(F.regexp_replace(F.substr(old, F.lit(1), place + 1), r"\D", "")),
-                    F.lit(1),
-                ),
-            ).otherwise(character),
-        ),
-        "",
-    )
+
+    def placed(digits: Column) -> Column:
+        def one(character: Column, place: Column) -> Column:
+            number = F.length(F.regexp_replace(F.substr(old, F.lit(1), place + 1), r"\D", ""))
+            return F.when(F.rlike(character, F.lit(r"\d")), F.substr(digits, number, F.lit(1))).otherwise(character)
+
+        return F.array_join(F.transform(F.split(old, ""), one), "")
+
+    return _let(digits, placed)
 
 
 def _email(old: Column, key: str, rounds: int) -> Column:
@@ -223,21 +225,27 @@ def _address(old: Column, key: str, rounds: int) -> Column:
         F.get(octets, 0) * 256 + F.get(octets, 1), F.get(octets, 2) * 256 + F.get(octets, 3), (65536, 65536), "ip",
         key, rounds,
     )
-    return F.concat_ws(
-        ".", F.shiftright(pair["left"], 8), pair["left"] % 256, F.shiftright(pair["right"], 8), pair["right"] % 256
+    return _let(
+        pair,
+        lambda pair: F.concat_ws(
+            ".", F.shiftright(pair["left"], 8), pair["left"] % 256, F.shiftright(pair["right"], 8), pair["right"] % 256
+        ),
     )
 
 
 def _date(old: Column, key: str, rounds: int) -> Column:
-    day = _day(old)
-    pair = _numbers(F.floor(day / DATE_HALVES[1]), day % DATE_HALVES[1], DATE_HALVES, "date", key, rounds)
-    moved = F.date_add(
-        F.lit(f"{FIRST_YEAR}-01-01").cast("date"), (pair["left"] * DATE_HALVES[1] + pair["right"]).cast("int")
-    )
-    new = F.lit(None).cast("string")
-    for start, form in DATE_FORMS.items():
-        new = F.when(F.rlike(old, F.lit(start)), F.date_format(moved, form)).otherwise(new)
-    return new
+    def permuted(day: Column) -> Column:
+        pair = _numbers(F.floor(day / DATE_HALVES[1]), day % DATE_HALVES[1], DATE_HALVES, "date", key, rounds)
+        return _let(pair, lambda pair: (pair["left"] * DATE_HALVES[1] + pair["right"]).cast("int"))
+
+    def written(day: Column) -> Column:
+        moved = F.date_add(F.lit(f"{FIRST_YEAR}-01-01").cast("date"), day)
+        new = F.lit(None).cast("string")
+        for start, form in DATE_FORMS.items():
+            new = F.when(F.rlike(old, F.lit(start)), F.date_format(moved, form)).otherwise(new)
+        return new
+
+    return _let(_let(_day(old), permuted), written)
 
 
 def _number(digits: Column, key: str, rounds: int) -> Column:
@@ -248,9 +256,12 @@ def _number(digits: Column, key: str, rounds: int) -> Column:
 
 
 def _card(old: Column, digits: Column, key: str, rounds: int) -> Column:
+    def checked(body: Column) -> Column:
+        check = F.pmod(-_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10))
+        return F.concat(body, check.cast("string"))
+
     body = _characters(F.substr(digits, F.lit(1), F.length(digits) - 1), "card", key, rounds)
-    check = F.pmod(-_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10))
-    return _in_format(old, F.concat(body, check.cast("string")))
+    return _in_format(old, _let(body, checked))
 
 
 def op10_feistel_pseudonyms(spark, folder):
