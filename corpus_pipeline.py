@@ -6,6 +6,8 @@ Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet and
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from tallyspark.llm.language_id import UNKNOWN, identify, learn_from
 from tallyspark.llm.ngram_join import keep_one_per_component
 from tallyspark.llm.packing import pack
 from tallyspark.llm.registry import find_package
-from tallyspark.sources.shared import new_table_path
+from tallyspark.sources.shared import drop_intermediates, new_table_path, table_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_SHARE = 0.1  # of a document's n-grams in the language found; less is no language that was learned
@@ -53,13 +55,27 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [
-    ("language", language),
-    ("exact_duplicates", exact_duplicates),
-    ("near_duplicates", near_duplicates),
-    ("benchmark_free", benchmark_free),
-    ("packed", packed),
-]
+_ORDER = (language, exact_duplicates, near_duplicates, benchmark_free, packed)
+
+
+def _tidy(stage, before):
+    """A stage that first removes the intermediate tables of the stage before it.
+
+    They are not needed any more, because that stage's result has been written and is read from there. So the disk in
+    use is that of one stage. One pipeline may run at a time in an application.
+    """
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if before is not None:
+            drop_intermediates(spark, f"pipeline-{before.__name__}")
+        with table_scope(f"pipeline-{stage.__name__}"):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(stage.__name__, _tidy(stage, before)) for before, stage in zip((None, *_ORDER), _ORDER, strict=False)]
 
 #: Packing and language identification have no SQL form; tests hold every stage against a brute-force version.
 ORACLE_SQL = None

@@ -177,8 +177,18 @@ def keep_one_per_component(
 ) -> DataFrame:
     """The documents with all their columns, one per component: the row of the smallest identifier.
 
-    Where rows share that identifier, or identifiers are null, one of the component's rows stays all the same.
+    Where rows share that identifier, or identifiers are null, one of the component's rows stays all the same: then
+    the rows are stored with their places, which stand for the identifiers. Otherwise the identifiers of the rows to
+    drop are all that is joined, broadcast where they are few enough to be (counted on their stored table).
     """
+    times = docs.groupBy(F.col(f"`{id_col}`").alias("id")).agg(F.count(F.lit(1)).alias("times"))
+    if times.filter("times > 1 OR id IS NULL").isEmpty():
+        grouped = jaccard_components(docs, id_col, text_col, words, percent)
+        dropped = written_once(
+            grouped.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)), "dropped"
+        )
+        side = F.broadcast(dropped) if dropped.count() <= BROADCAST_KEYS else dropped
+        return docs.join(side, id_col, "left_anti").select(*[F.col(f"`{name}`") for name in docs.columns])
     place = F.monotonically_increasing_id()
     stored = written_once(
         docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), place.alias("place")), "rows"
