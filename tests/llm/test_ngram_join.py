@@ -126,3 +126,13 @@ def test_components(spark):
     assert {root for vertex, root in found.items() if 1000 <= vertex < 3000} == {1000}
     assert found[4001] == 4000 and 5000 not in found
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_with_unique_identifiers_are_kept_in_place(spark):
+    rows = corpus(9, groups=6, plain=5)
+    _, groups = brute(rows)
+    docs = spark.createDataFrame([(*row, "x") for row in rows], "doc_id long, text string, times string")
+    kept = keep_one_per_component(docs)
+    assert kept.columns == docs.columns and kept.count() == groups
+    want, _ = brute(rows)
+    assert {row.doc_id for row in kept.collect()} == {lowest for _, _, lowest in want}
