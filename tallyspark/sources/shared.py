@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,19 +34,33 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def run_folder(spark: SparkSession) -> str:
-    """The folder of this application's intermediate tables."""
-    return f"{shared_folder(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}"
+_SCOPE: ContextVar[str | None] = ContextVar("table_scope", default=None)
+
+
+@contextmanager
+def table_scope(name: str) -> Iterator[None]:
+    """Intermediate tables written inside belong to a scope of their own, which can be removed by itself."""
+    token = _SCOPE.set(name)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+
+
+def run_folder(spark: SparkSession, scope: str | None = None) -> str:
+    """The folder of this application's intermediate tables, or of one scope of them."""
+    folder = f"{shared_folder(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}"
+    return folder if scope is None else f"{folder}/scope-{scope}"
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one intermediate table."""
-    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark, _SCOPE.get())}/{name}-{uuid.uuid4().hex}"
 
 
-def drop_intermediates(spark: SparkSession) -> None:
-    """Remove the intermediate tables of this application, when no frame that reads them is needed any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+def drop_intermediates(spark: SparkSession, scope: str | None = None) -> None:
+    """Remove intermediate tables of this application, or of one scope, when no frame that reads them is needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark, scope))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
