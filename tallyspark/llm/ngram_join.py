@@ -337,9 +337,9 @@ class _Join:
 
     def _search(self) -> None:
         likely = self._bounded(self._likely_pairs())
-        self._verify_in_turn(likely, turns=1)
+        self._verify_in_turn(likely)
         rest = written_once(self._tile_pairs(), "pairs")
-        self._verify_in_turn(rest, turns=None)
+        self._verify_in_turn(rest)
 
     # ---- candidates
 
@@ -413,10 +413,10 @@ class _Join:
 
     # ---- verification
 
-    def _verify_in_turn(self, pairs: DataFrame, turns: int | None) -> None:
+    def _verify_in_turn(self, pairs: DataFrame) -> None:
         """Verify pairs between components, the closest partners of each class first, until none is left."""
         width, left = PARTNERS, pairs
-        while turns is None or turns > 0:
+        while True:
             apart = left
             if self.links is not None:
                 label = self.labels()
@@ -435,7 +435,6 @@ class _Join:
                 self.links, self._labels = kept, None
             left = ranked.filter(F.col("rank") > width).drop("rank")
             width *= 8
-            turns = None if turns is None else turns - 1
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sets, read again from the texts, are similar enough."""
