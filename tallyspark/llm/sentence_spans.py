@@ -13,47 +13,74 @@ from pyspark.sql import types as T
 
 from tallyspark.sources.shared import written_once
 
-MOST_WORDS = 12  # of a sentence; a longer one is cut after every so many words
+WHOLE_WORDS = 9  # of a sentence that is never cut
+CUT_WINDOW = 5  # a longer one is cut after the word of the lowest hash in every window of so many words
 RUN_SENTENCES = 3
 RUN_WORDS = 25
+FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that they can be divided by
 _ENDS = (".", "!", "?")
 _WORD = re.compile(r"\S+|\n")
 
 
 def sentences(text: str | None) -> list[list[str]]:
-    """Words of each sentence: it ends with ``.``, ``!`` or ``?``, at a line feed, or at ``MOST_WORDS`` words."""
-    out = []
+    """Words of each sentence: it ends with ``.``, ``!`` or ``?``, at a line feed, or at a cut of a long sentence."""
+    words: list[str] = []
+    lines = []
     for line in (text or "").split("\n"):
-        current: list[str] = []
-        for word in line.split():
-            current.append(word)
-            if word.endswith(_ENDS) or len(current) == MOST_WORDS:
-                out.append(current)
-                current = []
-        if current:
-            out.append(current)
-    return out
+        words += line.split()
+        lines.append(len(words))
+    ends = _sentence_ends(words, lines)
+    return [words[start:end] for start, end in zip([0, *ends], ends)]
 
 
 def sentence_spans(text: str) -> list[tuple[int, int]]:
     """Places of the same sentences in the text."""
-    out, start, end, words = [], 0, 0, 0
+    words, lines, places = [], [], []
     for match in _WORD.finditer(text):
-        word = match.group()
-        if word == "\n":
-            if words:
-                out.append((start, end))
-            words = 0
-            continue
-        if not words:
-            start = match.start()
-        end, words = match.end(), words + 1
-        if word.endswith(_ENDS) or words == MOST_WORDS:
-            out.append((start, end))
-            words = 0
-    if words:
-        out.append((start, end))
-    return out
+        if match.group() == "\n":
+            lines.append(len(words))
+        else:
+            words.append(match.group())
+            places.append(match.span())
+    ends = _sentence_ends(words, lines)
+    return [(places[start][0], places[end - 1][1]) for start, end in zip([0, *ends], ends)]
+
+
+def _sentence_ends(words: list[str], lines: list[int]) -> list[int]:
+    """Numbers of words up to the end of each sentence.
+
+    Where a long sentence is cut depends on no word more than ``CUT_WINDOW - 1`` away, and its pieces have at most
+    ``CUT_WINDOW`` words, so a repeated passage is cut alike whatever stands before it: at most 9 words pass up to the
+    first common end, a run has at most 33, and at most 9 follow the last common end. Any 51 repeated words hold a run.
+    """
+    if not words:
+        return []
+    last = np.fromiter((word.endswith(_ENDS) for word in words), bool, len(words))
+    last[[line - 1 for line in lines if line]] = True
+    last[-1] = True
+    ends = np.flatnonzero(last) + 1
+    sizes = np.diff(ends, prepend=0)
+    long = np.flatnonzero(np.repeat(sizes > WHOLE_WORDS, sizes))
+    if len(long):
+        digest = xxhash.xxh3_64_intdigest
+        hashes = np.fromiter((digest(words[at]) for at in long.tolist()), np.uint64, len(long))
+        owner = np.repeat(np.arange(len(sizes)), sizes)[long]
+        last[long[_lowest(hashes, owner)]] = True
+        ends = np.flatnonzero(last) + 1
+    return ends.tolist()
+
+
+def _lowest(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Which places are the last lowest of some window of ``CUT_WINDOW`` places of one owner."""
+    span = np.ones(len(hashes), np.int64)  # places around in which it is the lowest
+    before = after = np.ones(len(hashes), bool)
+    for far in range(1, CUT_WINDOW):
+        same = owner[far:] == owner[:-far]
+        lower, higher = same & (hashes[:-far] >= hashes[far:]), same & (hashes[far:] > hashes[:-far])
+        before = before & np.concatenate([np.zeros(far, bool), lower])
+        after = after & np.concatenate([higher, np.zeros(far, bool)])
+        span += before.astype(np.int64) + after
+    return span >= CUT_WINDOW
 
 
 def run_ends(sizes: list[int], run_sentences: int, run_words: int) -> list[int]:
@@ -65,6 +92,22 @@ def run_ends(sizes: list[int], run_sentences: int, run_words: int) -> list[int]:
     return np.where(ends <= len(sizes), ends, 0).tolist()
 
 
+def run_hashes(single: list[bytes], first: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each run: polynomials of the hashes of its sentences, modulo 2^64."""
+    halves = np.frombuffer(b"".join(single), np.uint64).reshape(-1, 2)
+    made = []
+    for half, factor in zip(halves.T, FACTORS, strict=True):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(half * _powers(factor, len(single)), dtype=np.uint64)])
+        made.append((total[ends] - total[first]) * _powers(pow(factor, -1, 1 << 64), len(single))[first])
+    return made[0], made[1]
+
+
+def _powers(factor: int, count: int) -> np.ndarray:
+    out = np.full(count, factor, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
 def remove_repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_sentences: int = RUN_SENTENCES,
     run_words: int = RUN_WORDS,
@@ -78,29 +121,26 @@ def remove_repeated_passages(
     identifier comes first; repeated rows are documents of their own, so all but one lose their runs. An empty table
     gives no rows. Columns called ``n_sentences`` or ``n_removed`` are replaced.
 
-    Runs are counted and ranked in tasks before they are shuffled, and only hashes travel, so a passage that a third
-    of all documents share costs one row per task there; the join that marks occurrences is left to adaptive execution
-    to split.
+    Runs are counted in tasks before they are shuffled, and only hashes travel, so a passage that a third of all
+    documents share costs one row per task there; places travel in the joins, which are left to adaptive execution to
+    split, and the first of them is looked for among repeated runs only.
     """
-    kept = [name for name in docs.columns if name not in ("n_sentences", "n_removed")]
+    names = [name for name in docs.columns if name not in ("n_sentences", "n_removed")]
     stored = written_once(
         docs.select(
-            F.struct(*[F.col(f"`{name}`") for name in kept]).alias("row"),
+            F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"),
             F.monotonically_increasing_id().alias("place"),
         ),
         "rows",
     )
     texts = stored.select(F.col("row")[id_col].alias("id"), "place", F.col("row")[text_col].alias("text"))
     runs = _runs(texts, run_sentences, run_words)
+    repeated = runs.groupBy("key", "check").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    spots = written_once(runs.join(repeated.select("key", "check"), ["key", "check"]), "repeated")
     spot = F.struct(F.col("id"), F.col("place"), F.col("first"))
-    repeated = runs.groupBy("key", "check").agg(F.count(F.lit(1)).alias("times"), F.min(spot).alias("kept"))
-    repeated = written_once(
-        repeated.filter("times > 1").select(
-            "key", "check", F.col("kept.place").alias("kept_place"), F.col("kept.first").alias("kept_first")
-        ),
-        "repeated",
-    )
-    again = runs.join(repeated, ["key", "check"]).filter("place <> kept_place OR first <> kept_first")
+    kept = spots.groupBy("key", "check").agg(F.min(spot).alias("kept"))
+    kept = kept.select("key", "check", F.col("kept.place").alias("kept_place"), F.col("kept.first").alias("kept_first"))
+    again = spots.join(kept, ["key", "check"]).filter("place <> kept_place OR first <> kept_first")
     marks = again.groupBy("place").agg(F.array_sort(F.collect_list("first")).alias("removed"))
     schema = T.StructType(
         [
@@ -111,7 +151,7 @@ def remove_repeated_passages(
     joined = stored.join(marks, "place", "left").select("row", F.col("row")[text_col].alias("text"), "removed")
     cleaned = joined.mapInArrow(_clean(run_sentences, run_words), schema)
     return cleaned.select(
-        *[(F.col("cleaned") if name == text_col else F.col("row")[name]).alias(name) for name in kept],
+        *[(F.col("cleaned") if name == text_col else F.col("row")[name]).alias(name) for name in names],
         "n_sentences", "n_removed",
     )
 
@@ -128,32 +168,32 @@ def _runs(texts: DataFrame, run_sentences: int, run_words: int) -> DataFrame:
     def make(batches):
         digest = xxhash.xxh3_128_digest
         for batch in batches:
-            owners, firsts, digests = [], [], []
+            found, held = [], 0
 
-            def flush(batch=batch, owners=owners, firsts=firsts, digests=digests):
-                hashes = np.frombuffer(b"".join(digests), np.dtype([("key", "<i8"), ("check", "<i4"), ("rest", "<i4")]))
-                rows = pa.array(owners, pa.int32())
-                out = pa.RecordBatch.from_arrays(
+            def flush(batch=batch, found=found):
+                rows, firsts, keys, checks = (np.concatenate(columns) for columns in zip(*found, strict=True))
+                found.clear()
+                rows = pa.array(rows, pa.int32())
+                return pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").take(rows), batch.column("place").take(rows), pa.array(firsts, pa.int32()),
-                        pa.array(np.ascontiguousarray(hashes["key"])), pa.array(np.ascontiguousarray(hashes["check"])),
+                        pa.array(keys.view(np.int64)), pa.array((checks >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                     ],
                     names=["id", "place", "first", "key", "check"],
                 )
-                owners.clear(), firsts.clear(), digests.clear()
-                return out
 
             for row, text in enumerate(batch.column("text")):
-                found = sentences(text.as_py())
-                single = [digest(" ".join(words)) for words in found]
-                for first, end in enumerate(run_ends([len(words) for words in found], run_sentences, run_words)):
-                    if end:
-                        owners.append(row)
-                        firsts.append(first)
-                        digests.append(digest(b"".join(single[first:end])))
-                if len(owners) > 200_000:
+                cut = sentences(text.as_py())
+                ends = np.array(run_ends([len(words) for words in cut], run_sentences, run_words), np.int64)
+                first = np.flatnonzero(ends)
+                if len(first):
+                    keys, checks = run_hashes([digest(" ".join(words)) for words in cut], first, ends[first])
+                    found.append((np.full(len(first), row), first, keys, checks))
+                    held += len(first)
+                if held > 200_000:
                     yield flush()
-            if owners:
+                    held = 0
+            if found:
                 yield flush()
 
     return texts.select("id", "place", "text").mapInArrow(make, schema)

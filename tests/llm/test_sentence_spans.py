@@ -73,3 +73,31 @@ def test_planted_passage(spark):
     assert all(("planted20" in row.text) == (row.doc_id == 0) for row in rows)
     assert all(f"Own words {row.doc_id} here." in row.text for row in rows)
     assert run_ends([10, 10, 10], 3, 25) == [3, 0, 0]
+
+
+def runs(text):
+    found = sentences(text)
+    ends = run_ends([len(words) for words in found], 3, 25)
+    return {tuple(map(tuple, found[first:end])) for first, end in enumerate(ends) if end}
+
+
+def test_repeated_words_share_a_run_wherever_they_start():
+    rng = random.Random(9)
+    word = lambda stops: f"w{rng.randrange(10**9)}" + ("." if rng.random() < stops else "")
+    for stops in [0, 0.02, 0.05, 0.1, 0.2] * 400:
+        passage = [word(stops) for _ in range(51)]
+        texts = [
+            " ".join([*(word(around) for _ in range(rng.randrange(40))), *passage, *(word(around) for _ in range(rng.randrange(40)))])
+            for around in (rng.choice([0, 0.2]), rng.choice([0, 0.2]))
+        ]
+        assert runs(texts[0]) & runs(texts[1])
+
+
+def test_passage_without_stops_at_different_offsets(spark):
+    passage = " ".join(f"planted{number}" for number in range(60))
+    docs = spark.createDataFrame(
+        [(number, " ".join(f"own{number}x{at}" for at in range(number)) + f" {passage} more{number}") for number in range(30)],
+        "doc_id long, text string",
+    )
+    rows = remove_repeated_passages(docs).collect()
+    assert all(("planted30" in row.text) == (row.doc_id == 0) for row in rows)
