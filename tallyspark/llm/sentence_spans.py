@@ -18,16 +18,31 @@ CUT_WINDOW = 5  # a longer one is cut after the word of the lowest hash in every
 RUN_SENTENCES = 3
 RUN_WORDS = 25
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that they can be divided by
-_ENDS = (".", "!", "?")
-_WORD = re.compile(r"\S+|\n")
+_ENDS = tuple(".!?\u2026\u3002\uff01\uff1f\uff0e\uff61\u0589\u061f\u06d4\u0700\u0701\u0702\u0964\u0965\u104a\u104b\u1362\u1367\u1368\u166e\u17d4\u17d5\u1803\u1809\u203c\u203d\u2047\u2048\u2049\u0f0d\u0f0e")
+_CLOSERS = "\"')]}*_\u2019\u201d\u00bb\u203a\u201c\u2018\u300d\u300f\uff09\u3011\u300b\u3009\u3015\uff3d\uff5d\uff02\uff07"
+_LAST = frozenset((*_ENDS, *_CLOSERS))
+# Thai, Lao, Tibetan, Burmese, Khmer, kana, bopomofo, Han: scripts that put no spaces between words
+_UNSPACED = (
+    r"\u0e01-\u0e4e\u0e81-\u0ece\u0f40-\u0fbc\u1000-\u1049\u1780-\u17d3\u3005-\u3007\u3041-\u30fa\u30fc-\u30ff"
+    r"\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U000323af"
+)
+_OPENERS = r"(\[{\u300c\u300e\uff08\u3010\u300a\u3008\u3014\uff3b\uff5b\u2018\u201c"
+_SPACED_WORD = re.compile(r"\S+|\n")
+# a letter of those scripts is a word, with the marks on it and after it
+_ANY_WORD = re.compile(rf"[{_OPENERS}]*[{_UNSPACED}][^\w\s{_OPENERS}]*|[^\s{_UNSPACED}]+|\n")
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
 
 
 def sentences(text: str | None) -> list[list[str]]:
-    """Words of each sentence: it ends with ``.``, ``!`` or ``?``, at a line feed, or at a cut of a long sentence."""
+    """Words of each sentence: it ends with a sentence mark and any closing quotes or brackets, at a line feed, or at a
+    cut of a long sentence. In scripts without spaces each letter is a word.
+    """
+    text = text or ""
+    split = _ANY_WORD.findall if _unspaced(text) else str.split
     words: list[str] = []
     lines = []
-    for line in (text or "").split("\n"):
-        words += line.split()
+    for line in text.split("\n"):
+        words += split(line)
         lines.append(len(words))
     ends = _sentence_ends(words, lines)
     return [words[start:end] for start, end in zip([0, *ends], ends)]
@@ -35,15 +50,24 @@ def sentences(text: str | None) -> list[list[str]]:
 
 def sentence_spans(text: str) -> list[tuple[int, int]]:
     """Places of the same sentences in the text."""
+    return [(start, end) for start, end, _ in _measured_spans(text)]
+
+
+def _measured_spans(text: str) -> list[tuple[int, int, int]]:
+    """Places of the sentences and how many words each has."""
     words, lines, places = [], [], []
-    for match in _WORD.finditer(text):
+    for match in (_ANY_WORD if _unspaced(text) else _SPACED_WORD).finditer(text):
         if match.group() == "\n":
             lines.append(len(words))
         else:
             words.append(match.group())
             places.append(match.span())
     ends = _sentence_ends(words, lines)
-    return [(places[start][0], places[end - 1][1]) for start, end in zip([0, *ends], ends)]
+    return [(places[start][0], places[end - 1][1], end - start) for start, end in zip([0, *ends], ends)]
+
+
+def _unspaced(text: str) -> bool:
+    return not text.isascii() and _HAS_UNSPACED.search(text) is not None
 
 
 def _sentence_ends(words: list[str], lines: list[int]) -> list[int]:
@@ -55,7 +79,7 @@ def _sentence_ends(words: list[str], lines: list[int]) -> list[int]:
     """
     if not words:
         return []
-    last = np.fromiter((word.endswith(_ENDS) for word in words), bool, len(words))
+    last = np.fromiter((word[-1] in _LAST and word.rstrip(_CLOSERS).endswith(_ENDS) for word in words), bool, len(words))
     last[[line - 1 for line in lines if line]] = True
     last[-1] = True
     ends = np.flatnonzero(last) + 1
@@ -201,8 +225,8 @@ def _runs(texts: DataFrame, run_sentences: int, run_words: int) -> DataFrame:
 
 def without_runs(text: str, removed: list[int], run_sentences: int, run_words: int) -> tuple[str, int]:
     """The text without the sentences of the runs that begin at ``removed``, and how many those are."""
-    found = sentence_spans(text)
-    sizes = [len(text[start:end].split()) for start, end in found]
+    found = _measured_spans(text)
+    sizes = [size for _, _, size in found]
     ends = run_ends(sizes, run_sentences, run_words)
     gone = np.zeros(len(found) + 1, np.int64)
     for first in removed:
@@ -210,7 +234,7 @@ def without_runs(text: str, removed: list[int], run_sentences: int, run_words: i
         gone[ends[first]] -= 1
     gone = np.cumsum(gone)[:-1] > 0
     pieces, at = [], 0
-    for (_, end), drop in zip(found, gone, strict=True):
+    for (_, end, _), drop in zip(found, gone, strict=True):
         if not drop:
             pieces.append(text[at:end])
         at = end

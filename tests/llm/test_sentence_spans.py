@@ -101,3 +101,27 @@ def test_passage_without_stops_at_different_offsets(spark):
     )
     rows = remove_repeated_passages(docs).collect()
     assert all(("planted30" in row.text) == (row.doc_id == 0) for row in rows)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab .!\n\"”」「。你好กำ가。", max_size=80))
+def test_two_ways_to_cut_without_spaces(text):
+    words = [[text[start:end] for start, end in sentence_spans(text)], ["".join(words) for words in sentences(text)]]
+    assert ["".join(one.split()) for one in words[0]] == words[1]
+
+
+def test_marks_before_closers_and_letters_as_words():
+    assert [" ".join(words) for words in sentences('He said "no." (Yes!) So')] == ['He said "no."', "(Yes!)", "So"]
+    assert sentences("你好。「是!」abc") == [["你", "好。"], ["「是!」"], ["abc"]]
+
+
+def test_passages_in_scripts_without_spaces(spark):
+    rng = random.Random(3)
+    for low, high in ((0x4E00, 0x9FFF), (0x3041, 0x3096), (0x0E01, 0x0E2E)):
+        letters = lambda count, low=low, high=high: "".join(chr(rng.randrange(low, high)) for _ in range(count))
+        passage = letters(60)
+        docs = spark.createDataFrame(
+            [(number, letters(number + 5) + passage + letters(12)) for number in range(20)], "doc_id long, text string"
+        )
+        rows = remove_repeated_passages(docs).collect()
+        assert all((passage[20:40] in row.text) == (row.doc_id == 0) for row in rows)
