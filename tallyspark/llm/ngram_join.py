@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -399,10 +400,12 @@ class _Join:
         )
         # size and place in one number, and the component as a difference that is mostly 0, keep the shuffle small
         sized = (F.shiftleft(F.col("n"), PLACE_BITS) + F.col("place")).alias("sized")
-        small = keyed.select("key", sized, "cid", "to_component").repartition("key")
-        tiled = small.sortWithinPartitions("key", "sized", "cid").mapInArrow(
-            _tiles(percent), "key long, first int, second int, block int, n long, place int, cid long, component long"
+        small = keyed.select("key", sized, "cid", "to_component")
+        # a range of (key, size) per task: a frequent key is divided, and its blocks never cross the limit of a range
+        blocks = small.repartitionByRange("key", "sized", "cid").sortWithinPartitions("key", "sized", "cid").mapInArrow(
+            _blocks(percent), "key long, block long, n long, place int, cid long, component long, whole boolean"
         )
+        tiled = self._tiled(written_once(blocks, "blocks"))
         rows = tiled.join(self.classes.select("cid", "bits"), "cid")
         tile = ["key", "first", "second"]
         ordered = rows.select(*tile, "block", "n", "place", "cid", "component", "bits").repartition(*tile)
@@ -411,6 +414,36 @@ class _Join:
         )
         return pairs.distinct()
 
+    def _tiled(self, rows: DataFrame) -> DataFrame:
+        """Rows in tiles: a whole key is one, of a key in several blocks each two blocks that can hold a pair are one.
+
+        Only summaries of blocks are paired, and rows joined to the tiles of their block, so the tiles of a frequent key
+        are made by many tasks and held by none.
+        """
+        columns = ["n", "place", "cid", "component"]
+        one = F.lit(0).cast("long")
+        whole = rows.filter("whole").select(
+            "key", one.alias("first"), one.alias("second"), one.alias("block"), *columns
+        )
+        parts = rows.filter("NOT whole")
+        held = parts.groupBy("key", "block").agg(
+            F.min("n").alias("n_from"), F.max("n").alias("n_to"), F.min("component").alias("c_from"),
+            F.max("component").alias("c_to"), F.max(F.col("n") - F.col("place")).alias("rest"),
+        )
+        held = written_once(held, "block-ranges")
+        left = held.select("key", *[F.col(name).alias(f"{name}_a") for name in held.columns[1:]])
+        right = held.select("key", *[F.col(name).alias(f"{name}_b") for name in held.columns[1:]])
+        # blocks go up in size, so the sizes nearest to each other are the last of one and the first of the other
+        may = F.lit(100) * F.col("n_to_a") >= F.lit(self.percent) * F.col("n_from_b")
+        overlap = F.least("rest_a", "rest_b")
+        start = 100 * overlap >= self.percent * (F.col("n_from_a") + F.col("n_from_b") - overlap)  # as may_start
+        mixed = F.least("c_from_a", "c_from_b") < F.greatest("c_to_a", "c_to_b")
+        tiles = left.join(right, "key").filter((F.col("block_a") <= F.col("block_b")) & may & start & mixed)
+        tiles = tiles.select("key", F.col("block_a").alias("first"), F.col("block_b").alias("second"))
+        sides = tiles.withColumn("block", F.explode(F.array_distinct(F.array("first", "second"))))
+        joined = parts.join(sides, ["key", "block"])
+        return whole.unionByName(joined.select("key", "first", "second", "block", *columns))
+
     # ---- verification
 
     def _verify_in_turn(self, pairs: DataFrame) -> None:
@@ -540,50 +573,71 @@ def _pairs_ahead(table: pa.Table, starts: np.ndarray, percent: int):
         ahead += 1
 
 
-def _tiles(percent: int):
-    """Rows of keys with two components or more, in tiles of two blocks of sizes that can be similar."""
+def _blocks(percent: int):
+    """Sorted rows in blocks; keys that lie whole in a task and in one block keep only rows that have a partner.
+
+    A task holds one batch and one block. Whether a key at the limits of a task goes on in another is not known, so
+    its rows all stay and are paired with other blocks.
+    """
 
     def run(batches):
-        for table, starts in _whole_runs(batches, ["key"]):
-            sized, cid = table.column("sized").to_numpy(), table.column("cid").to_numpy()
-            n, component = sized >> PLACE_BITS, cid + table.column("to_component").to_numpy()
+        task, number = TaskContext.get().partitionId() << 32, 0
+        held: list[pa.Table] = []  # rows of the key at the end of what was read, fewer than a block
+        open_key, begun, first_key = None, False, None  # begun: blocks of that key were given
+
+        def given(table, block, whole):
+            block = np.asarray(block, np.int64) + np.zeros(table.num_rows, np.int64)
+            columns = table.select(["key", "n", "place", "cid", "component"])
+            made = {"block": block, "whole": np.full(table.num_rows, whole)}
+            names = ["key", "block", "n", "place", "cid", "component", "whole"]
+            columns = {name: columns[name] for name in columns.column_names} | made
+            return pa.table({name: columns[name] for name in names}).to_batches()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            sized, cid = table["sized"].to_numpy(), table["cid"].to_numpy()
             table = pa.table(
                 {
-                    "key": table["key"], "n": n, "place": (sized & ((1 << PLACE_BITS) - 1)).astype(np.int32),
-                    "cid": cid, "component": component,
+                    "key": table["key"], "n": sized >> PLACE_BITS,
+                    "place": (sized & ((1 << PLACE_BITS) - 1)).astype(np.int32), "cid": cid,
+                    "component": cid + table["to_component"].to_numpy(),
                 }
             )
-            ends = np.append(starts[1:], len(n))
+            key = table["key"].to_numpy()
+            if first_key is None:
+                first_key = open_key = int(key[0])
+            if held:
+                table = pa.concat_tables([*held, table])
+                key, held = table["key"].to_numpy(), []
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            ends = np.append(starts[1:], len(key))
+            alone = (ends - starts <= BLOCK) & (key[starts] != first_key)
+            alone[0] &= not (begun and key[0] == open_key)
+            alone[-1] = False  # it may go on
+            for start, end in zip(starts[~alone].tolist(), ends[~alone].tolist(), strict=True):
+                last = end == len(key)
+                at = start
+                while end - at > (BLOCK if last else 0):
+                    yield from given(table.slice(at, min(BLOCK, end - at)), task + number, False)
+                    number, at = number + 1, at + min(BLOCK, end - at)
+                if last:
+                    held = [table.slice(at, end - at).combine_chunks()]
+                    open_key, begun = int(key[-1]), at > start or (begun and int(key[-1]) == open_key)
+            component = table["component"].to_numpy()
             mixed = np.minimum.reduceat(component, starts) != np.maximum.reduceat(component, starts)
-            small = mixed & (ends - starts <= BLOCK)
-            inside = np.flatnonzero(np.repeat(small, ends - starts))
-            lengths = (ends - starts)[small]
+            alone &= mixed
+            lengths = (ends - starts)[alone]
+            inside = np.flatnonzero(np.repeat(alone, ends - starts))
             part = table.take(pa.array(inside))
             paired = np.zeros(len(inside), bool)
             for a, b in _pairs_ahead(part, np.cumsum(lengths) - lengths, percent):
                 paired[a] = paired[b] = True
-            rows = [inside[paired]]
-            places = [np.zeros((3, len(rows[0])), np.int32)]
-            for start, end in zip(starts[mixed & ~small], ends[mixed & ~small], strict=True):
-                blocks = [np.arange(at, min(at + BLOCK, end)) for at in range(start, end, BLOCK)]
-                for first, one in enumerate(blocks):
-                    for second in range(first, len(blocks)):
-                        other = blocks[second]
-                        if percent * n[other[0]] > 100 * n[one[-1]]:
-                            break  # blocks go up in size
-                        members = one if first == second else np.concatenate([one, other])
-                        if component[members].min() == component[members].max():
-                            continue
-                        rows.append(members)
-                        place = np.empty((3, len(members)), np.int32)
-                        place[0], place[1], place[2] = first, second, second
-                        place[2, : len(one)] = first
-                        places.append(place)
-            rows, places = np.concatenate(rows), np.concatenate(places, axis=1)
-            part = table.take(pa.array(rows))
-            columns = {name: part[name] for name in ("n", "place", "cid", "component")}
-            tile = {"key": part["key"], "first": places[0], "second": places[1], "block": places[2]}
-            yield from pa.table(tile | columns).to_batches()
+            if paired.any():
+                yield from given(part.take(pa.array(np.flatnonzero(paired))), 0, True)
+        if held:
+            yield from given(held[0], task + number, False)
 
     return run
 

@@ -136,3 +136,35 @@ def test_rows_with_unique_identifiers_are_kept_in_place(spark):
     assert kept.columns == docs.columns and kept.count() == groups
     want, _ = brute(rows)
     assert {row.doc_id for row in kept.collect()} == {lowest for _, _, lowest in want}
+
+
+def test_frequent_key_is_cut_in_many_tasks(spark, monkeypatch):
+    """One key in many components: no task holds it, and every pair that can be similar meets in a tile."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    rng = random.Random(4)
+    rows = [(5, rng.randrange(100, 200), rng.randrange(3), cid, cid // 2) for cid in range(600)]
+    rows += [(key, 100, 0, 1000 + cid, cid) for key in range(6, 90) for cid in range(key % 4 + 1)]
+    columns = "key long, n long, place long, cid long, component long"
+    sized = spark.createDataFrame(rows, columns).selectExpr(
+        "key", f"shiftleft(n, {ngram_join.PLACE_BITS}) + place AS sized", "cid", "component - cid AS to_component"
+    )
+    ordered = sized.repartitionByRange(6, "key", "sized", "cid").sortWithinPartitions("key", "sized", "cid")
+    blocks = ordered.mapInArrow(
+        ngram_join._blocks(80), "key long, block long, n long, place int, cid long, component long, whole boolean"
+    ).localCheckpoint()
+    tasks = {row.block >> 32 for row in blocks.filter("key = 5").collect()}
+    assert len(tasks) > 1
+    join = ngram_join._Join.__new__(ngram_join._Join)
+    join.percent = 80
+    tiles = {}
+    for row in join._tiled(blocks).collect():
+        tiles.setdefault((row.key, row.first, row.second), []).append(row)
+    assert max(map(len, tiles.values())) <= 32
+    met = {
+        (key, *sorted((a.cid, b.cid))) for (key, *_), members in tiles.items() for a in members for b in members if a.cid < b.cid
+    }
+    for at, (key, n, place, cid, component) in enumerate(rows):
+        for key_b, n_b, place_b, cid_b, component_b in rows[at + 1 :]:
+            if key == key_b and component != component_b and 80 * max(n, n_b) <= 100 * min(n, n_b):
+                if ngram_join.may_start(n, place, n_b, place_b, 80):
+                    assert (key, *sorted((cid, cid_b))) in met
