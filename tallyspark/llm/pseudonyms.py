@@ -11,22 +11,34 @@ DATE_HALVES = (27, 5411)
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)",
-    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)",
-    "phone": r"(?<![\w(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "date": r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\w/-]|\.\d)",
+    "ssn": r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "phone": (
+        r"(?<![\w(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])"
+        r"|(?<![\w+])\+[1-9](?:[ .-]?(?:\(\d{1,4}\)|\d)){6,14}(?![\w-])"
+        r"|(?<![\w.,+/-])(?:\d{10}(?![\w/-]|[.,]\d)|0\d{1,4}(?:[ ./-]\d{2,8}){1,4}(?![\w/-]|\.\d))"
+    ),
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
 }
-DATE_FORMS = {r"^\d{4}-": "yyyy-MM-dd", r"^\d{2}\.": "dd.MM.yyyy", r"^\d{2}/": "MM/dd/yyyy"}
+DATE = r"^(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})$"
+DATE_FORMS = {r"^\d{4}-": "yyyy-M-d", r"^\d{1,2}\.": "d.M.yyyy", r"^\d{1,2}/": "M/d/yyyy"}  # two digits are read as well
+DAY_FIRST = "d/M/yyyy"
 ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 
 
-def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def pseudonymise(
+    docs: DataFrame, key: str, text_col: str = "text", rounds: int = ROUNDS, day_first: bool = False
+) -> DataFrame:
     """All rows and columns, the text with pseudonyms, plus ``found``: how many were replaced, per kind.
 
-    E-mail addresses, IPv4 addresses, dates, telephone numbers and card numbers are looked for in whole texts. What
-    does not validate (an octet above 255, a day that no calendar has, a wrong check digit) stays as it is. A value is
+    E-mail addresses, IPv4 addresses, IBANs, dates, social security numbers, telephone numbers and card numbers are
+    looked for in whole texts. With ``day_first``, a slash date that is none with the month first is read with the day
+    first. What does not validate (an octet above 255, a day that no calendar has, a wrong check digit) stays as it is. A value is
     permuted among the values of its own format by a Feistel network keyed with ``key``, so equal values get equal
     pseudonyms in every document and different ones stay different; separators and length stay, cards keep a right
-    check digit, dates stay dates of the 400 years from 1700, and a date keeps its link across the three forms.
+    check digit and IBANs right check digits, dates stay dates of the 400 years from 1700 with as many digits as the
+    form of the old one has at least, and a date keeps its link across the forms.
 
     A null text stays null and finds nothing; texts without a candidate are not touched; repeated rows are treated
     alike. A column called ``found`` is replaced. No rows are exchanged.
@@ -38,8 +50,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", rounds: int
     values = F.coalesce(values, F.array().cast("array<string>"))
     listed = docs.select(
         *[F.col(f"`{name}`") for name in kept],
-        F.transform(values, lambda value: _with_kind(value)).alias("_values_of_text"),
-    ).withColumn("_values_of_text", F.transform("_values_of_text", lambda one: _replaced(one, key, rounds)))
+        F.transform(values, lambda value: _with_kind(value, day_first)).alias("_values_of_text"),
+    ).withColumn("_values_of_text", F.transform("_values_of_text", lambda one: _replaced(one, key, rounds, day_first)))
     pieces = F.split(text, ANY, -1)
     found = F.col("_values_of_text")
     whole = F.concat(
@@ -62,20 +74,25 @@ def _count(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda one: one["valid"] & (one["kind"] == kind)))
 
 
-def _with_kind(value: Column) -> Column:
+def _with_kind(value: Column, day_first: bool) -> Column:
     digits = F.regexp_replace(value, r"\D", "")
     octets = F.split(value, r"\.")
     kind = (
         F.when(F.contains(value, F.lit("@")), "email")
         .when(F.rlike(value, F.lit(r"^\d{1,3}(?:\.\d{1,3}){3}$")), "ip")
-        .when(F.rlike(value, F.lit(r"^(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})$")), "date")
+        .when(F.rlike(value, F.lit(r"^[A-Z]")), "iban")
+        .when(F.rlike(value, F.lit(DATE)), "date")
+        .when(F.rlike(value, F.lit(r"^\d{3}-\d{2}-\d{4}$")), "ssn")
+        .when(F.rlike(value, F.lit(r"^0\d{1,4}[ ./-]")), "phone")
         .when(F.rlike(value, F.lit(r"^\d(?:[ -]?\d){12,18}$")), "card")
         .otherwise("phone")
     )
     valid = (
         F.when(kind == "ip", F.forall(octets, lambda octet: octet.cast("int") <= 255))
-        .when(kind == "date", _day(value).isNotNull())
+        .when(kind == "iban", _rest_97(value) == 1)
+        .when(kind == "date", _day(value, day_first).isNotNull())
         .when(kind == "card", _luhn_sum(digits) % 10 == 0)
+        .when(kind == "phone", F.length(digits) >= 8)
         .otherwise(True)
     )
     return F.struct(
@@ -84,14 +101,16 @@ def _with_kind(value: Column) -> Column:
     )
 
 
-def _replaced(one: Column, key: str, rounds: int) -> Column:
+def _replaced(one: Column, key: str, rounds: int, day_first: bool) -> Column:
     old, kind, digits = one["old"], one["kind"], one["digits"]
     new = (
         F.when(kind == "email", _email(old, key, rounds))
         .when(kind == "ip", _address(old, key, rounds))
-        .when(kind == "date", _date(old, key, rounds))
+        .when(kind == "iban", _iban(old, key, rounds))
+        .when(kind == "date", _date(old, key, rounds, day_first))
+        .when(kind == "ssn", _in_format(old, _characters(digits, "ssn", key, rounds)))
         .when(kind == "card", _card(old, digits, key, rounds))
-        .otherwise(_in_format(old, _number(digits, key, rounds)))
+        .otherwise(_in_format(old, _number(old, digits, key, rounds)))
     )
     return one.withField("new", F.when(one["valid"], new).otherwise(old))
 
@@ -120,15 +139,30 @@ def _luhn_digit(digit: Column, doubled: Column) -> Column:
     return F.when(doubled, F.when(twice > 9, twice - 9).otherwise(twice)).otherwise(digit)
 
 
-def _day(value: Column) -> Column:
+def _day(value: Column, day_first: bool) -> Column:
     """Days from the start of the cycle, or null where the value is no date of it."""
     day = F.lit(None).cast("date")
     for start, form in DATE_FORMS.items():
-        day = F.when(F.rlike(value, F.lit(start)), F.try_to_timestamp(value, F.lit(form)).cast("date")).otherwise(day)
+        read = F.try_to_timestamp(value, F.lit(form)).cast("date")
+        if day_first and form.startswith("M/"):
+            read = F.coalesce(read, F.try_to_timestamp(value, F.lit(DAY_FIRST)).cast("date"))
+        day = F.when(F.rlike(value, F.lit(start)), read).otherwise(day)
     since = F.datediff(day, F.lit(f"{FIRST_YEAR}-01-01").cast("date"))
     return F.when((since >= 0) & (since < CYCLE_DAYS), since)
 
 
+def _rest_97(value: Column) -> Column:
+    """Rest of an IBAN by 97: its first four characters go to the end, letters are numbers from 10."""
+    plain = F.regexp_replace(value, " ", "")
+    moved = F.concat(F.substr(plain, F.lit(5), F.length(plain)), F.substr(plain, F.lit(1), F.lit(4)))
+
+    def added(done: Column, character: Column) -> Column:
+        code = F.ascii(character)
+        return F.when(code >= 65, (done * 100 + code - 55) % 97).otherwise((done * 10 + code - 48) % 97)
+
+    return F.aggregate(F.split(moved, ""), F.lit(0), added)
+
+
 # ---- networks
 
 def _drawn(key: str, domain: str, turn: Column, half: Column) -> Column:
@@ -233,7 +267,7 @@ def _address(old: Column, key: str, rounds: int) -> Column:
     )
 
 
-def _date(old: Column, key: str, rounds: int) -> Column:
+def _date(old: Column, key: str, rounds: int, day_first: bool) -> Column:
     def permuted(day: Column) -> Column:
         pair = _numbers(F.floor(day / DATE_HALVES[1]), day % DATE_HALVES[1], DATE_HALVES, "date", key, rounds)
         return _let(pair, lambda pair: (pair["left"] * DATE_HALVES[1] + pair["right"]).cast("int"))
@@ -241,18 +275,61 @@ def _date(old: Column, key: str, rounds: int) -> Column:
     def written(day: Column) -> Column:
         moved = F.date_add(F.lit(f"{FIRST_YEAR}-01-01").cast("date"), day)
         new = F.lit(None).cast("string")
+        # a day or month of one digit makes the form one of one or two digits
+        short = F.rlike(old, F.lit(r"(?:^|\D)\d(?:\D|$)"))
         for start, form in DATE_FORMS.items():
-            new = F.when(F.rlike(old, F.lit(start)), F.date_format(moved, form)).otherwise(new)
+            made = _in_form(moved, form, short)
+            if day_first and form.startswith("M/"):
+                month_first = F.try_to_timestamp(old, F.lit(form)).isNotNull()
+                made = F.when(month_first, made).otherwise(_in_form(moved, DAY_FIRST, short))
+            new = F.when(F.rlike(old, F.lit(start)), made).otherwise(new)
         return new
 
-    return _let(_let(_day(old), permuted), written)
+    return _let(_let(_day(old, day_first), permuted), written)
+
 
+def _in_form(day: Column, form: str, short: Column) -> Column:
+    padded = form.replace("d", "dd").replace("M", "MM")
+    return F.when(short, F.date_format(day, form)).otherwise(F.date_format(day, padded))
+
+
+def _number(old: Column, digits: Column, key: str, rounds: int) -> Column:
+    """What stands before the last ten digits stays in the North American form; otherwise up to two digits of the country
+    code, or the leading zero, stay. The other digits are permuted, among numbers of the same length.
+    """
+    american = F.rlike(old, F.lit(r"(?:^|[ .-]|\+\d{1,3})(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}$")) & (F.length(digits) >= 10)
+    code = (
+        F.when(american, F.length(digits) - 10)
+        .when(F.startswith(old, F.lit("+")), F.when(F.rlike(digits, F.lit("^[17]")), 1).otherwise(2))
+        .when(F.startswith(old, F.lit("0")), 1)
+        .otherwise(0)
+    )
+    return _let(
+        code,
+        lambda code: F.concat(
+            F.substr(digits, F.lit(1), code),
+            _characters(F.substr(digits, code + 1, F.length(digits)), "phone", key, rounds),
+        ),
+    )
+
+
+def _iban(old: Column, key: str, rounds: int) -> Column:
+    """Country and format stay, what follows the check digits is permuted, the check digits are computed again."""
+    body = F.regexp_replace(F.substr(old, F.lit(5), F.length(old)), " ", "")
+    country = F.substr(old, F.lit(1), F.lit(2))
+
+    def checked(body: Column) -> Column:
+        check = F.lpad((98 - _rest_97(F.concat(country, F.lit("00"), body))).cast("string"), 2, "0")
+        return F.concat(country, check, body)
+
+    def placed(plain: Column) -> Column:
+        def one(character: Column, place: Column) -> Column:
+            number = F.length(F.regexp_replace(F.substr(old, F.lit(1), place + 1), " ", ""))
+            return F.when(character == " ", character).otherwise(F.substr(plain, number, F.lit(1)))
+
+        return F.array_join(F.transform(F.split(old, ""), one), "")
 
-def _number(digits: Column, key: str, rounds: int) -> Column:
-    """The country code stays, the ten digits after it are permuted."""
-    code = F.length(digits) - 10
-    own = _characters(F.substr(digits, code + 1, F.lit(10)), "phone", key, rounds)
-    return F.concat(F.substr(digits, F.lit(1), code), own)
+    return _let(_let(_characters(body, "iban", key, rounds), checked), placed)
 
 
 def _card(old: Column, digits: Column, key: str, rounds: int) -> Column:
@@ -266,6 +343,6 @@ def _card(old: Column, digits: Column, key: str, rounds: int) -> Column:
 
 def op10_feistel_pseudonyms(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    return pseudonymise(docs, key="tallyspark").select(
+    return pseudonymise(docs, key="tallyspark", day_first=True).select(
         "doc_id", "text", *[F.col(f"found.{kind}").alias(f"n_{kind}") for kind in PATTERNS]
     )

@@ -64,3 +64,28 @@ def test_odd_rows(spark, odd_docs, no_docs):
     row = pseudonymise(many, "k").first()
     assert row.found.email == 400 and row.found.date == 400 and len(set(row.text.split())) == 2
     assert list(row.found.asDict()) == list(PATTERNS)
+
+
+def rest_97(value):
+    plain = value.replace(" ", "")
+    return int("".join(str(int(character, 36)) for character in plain[4:] + plain[:4])) % 97
+
+
+def test_numbers_of_other_countries(spark):
+    values = [
+        "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR14 2004 1010 0505 0001 3M02 606", "123-45-6789",
+        "+44 20 7946 0958", "5551234567", "+33 1 23 45 67 89", "030 12345678", "06 12 34 56 78", "+442079460958",
+        "1999-1-5", "5.6.1999", "31/12/1999", "31/1/1999", "05/06/1999",
+    ]
+    rows = spark.createDataFrame([(at, f"see {value}, ok") for at, value in enumerate(values)], "doc_id long, text string")
+    out = pseudonymise(rows, "k", day_first=True)
+    again = {row.doc_id: row.text[4:-4] for row in out.collect()}
+    new = [again[at] for at in range(len(values))]
+    shape = lambda text: re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", text))
+    for old, fresh in zip(values, new, strict=True):
+        assert fresh != old
+        assert "/" in old or "1999" in old or shape(fresh) == shape(old)
+    assert all(rest_97(value) == 1 for value in values[:3] + new[:3]) and new[0][:2] == "DE"
+    assert datetime.datetime.strptime(new[12], "%d/%m/%Y") and datetime.datetime.strptime(new[13], "%d/%m/%Y")
+    assert datetime.datetime.strptime(new[10], "%Y-%m-%d") and datetime.datetime.strptime(new[11], "%d.%m.%Y")
+    assert replaced(spark, ["DE88 3704 0044 0532 0130 00"]) == ["DE88 3704 0044 0532 0130 00"]
