@@ -6,8 +6,8 @@ from functools import wraps
 from pathlib import Path
 
 from tallyspark.llm import (
-    chat, content_sort, decontamination, language_id, ngram_join, packing, pseudonyms, sentence_spans, sharding,
-    token_counts,
+    chat, content_sort, decontamination, filter_audit, language_id, ngram_join, packing, pseudonyms, sentence_spans,
+    sharding, token_counts,
 )
 
 
@@ -39,6 +39,7 @@ _ALL = {
     "op8_separator_scan": token_counts.op8_separator_scan,
     "op9_sentence_spans": sentence_spans.op9_sentence_spans,
     "op10_feistel_pseudonyms": pseudonyms.op10_feistel_pseudonyms,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 QUERIES = {name: _prepared(query) for name, query in _ALL.items()}
 
@@ -47,4 +48,5 @@ SQL = {
     "op4_benchmark_decontamination": decontamination.SQL,
     "op5_exact_dedup": content_sort.SQL,
     "op7_chat_formatting": chat.SQL,
+    "op13_filter_audit": filter_audit.SQL,
 }
