@@ -7,7 +7,7 @@ from pathlib import Path
 
 from tallyspark.llm import (
     chat, content_sort, decontamination, filter_audit, language_id, ngram_join, packing, pseudonyms, sentence_spans,
-    sharding, token_counts,
+    sharding, simhash, token_counts,
 )
 
 
@@ -39,6 +39,7 @@ _ALL = {
     "op8_separator_scan": token_counts.op8_separator_scan,
     "op9_sentence_spans": sentence_spans.op9_sentence_spans,
     "op10_feistel_pseudonyms": pseudonyms.op10_feistel_pseudonyms,
+    "op12_simhash_variants": simhash.op12_simhash_variants,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 QUERIES = {name: _prepared(query) for name, query in _ALL.items()}
