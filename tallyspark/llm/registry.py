@@ -6,8 +6,8 @@ from functools import wraps
 from pathlib import Path
 
 from tallyspark.llm import (
-    chat, content_sort, decontamination, filter_audit, language_id, ngram_join, packing, pseudonyms, sentence_spans,
-    sharding, simhash, token_counts,
+    chat, content_sort, decontamination, dialogue_repair, filter_audit, language_id, ngram_join, packing, pseudonyms,
+    sentence_spans, sharding, simhash, token_counts,
 )
 
 
@@ -39,6 +39,7 @@ _ALL = {
     "op8_separator_scan": token_counts.op8_separator_scan,
     "op9_sentence_spans": sentence_spans.op9_sentence_spans,
     "op10_feistel_pseudonyms": pseudonyms.op10_feistel_pseudonyms,
+    "op11_lightest_repair": dialogue_repair.op11_lightest_repair,
     "op12_simhash_variants": simhash.op12_simhash_variants,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
@@ -49,5 +50,6 @@ SQL = {
     "op4_benchmark_decontamination": decontamination.SQL,
     "op5_exact_dedup": content_sort.SQL,
     "op7_chat_formatting": chat.SQL,
+    "op11_lightest_repair": dialogue_repair.SQL,
     "op13_filter_audit": filter_audit.SQL,
 }
