@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.codes import BALANCE_KIND
+from tallyspark.operators.asof import asof_join
+from tallyspark.operators.numbering import number_rows
+from tallyspark.sources.shared import written_once
 
 BALANCE_KEYS = ("account_id", "fund_id", "subaccount_id")
 SALTS = 8
@@ -108,3 +111,87 @@ def value_balances(
         "units",
         F.round(F.col("units") * F.col("price"), 2).cast("decimal(18,2)").alias("amount"),
     )
+
+
+# ---- many dates at once
+
+def cutoff_dates(history: DataFrame, terms: DataFrame, after: str = "next_start", ts: str = "settled_at") -> DataFrame:
+    """The terms with ``cutoff``: the first history moment strictly after ``after``, or ``after`` while there is none."""
+    moments = history.select(F.col(ts).alias("_moment")).distinct()
+    probes = terms.withColumn("_after", F.col(after).cast(history.schema[ts].dataType))
+    found = asof_join(probes, moments, [], "_after", "_moment", strict=True, forward=True)
+    return found.select(*terms.columns, F.coalesce("_moment", "_after").alias("cutoff"))
+
+
+def cutoff_slices(terms: DataFrame) -> DataFrame:
+    """One row per different cutoff: its number ``slice`` from 0, ``above`` (the cutoff before) and ``cutoff``."""
+    numbered = number_rows(terms.select("cutoff").distinct(), ["cutoff"], "slice", start=0)
+    before = numbered.select((F.col("slice") + 1).alias("slice"), F.col("cutoff").alias("above"))
+    return numbered.join(before, "slice", "left").select("slice", "above", "cutoff")
+
+
+def sliced(history: DataFrame, slices: DataFrame, ts: str = "settled_at") -> DataFrame:
+    """History rows with the first slice whose cutoff is not before them; rows after the last cutoff go.
+
+    Slices are spread over their days, so that rows find theirs by an equality of days. Earlier days belong to the first.
+    """
+    first_day = slices.agg(F.min(F.to_date("cutoff")).alias("_day")).scalar()
+    days = slices.select(
+        "slice", "above", "cutoff",
+        F.explode(F.sequence(F.to_date(F.coalesce("above", "cutoff")), F.to_date("cutoff"))).alias("_day"),
+    )
+    own = F.col(ts)
+    dated = history.withColumn("_day", F.greatest(F.to_date(ts), first_day))
+    inside = (own <= F.col("cutoff")) & (F.col("above").isNull() | (own > F.col("above")))
+    return dated.join(days, "_day").filter(inside).select(*history.columns, "slice")
+
+
+def latest_units_by_slice(history: DataFrame, slices: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Units of the latest day of each key up to every cutoff: ``latest_units`` of all slices in one pass.
+
+    ``slice, until`` are the first and last slice for which the row is the latest. As in ``latest_units``, rows are cut
+    down to the last day within (key, slice, salt) where they are read, and summed before the last ranking, so a key
+    with most rows of the table is spread. The next slice of a key is looked up among its slices, not its rows.
+    """
+    keys = [*BALANCE_KEYS, "slice"]
+    in_scope = sliced(history.select(*BALANCE_KEYS, "settled_at", "units"), slices).withColumn(
+        "_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+    )
+    summed = (
+        _latest_day(in_scope, [*keys, "_salt"], "settled_at")
+        .groupBy(*keys, "settled_at")
+        .agg(F.round(F.sum("units"), 6).cast("decimal(18,6)").alias("units"))
+    )
+    latest = written_once(_latest_day(summed, keys, "settled_at"), "latest")
+    newest = slices.agg(F.max("slice")).scalar()
+    following = F.lead("slice").over(Window.partitionBy(*BALANCE_KEYS).orderBy("slice"))
+    spans = latest.select(*keys).distinct().select(
+        *[F.col(key).alias(f"_{key}") for key in keys], F.coalesce(following - 1, newest).alias("until")
+    )
+    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+    return latest.join(spans, reduce(and_, same)).select(*latest.columns, "until")
+
+
+def balances_of_terms(
+    history: DataFrame, subaccounts: DataFrame, prices: DataFrame, terms: DataFrame, kind: str = BALANCE_KIND
+) -> DataFrame:
+    """``value_balances`` of every term at once: ``terms`` has ``period_id, cutoff, price_date``.
+
+    The history is read once, whatever the number of terms; each balance is then told for all terms up to the next one
+    of its key, which is the size of the result. Prices as of all dates come from one as-of join of dates and prices.
+    """
+    terms = written_once(terms.select("period_id", "cutoff", "price_date"), "terms")
+    slices = written_once(cutoff_slices(terms), "slices")
+    latest = latest_units_by_slice(history, slices)
+    told = latest.withColumn("slice", F.explode(F.sequence("slice", "until"))).drop("until")
+    dated = terms.join(slices, "cutoff").select("period_id", "slice", F.col("price_date").alias("_asked"))
+    dates = terms.agg(F.collect_set("price_date")).scalar()  # one date a term
+    asked = prices.select("fund_id", "regime_id").distinct().withColumn("_asked", F.explode(dates))
+    priced = asof_join(asked, prices, ["fund_id", "regime_id"], "_asked", "price_date", ["price"])
+    by_subaccount = priced.filter("price IS NOT NULL").join(
+        subaccounts.select("subaccount_id", "regime_id"), "regime_id"
+    ).drop("regime_id")
+    return told.join(dated, "slice").join(by_subaccount, ["fund_id", "subaccount_id", "_asked"]).select(
+        "period_id", *BALANCE_KEYS, "settled_at", F.lit(kind).alias("kind"), "price_date", "units",
+        F.round(F.col("units") * F.col("price"), 2).cast("decimal(18,2)").alias("amount"),
+    )

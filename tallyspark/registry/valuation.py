@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyspark.operators import terms, valuation
+from tallyspark.operators.asof import asof_join
 from tallyspark.registry.base import TERM, register, with_views
 from tallyspark.sources import roles
 
@@ -144,3 +145,88 @@ def balances_newest_period(spark, folder):
         history, roles.subaccount_type(spark, folder), roles.share_price(spark, folder),
         cutoff=valuation.cutoff_date(history, newest).scalar(), price_date=F.lit(TERM.price_date),
     )
+
+
+TERM_DATES = """
+    SELECT period_id, CAST(month_start + INTERVAL 1 MONTH AS DATE) AS next_start, last_day(month_start) AS price_date
+    FROM (SELECT period_id, CAST(strptime('01/' || period, '%d/%m/%Y') AS DATE) AS month_start FROM period)"""
+TERM_CUTOFFS = """
+    SELECT t.*, coalesce(h.moment, CAST(t.next_start AS TIMESTAMP)) AS cutoff
+    FROM term_date t ASOF LEFT JOIN (SELECT DISTINCT settled_at AS moment FROM balance_history) h
+      ON CAST(t.next_start AS TIMESTAMP) < h.moment"""
+
+
+def term_cutoffs(spark, folder):
+    dates = terms.term_dates(roles.period(spark, folder)).select("period_id", "next_start", "price_date")
+    return valuation.cutoff_dates(roles.balance_history(spark, folder), dates)
+
+
+@register(
+    "term_cutoffs",
+    with_views("SELECT * FROM term_cutoff", "balance_history", "period", term_date=TERM_DATES, term_cutoff=TERM_CUTOFFS),
+)
+def term_cutoffs_query(spark, folder):
+    """The cut-off of every period: the first day of the history after the start of the next one."""
+    return term_cutoffs(spark, folder)
+
+
+@register(
+    "balances_all_periods",
+    with_views(
+        """
+        WITH latest AS (
+            SELECT c.period_id, c.cutoff, c.price_date AS asked, h.account_id, h.fund_id, h.subaccount_id,
+                   MAX(CAST(h.settled_at AS DATE)) AS day
+            FROM term_cutoff c JOIN balance_history h ON h.settled_at <= c.cutoff
+            GROUP BY ALL),
+        unit AS (
+            SELECT l.period_id, l.asked, h.account_id, h.fund_id, h.subaccount_id, h.settled_at, s.regime_id,
+                   CAST(ROUND(SUM(h.units), 6) AS DECIMAL(18,6)) AS units
+            FROM latest l
+            JOIN balance_history h ON h.account_id = l.account_id AND h.fund_id = l.fund_id
+                 AND h.subaccount_id = l.subaccount_id AND CAST(h.settled_at AS DATE) = l.day AND h.settled_at <= l.cutoff
+            JOIN subaccount_type s ON s.subaccount_id = h.subaccount_id
+            GROUP BY ALL)
+        SELECT u.period_id, u.account_id, u.fund_id, u.subaccount_id, u.settled_at, 'F' AS kind, p.price_date, u.units,
+               CAST(ROUND(u.units * p.price, 2) AS DECIMAL(18,2)) AS amount
+        FROM unit u ASOF JOIN share_price p
+          ON p.fund_id = u.fund_id AND p.regime_id = u.regime_id AND p.price_date <= u.asked
+        """,
+        "balance_history", "period", "subaccount_type", "share_price", term_date=TERM_DATES, term_cutoff=TERM_CUTOFFS,
+    ),
+)
+def balances_all_periods(spark, folder):
+    """Balances of every period in one pass over the history."""
+    return valuation.balances_of_terms(
+        roles.balance_history(spark, folder), roles.subaccount_type(spark, folder), roles.share_price(spark, folder),
+        term_cutoffs(spark, folder),
+    )
+
+
+@register(
+    "movement_prices",
+    with_views(
+        """
+        SELECT m.account_id, m.folio, m.concept_id, m.fund_id, m.subaccount_id, m.settled_at, m.amount, p.price_date,
+               p.price
+        FROM (SELECT m.*, s.regime_id, CAST(m.settled_at AS DATE) AS day
+              FROM movement m JOIN subaccount_type s ON s.subaccount_id = m.subaccount_id) m
+        ASOF LEFT JOIN (SELECT fund_id, regime_id, price_date, price FROM share_price
+                        WHERE dayofmonth(price_date) % 7 = 0) p
+          ON p.fund_id = m.fund_id AND p.regime_id = m.regime_id AND p.price_date < m.day
+        """,
+        "movement", "subaccount_type", "share_price",
+    ),
+)
+def movement_prices(spark, folder):
+    """Every movement with the last weekly price before its day: three funds hold all rows, so keys are hot."""
+    regimes = roles.subaccount_type(spark, folder).select("subaccount_id", "regime_id")
+    movements = (
+        roles.movement(spark, folder)
+        .select("account_id", "folio", "concept_id", "fund_id", "subaccount_id", "settled_at", "amount")
+        .join(regimes, "subaccount_id")
+        .withColumn("day", F.to_date("settled_at"))
+    )
+    weekly = roles.share_price(spark, folder).filter(F.dayofmonth("price_date") % 7 == 0)
+    priced = asof_join(movements, weekly, ["fund_id", "regime_id"], "day", "price_date", ["price"], strict=True)
+    return priced.drop("regime_id", "day")
