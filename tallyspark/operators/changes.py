@@ -31,7 +31,7 @@ def upsert(
     if position:
         order.append(F.col(position))
     order += [F.col(name).asc_nulls_last() for name in values]
-    winners = first_per_key(source, keys, order).select(*keys, *values)
+    winners = first_per_key(source, keys, order or [F.col(keys[0])]).select(*keys, *values)
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(winners, allowMissingColumns=True)
 

@@ -102,13 +102,47 @@ def value_balances(
     Units are summed to the result grain before prices are attached: the price is constant within a group, so the
     amount is the same and the price join sees only one row per balance. Balances without a price are dropped.
     """
+    return value_units(latest_units(history, cutoff), subaccounts, prices, price_date, kind)
+
+
+# ---- balances as a state that loads advance
+
+def advanced_state(state: DataFrame, delta: DataFrame, cutoff: Column, salts: int = SALTS) -> DataFrame:
+    """The balance state at ``cutoff`` from the state at an earlier one and the rows loaded since.
+
+    A state holds, per key, the units of its latest day up to the cutoff, summed by moment, and in rows marked
+    ``pending`` the units of later moments. A loaded row may be older than the state: on an earlier day it changes
+    nothing, on the latest day it is added, so late rows count as if they had been there. Rows are cut down and summed
+    as in ``latest_units``; a pending day is ranked by itself, so all its moments stay.
+    """
+    rows = state.select(*BALANCE_KEYS, "settled_at", "units").unionByName(
+        delta.select(*BALANCE_KEYS, "settled_at", "units")
+    )
+    later = F.col("settled_at") > cutoff
+    keys = [*BALANCE_KEYS, "_day"]
+    slotted = rows.withColumns(
+        {
+            "_day": F.when(later, F.to_date("settled_at")),
+            "_salt": F.pmod(F.monotonically_increasing_id(), F.lit(salts)),
+        }
+    )
+    summed = (
+        _latest_day(slotted, [*keys, "_salt"], "settled_at")
+        .groupBy(*keys, "settled_at")
+        .agg(F.sum("units").cast("decimal(18,6)").alias("units"))
+    )
+    return _latest_day(summed, keys, "settled_at").select(
+        *BALANCE_KEYS, "settled_at", "units", F.col("_day").isNotNull().alias("pending")
+    )
+
+
+def value_units(
+    units: DataFrame, subaccounts: DataFrame, prices: DataFrame, price_date: Column, kind: str = BALANCE_KIND
+) -> DataFrame:
+    """Units per account, fund, sub-account and moment, valued at the share price as of ``price_date``."""
     price = subaccount_prices(subaccounts, prices, price_date)
-    return latest_units(history, cutoff).join(price, ["fund_id", "subaccount_id"]).select(
-        *BALANCE_KEYS,
-        "settled_at",
-        F.lit(kind).alias("kind"),
-        "price_date",
-        "units",
+    return units.join(price, ["fund_id", "subaccount_id"]).select(
+        *BALANCE_KEYS, "settled_at", F.lit(kind).alias("kind"), "price_date", "units",
         F.round(F.col("units") * F.col("price"), 2).cast("decimal(18,2)").alias("amount"),
     )
 

@@ -52,9 +52,12 @@ def load_clients(
     term: Term,
     merge_master: bool = False,
 ) -> DataFrame:
-    """Client master (replaced, or merged by account) and the classification of the period."""
+    """Client master (replaced, or merged by account) and the classification of the period.
+
+    A merge rewrites only the buckets of the accounts that the master names.
+    """
     if merge_master:
-        warehouse.upsert("client", master, ["account_id"])
+        warehouse.upsert_buckets("client", master, ["account_id"])
     else:
         warehouse.replace("client", master)
     facts = clients.classify_clients(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators.changes import upsert
@@ -13,6 +13,8 @@ from tallyspark.sources.shared import written_once
 from tallyspark.sources.tables import replace_period
 
 NEW, ASIDE = "__new", "__aside"
+BUCKETS, BUCKET = "_buckets", "_bucket"  # of a keyed table: how many, and which one a row is in
+DEFAULT_BUCKETS = 64
 
 
 @dataclass(frozen=True)
@@ -26,7 +28,7 @@ class Warehouse:
         return f"{self.folder.rstrip('/')}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.parquet(self.path(name)).drop(BUCKETS, BUCKET)
 
     def of_term(self, name: str, term: Term) -> DataFrame:
         """Rows of one period; the filter prunes partitions."""
@@ -42,8 +44,11 @@ class Warehouse:
         The new table is written beside the old one. Only then is the old folder set aside and the new one put in its
         place, so a failed write changes nothing; a stop between the two moves is mended by the next look at the table.
         """
+        df.write.mode("overwrite").parquet(f"{self.path(name)}{NEW}")
+        self._swap(name)
+
+    def _swap(self, name: str) -> None:
         path = self.path(name)
-        df.write.mode("overwrite").parquet(f"{path}{NEW}")
         files, old, new, aside = self._files(path, path, f"{path}{NEW}", f"{path}{ASIDE}")
         files.delete(aside, True)
         if files.exists(old):
@@ -68,10 +73,71 @@ class Warehouse:
         return files, *(self._path(one) for one in paths)
 
     def upsert(self, name: str, source: DataFrame, keys: list[str], **order: str) -> None:
-        """Merge rows into a table. The merged rows are written elsewhere first, never over their own input."""
+        """Merge rows into a table. The whole table is written once, beside the old one that it is read from."""
         if self.exists(name):
-            merged = written_once(upsert(self.table(name), source, keys, **order), name)
+            merged = upsert(self.table(name), source, keys, **order)
         else:
-            empty = source.drop(*order.values()).limit(0)
-            merged = upsert(empty, source, keys, **order)
+            merged = upsert(source.drop(*order.values()).limit(0), source, keys, **order)
         self.replace(name, merged)
+
+    def periods(self, name: str, period: str = "period_id") -> list[int]:
+        """Periods a table holds, from the names of its folders."""
+        return sorted(int(value) for value in self._folders(name, period)) if self.exists(name) else []
+
+    def _folders(self, name: str, column: str) -> list[str]:
+        files, here = self._files(self.path(name), self.path(name))
+        names = (status.getPath().getName() for status in files.listStatus(here))
+        return [value for key, _, value in (one.partition("=") for one in names) if key == column]
+
+    # ---- tables in buckets of their keys
+
+    def upsert_buckets(
+        self, name: str, source: DataFrame, keys: list[str], buckets: int = DEFAULT_BUCKETS, **order: str
+    ) -> int:
+        """Merge rows into a keyed table and write only the buckets that hold one of their keys; returns how many.
+
+        Rows lie in folders by a hash of their keys. The source is stored with its buckets, the buckets it names (at
+        most as many as the table has) prune the read of the table, and only they are overwritten, when the job commits.
+        Files of other buckets are neither read nor written. A stop in the middle of the commit is mended by repeating
+        the merge, which gives the same rows. ``buckets`` counts for a new table; an old one keeps its number.
+        """
+        path = self.path(name)
+        if not self.exists(name):
+            kept = upsert(source.drop(*order.values()).limit(0), source, keys, **order)
+            self._write_buckets(kept.withColumn(BUCKETS, F.lit(buckets)), path, keys)
+            return len(self._buckets_of(name))
+        stored = self.spark.read.parquet(path)
+        count = self.bucket_count(name)
+        kinds = {key: stored.schema[key].dataType for key in keys}
+        cast = source.withColumns({key: F.col(key).cast(kind) for key, kind in kinds.items()})
+        changes = written_once(cast.withColumn(BUCKET, _bucket_of(keys, count)), name)
+        touched = [row[0] for row in changes.select(BUCKET).distinct().collect()]
+        if touched:
+            old = stored.filter((F.col(BUCKETS) == count) & F.col(BUCKET).isin(touched)).drop(BUCKETS)
+            merged = upsert(old, changes, [*keys, BUCKET], **order).drop(BUCKET)
+            self._write_buckets(merged.withColumn(BUCKETS, F.lit(count)), path, keys, "dynamic")
+        return len(touched)
+
+    def rebucket(self, name: str, buckets: int, keys: list[str]) -> None:
+        """Give a keyed table another number of buckets, when its buckets have outgrown a task."""
+        new = self.table(name).withColumn(BUCKETS, F.lit(buckets))
+        self._write_buckets(new, f"{self.path(name)}{NEW}", keys)
+        self._swap(name)
+
+    def bucket_count(self, name: str) -> int:
+        found = self._folders(name, BUCKETS)
+        if len(found) != 1:
+            raise ValueError(f"{name} is no table in buckets")
+        return int(found[0])
+
+    def _buckets_of(self, name: str) -> list[str]:
+        return self._folders(f"{name}/{BUCKETS}={self.bucket_count(name)}", BUCKET)
+
+    def _write_buckets(self, rows: DataFrame, path: str, keys: list[str], mode: str = "static") -> None:
+        placed = rows.withColumn(BUCKET, _bucket_of(keys, F.col(BUCKETS))).hint("rebalance", F.col(BUCKET))
+        placed.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(BUCKETS, BUCKET).parquet(path)
+
+
+def _bucket_of(keys: list[str], buckets: int | Column) -> Column:
+    count = buckets if isinstance(buckets, Column) else F.lit(buckets)
+    return F.pmod(F.xxhash64(*keys), count.cast("bigint")).cast("int")

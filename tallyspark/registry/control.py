@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyspark.operators import reports
+from tallyspark.operators import bitmaps, reports
 from tallyspark.plans import figures
 from tallyspark.registry.base import TERM, register, with_views
 from tallyspark.registry.clients import CLASSIFY_STEPS, CLASSIFY_VIEWS, client_facts
@@ -15,6 +15,7 @@ from tallyspark.registry.returns import (
 from tallyspark.registry.valuation import BALANCE_VIEWS, BALANCES, balances
 from tallyspark.operators.terms import stamp_period
 from tallyspark.sources import roles
+from tallyspark.sources.shared import written_once
 
 
 def report_sql(source: str, display: list[str], sums: list[str], distinct: dict[str, str] | None = None) -> str:
@@ -272,3 +273,24 @@ def report_run_subtotals(spark, folder):
     return reports.run_subtotals(
         detail, ["subaccount_id", "fund_id"], ["amount"], ["account_id", "subaccount_id", "fund_id"]
     )
+
+
+@register(
+    "distinct_clients",
+    with_views(
+        """
+        SELECT CAST(floor(period_id / 12) AS BIGINT) AS year, fund_id, concept_id,
+               CAST(GROUPING(fund_id) + GROUPING(concept_id) AS INTEGER) AS level, COUNT(DISTINCT account_id) AS clients
+        FROM (SELECT *, (year(settled_at) - 1995) * 12 + month(settled_at) AS period_id FROM movement)
+        GROUP BY GROUPING SETS ((year, fund_id, concept_id), (year, fund_id), (year))
+        """,
+        "movement",
+    ),
+)
+def distinct_clients(spark, folder):
+    """Clients per year and subtotal, from bitmaps stored per month: accounts are read once, and months share many."""
+    monthly = bitmaps.id_bitmaps(
+        roles.dated_movement(spark, folder), ["period_id", "fund_id", "concept_id"], "account_id"
+    )
+    stored = written_once(monthly, "client-bitmaps").withColumn("year", F.floor(F.col("period_id") / 12))
+    return bitmaps.distinct_subtotals(stored, [["year", "fund_id", "concept_id"], ["year", "fund_id"], ["year"]])

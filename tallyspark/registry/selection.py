@@ -139,3 +139,24 @@ def sample(spark, folder):
         sampling.quota_sample(**arguments),
         TERM, user_id=34, area_id=5, url_base=URL_BASE,
     ).drop("created_at")
+
+
+SCAN_RULES = 50
+SCAN_RULE = "SELECT user_id FROM signal WHERE event_type IN ('view', 'click') AND value > {low} AND value <= {high}"
+
+
+@register(
+    "indicator_rules_one_scan",
+    " UNION ALL ".join(
+        f"SELECT user_id AS account_id, CAST({n} AS INTEGER) AS indicator_id, CAST({n % 2} AS INTEGER) AS flags, "
+        f"CAST(39 AS INTEGER) AS period_id FROM ({SCAN_RULE.format(low=n, high=n + 3).replace('signal', 'events')}) r{n}"
+        for n in range(SCAN_RULES)
+    ),
+)
+def indicator_rules_one_scan(spark, folder):
+    """Fifty stored rules over one table, whose rows are read once and tagged with the rules they meet."""
+    listed = [
+        rules.IndicatorRule(n, SCAN_RULE.format(low=n, high=n + 3), "CORE", generated=n % 2 == 1)
+        for n in range(SCAN_RULES)
+    ]
+    return rules.run_indicator_rules(spark, listed, {"CORE": {"signal": roles.table(spark, folder, "events")}}, TERM)

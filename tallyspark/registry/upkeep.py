@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions import codes
 from tallyspark.operators import changes, quality, reports, runlog
 from tallyspark.operators.clients import indicator_values
+from tallyspark.plans.warehouse import Warehouse
 from tallyspark.registry.base import TERM, register, with_views
 from tallyspark.sources import roles
 from tallyspark.sources.shared import new_table_path
@@ -67,6 +68,31 @@ def upsert(spark, folder):
     return changes.upsert(target, source, ["s_suppkey"], batch="batch", position="position")
 
 
+@register(
+    "upsert_buckets",
+    """
+    SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 37 <> 5
+    UNION ALL SELECT c_custkey, 'merged', NULL FROM customer WHERE c_custkey % 37 = 5
+    UNION ALL SELECT -c_custkey, 'new', 'NONE' FROM customer WHERE c_custkey % 100 = 1
+    """,
+)
+def upsert_buckets(spark, folder):
+    """A keyed table in buckets: the first load writes all of them, the merge those of its keys."""
+    store = Warehouse(spark, new_table_path(spark, "keyed"))
+    clients = roles.table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    store.upsert_buckets("client", clients, ["c_custkey"], buckets=16)
+    key = F.col("c_custkey")
+    changed = clients.filter(key % 37 == 5).select(
+        key, F.lit("merged").alias("c_name"), F.lit(None).cast("string").alias("c_mktsegment"), F.lit(1).alias("rank")
+    )
+    repeated = changed.withColumn("c_name", F.lit("later in the batch")).withColumn("rank", F.lit(2))
+    new = clients.filter(key % 100 == 1).select(
+        -key, F.lit("new").alias("c_name"), F.lit("NONE").alias("c_mktsegment"), F.lit(1).alias("rank")
+    ).toDF("c_custkey", "c_name", "c_mktsegment", "rank")
+    store.upsert_buckets("client", changed.unionByName(repeated).unionByName(new), ["c_custkey"], position="rank")
+    return store.table("client")
+
+
 @register(
     "update_from",
     with_views(
