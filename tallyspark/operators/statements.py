@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions import codes
 from tallyspark.functions.calendar import compact_period, in_window, is_due, lookback_start, period_start
+from tallyspark.operators.movements import union_all
 from tallyspark.operators.numbering import number_rows
 from tallyspark.operators.terms import Term
 from tallyspark.sources.shared import written_once
 
+FLOWS = ("credit", "charge", "commission")
 STATEMENT_KEYS = ("account_id", "format_id")
 
 
@@ -108,14 +112,14 @@ def header_base(chosen: DataFrame, clients: DataFrame, term: Term) -> DataFrame:
 def with_folio(header: DataFrame) -> DataFrame:
     """Consecutive folios in statement id order, as text.
 
-    Only the keys are sorted and numbered, from a stored table; the wide header meets its folio in one join. Headers
-    have one row per account and format.
+    The header is stored once, because it is needed twice: only its keys are sorted and numbered, and the wide rows meet
+    their folio in one join. Headers have one row per account and format.
     """
-    keys = written_once(header.select(*STATEMENT_KEYS, "statement_id"), "statement-keys")
-    folios = number_rows(keys, ["statement_id"], "folio").select(
+    stored = written_once(header, "statement-base")
+    folios = number_rows(stored.select(*STATEMENT_KEYS, "statement_id"), ["statement_id"], "folio").select(
         *STATEMENT_KEYS, F.col("folio").cast("string").alias("folio")
     )
-    return header.join(folios, list(STATEMENT_KEYS)).select(*header.columns, "folio")
+    return stored.join(folios, list(STATEMENT_KEYS)).select(*header.columns, "folio")
 
 
 def with_uuid_ids(header: DataFrame) -> DataFrame:
@@ -228,6 +232,11 @@ def statement_front(
         at("first_period", "initial"),
         at("last_period", "final"),
     )
+    return front_lines(per_subaccount, lines, user)
+
+
+def front_lines(per_subaccount: DataFrame, lines: DataFrame, user: str = "0") -> DataFrame:
+    """The configured lines of each statement from its sums per sub-account."""
     listed = F.array_contains("subaccounts", F.col("subaccount_id"))
 
     def listed_sum(measure: str, name: str) -> Column:
@@ -264,6 +273,74 @@ def statement_front(
     )
 
 
+def front_windows(
+    formats: DataFrame, periods: DataFrame, term: Term, fact_periods: Sequence[int], sum_periods: Sequence[int]
+) -> dict[int, dict[str, int]]:
+    """Where each front window of the formats begins and ends, by its length in months.
+
+    ``first`` and ``last`` are the first and last period with facts in it, ``upto`` the newest period with running sums
+    that is not after it, and ``before`` the newest one that is before it, if there is one. Lengths and periods are
+    catalogs: one row per periodicity and per month.
+    """
+    starts = {row.period_id: row.starts for row in _period_starts(periods).collect()}
+    opening = lookback_start(F.lit(term.start), F.col("front_months"), inclusive=False)
+    found = {}
+    for row in formats.select("front_months", opening.alias("opening")).distinct().collect():
+        inside = [one for one in fact_periods if one in starts and row.opening <= starts[one] <= term.end]
+        summed = [one for one in sum_periods if one in starts and starts[one] <= term.end]
+        if not inside or not summed:
+            continue
+        window = {
+            "first": min(inside, key=starts.get), "last": max(inside, key=starts.get), "upto": max(summed, key=starts.get)
+        }
+        earlier = [one for one in summed if starts[one] < row.opening]
+        if earlier:
+            window["before"] = max(earlier, key=starts.get)
+        found[row.front_months] = window
+    return found
+
+
+def statement_front_from_sums(
+    returns: DataFrame, sums: DataFrame, windows: Mapping[int, Mapping[str, int]], chosen: DataFrame, lines: DataFrame,
+    term: Term, user: str = "0",
+) -> DataFrame:
+    """``statement_front`` from running sums: flows of a window are those up to its end less those before it.
+
+    Of the sums and of the returns only the periods at the two ends of a window are read (see ``front_windows``), so the
+    cost does not grow with the length of the windows, nor with the number of formats that share one.
+    """
+    due = chosen.filter(is_due(F.lit(term.end), F.col("generation_months"))).select(
+        "account_id", "format_id", "generation_id", "front_months"
+    )
+
+    def ends(table: DataFrame, end: str, **measures: Column) -> DataFrame:
+        of_period: dict[int, list[int]] = {}
+        for months, window in windows.items():
+            if end in window:
+                of_period.setdefault(window[end], []).append(months)
+        lengths = F.lit(None).cast("array<int>")
+        for period_id, months in of_period.items():
+            lengths = F.when(F.col("period_id") == period_id, F.array(*map(F.lit, months))).otherwise(lengths)
+        none = F.lit(0).cast("decimal(28,4)")
+        return table.filter(F.col("period_id").isin(list(of_period))).select(
+            "account_id", "subaccount_id", F.explode(lengths).alias("front_months"),
+            measures.get("rows", F.lit(0)).cast("bigint").alias("rows"),
+            *[measures.get(name, none).cast("decimal(28,4)").alias(name) for name in (*FLOWS, "initial", "final")],
+        )
+
+    running = (*FLOWS, "rows")
+    parts = (
+        ends(sums, "upto", **{name: F.col(name) for name in running}),
+        ends(sums, "before", **{name: -F.col(name) for name in running}),
+        ends(returns, "first", initial=F.col("initial")),
+        ends(returns, "last", final=F.col("final")),
+    )
+    per_window = union_all(parts).groupBy("account_id", "subaccount_id", "front_months").agg(
+        *[F.sum(name).alias(name) for name in (*running, "initial", "final")]
+    ).filter("rows > 0")
+    return front_lines(per_window.join(due, ["account_id", "front_months"]), lines, user)
+
+
 def statement_back(
     movements: DataFrame,
     chosen: DataFrame,

@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.calendar import is_due, lookback_start, period_start
 from tallyspark.operators import statements
+from tallyspark.plans import running_sums
 from tallyspark.plans.statements import StatementConfig, build_statements
+from tallyspark.plans.warehouse import Warehouse
 from tallyspark.registry.base import TERM, register, with_views
 from tallyspark.registry.clients import CLASSIFY_STEPS, CLASSIFY_VIEWS, MASTER, PARTY, client_facts, master
 from tallyspark.sources import roles
+from tallyspark.sources.shared import new_table_path
 
 URL_BASE = "https://example.org/statements/"
 
@@ -224,6 +227,23 @@ def statement_front(spark, folder):
     return front(spark, folder)
 
 
+@register("statement_front_from_sums", with_views("SELECT * FROM front", *VIEWS, **STEPS))
+def statement_front_from_sums(spark, folder):
+    """The front from running sums at the ends of its windows, after five loads have advanced them."""
+    store = Warehouse(spark, new_table_path(spark, "sums"))
+    roles.return_fact(spark, folder).write.partitionBy("period_id").parquet(store.path("return_fact"))
+    returns, shapes = store.table("return_fact"), formats(spark, folder)
+    lengths = [row[0] for row in shapes.select("front_months").distinct().collect()]
+    for period_id in sorted({TERM.period_id - months - 1 for months in lengths}) + [TERM.period_id]:
+        running_sums.advance_sums(store, returns, period_id)
+    windows = statements.front_windows(
+        shapes, roles.period(spark, folder), TERM, store.periods("return_fact"), store.periods(running_sums.SUMS)
+    )
+    return statements.statement_front_from_sums(
+        returns, store.table(running_sums.SUMS), windows, chosen(spark, folder), roles.front_line(spark, folder), TERM
+    ).drop("created_at")
+
+
 @register("statement_header", with_views("SELECT * FROM header", *VIEWS, **STEPS))
 def statement_header(spark, folder):
     return products(spark, folder).header.drop("created_at")

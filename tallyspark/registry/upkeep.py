@@ -11,7 +11,8 @@ from tallyspark.plans.warehouse import Warehouse
 from tallyspark.registry.base import TERM, register, with_views
 from tallyspark.sources import roles
 from tallyspark.sources.shared import new_table_path
-from tallyspark.sources.tables import replace_period
+from tallyspark.sources.tables import replace_period, replace_period_with_summary
+from tallyspark.sources.versions import VersionedTable
 
 
 @register(
@@ -68,6 +69,35 @@ def upsert(spark, folder):
     return changes.upsert(target, source, ["s_suppkey"], batch="batch", position="position")
 
 
+@register(
+    "load_as_of",
+    with_views(
+        """
+        SELECT 'now' AS seen, account_id, folio, amount, period_id FROM loaded WHERE period_id = 38 AND amount > 0
+        UNION ALL SELECT 'now', account_id, folio, amount * 2, period_id FROM loaded WHERE period_id = 39
+        UNION ALL SELECT 'then', account_id, folio, amount, period_id FROM loaded WHERE period_id IN (38, 39)
+        """,
+        "movement",
+        loaded="""
+        SELECT account_id, folio, amount,
+               CAST((year(settled_at) - 1995) * 12 + month(settled_at) AS INTEGER) AS period_id FROM movement""",
+    ),
+)
+def load_as_of(spark, folder):
+    """Periods are loaded again and one is dropped; the table is read now and as it was after its second load."""
+    table = VersionedTable(spark, new_table_path(spark, "versions"))
+    rows = roles.dated_movement(spark, folder).select("account_id", "folio", "amount", "period_id")
+    before, current = rows.filter(F.col("period_id") == TERM.period_id - 1), rows.filter(F.col("period_id") == TERM.period_id)
+    table.load(before, TERM.period_id - 1)
+    table.load(current, TERM.period_id)
+    table.load(current.withColumn("amount", (F.col("amount") * 2).cast("decimal(18,2)")), TERM.period_id)
+    table.load(rows.filter(F.col("period_id") == 1), 1)
+    table.load(before.filter("amount > 0"), TERM.period_id - 1)
+    table.drop(1)
+    seen = [table.read().withColumn("seen", F.lit("now")), table.read(as_of=2).withColumn("seen", F.lit("then"))]
+    return seen[0].unionByName(seen[1])
+
+
 @register(
     "upsert_buckets",
     """
@@ -218,3 +248,17 @@ _SUMMARY = [
 )
 def load_summary(spark, folder):
     return reports.load_summary(roles.table(spark, folder, "events"))
+
+
+@register(
+    "load_summary_in_one_pass",
+    " UNION ALL ".join(
+        f"SELECT COUNT(*) AS row_count, '{name}' AS column_name, '{kind}' AS column_type, COUNT({name}) AS non_null "
+        "FROM events WHERE event_type = 'click'"
+        for name, kind in _SUMMARY
+    ),
+)
+def load_summary_in_one_pass(spark, folder):
+    """The summary of a period's load, counted by its write."""
+    clicks = roles.table(spark, folder, "events").filter("event_type = 'click'")
+    return replace_period_with_summary(clicks, new_table_path(spark, "events"), TERM.period_id)

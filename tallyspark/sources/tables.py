@@ -23,10 +23,11 @@ class Table:
     options: Mapping[str, str] = field(default_factory=dict)
 
 
-def read_table(spark: SparkSession, table: Table) -> DataFrame:
-    """Read a table with lower-case column names."""
+def read_table(spark: SparkSession, table: Table, limit: int | None = None) -> DataFrame:
+    """Read a table with lower-case column names; with ``limit``, any so many rows of it, to try a load."""
     df = spark.read.format(table.format).options(**table.options).load(table.path)
-    return df.toDF(*[name.lower() for name in df.columns])
+    df = df.toDF(*[name.lower() for name in df.columns])
+    return df if limit is None else df.limit(limit)
 
 
 def append_table(df: DataFrame, table: Table) -> None:
@@ -78,13 +79,14 @@ def transfer(
     term_id: int | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     clear: Callable[[int], None] | None = None,
+    limit: int | None = None,
 ) -> int:
-    """Read a table, stamp the period, transform it and load it into another; returns the number of rows.
+    """Read a table (or ``limit`` rows of it), stamp the period, transform it and load it into another; returns the number of rows.
 
     With a period the target's period is replaced (``clear`` as in ``replace_period_in``), without one rows are
     appended. The rows are counted while they are written, so the source is read once.
     """
-    df = read_table(spark, source)
+    df = read_table(spark, source, limit)
     if term_id is not None:
         df = df.withColumn("period_id", F.lit(term_id).cast("int"))
     if transform is not None:
@@ -121,6 +123,24 @@ def replace_period_in(
     return rows
 
 
+def replace_period_with_summary(df: DataFrame, path: str, term_id: int) -> DataFrame:
+    """``replace_period``, and the summary of its rows that ``load_summary`` gives, from the write itself.
+
+    Rows and values of every column are counted while they pass, so neither the source nor the table is read for it.
+    """
+    counter = Observation()
+    counts = [F.count(f"`{name}`").alias(f"values_{place}") for place, name in enumerate(df.columns)]
+    counted = df.observe(counter, F.count(F.lit(1)).alias("rows"), *counts)
+    replace_period(counted, path, term_id)
+    found = counter.get
+    rows = [
+        (found["rows"], name, kind, found[f"values_{place}"]) for place, (name, kind) in enumerate(df.dtypes)
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "row_count long, column_name string, column_type string, non_null long"
+    )
+
+
 def as_view(spark: SparkSession, source: Table, name: str) -> DataFrame:
     """Make a table of any source available to ``spark.sql`` under a name."""
     df = read_table(spark, source)
