@@ -1,17 +1,80 @@
 import random
 
+import numpy as np
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyspark.llm.sentence_spans import remove_repeated_passages, run_ends, sentence_spans, sentences
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="ab .!\n\té", max_size=80))
-def test_two_ways_to_cut(text):
-    spans = sentence_spans(text)
-    assert [text[start:end].split() for start, end in spans] == sentences(text)
+from tallyspark.llm import sentence_spans as module
+from tallyspark.llm.sentence_spans import FACTORS, LONG_WORD, cut, remove_repeated_passages, run_ends
+
+
+def plain_hash(word):
+    """The cut hash of a word, by its definition."""
+    size, mask = len(word), (1 << 64) - 1
+    value = sum((ord(char) + 1) * pow(FACTORS[0], at, 1 << 64) for at, char in enumerate(word)) & mask
+    if size >= LONG_WORD:
+        value = xxhash.xxh3_64_intdigest(word.encode())
+    for shift, factor in ((32, FACTORS[2]), (29, FACTORS[3])):
+        value = (value ^ value >> shift) * factor & mask
+    return value ^ value >> 32
+
+
+def plain_pieces(text):
+    """Words of each piece and whether a sentence ends with it, by the rule alone: no module code but the fixed sets."""
+    words, stops = [], []
+    for line in (text or "").split("\n"):
+        if module._HAS_UNSPACED.search(text or ""):
+            own = module._ANY_WORD.findall(line)
+        else:
+            own = line.split()
+        words += own
+        stops += [word.rstrip(module._CLOSERS).endswith(module._ENDS) for word in own]
+        stops = stops[:-1] + [True] if own else stops
+    out, first = [], 0
+    for at, stop in enumerate(stops):
+        if not stop:
+            continue
+        own = words[first : at + 1]
+        cuts = {len(own)}
+        if len(own) > 9:
+            hashes = [plain_hash(word) for word in own]
+            for start in range(len(own) - 4):
+                window = hashes[start : start + 5]
+                cuts.add(start + max(place for place, one in enumerate(window) if one == min(window)) + 1)
+        begin = 0
+        for end in sorted(cuts):
+            out.append((own[begin:end], end == len(own)))
+            begin = end
+        first = at + 1
+    return out
+
+
+def sentences(text):
+    return [words for words, _ in plain_pieces(text)]
+
+
+def compare_cuts(text):
+    pieces, want = cut(text), plain_pieces(text)
+    spans = list(zip(pieces.starts.tolist(), pieces.ends.tolist()))
+    assert ["".join(text[start:end].split()) for start, end in spans] == ["".join(words) for words, _ in want]
+    assert pieces.sizes.tolist() == [len(words) for words, _ in want]
+    assert pieces.whole.tolist() == [whole for _, whole in want]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab .!\n\té\x1f\u2003\"”", max_size=120))
+def test_cut_as_its_rule(text):
+    compare_cuts(text)
+
+
+def test_cut_of_long_words_and_texts():
+    rng = random.Random(1)
+    compare_cuts(" ".join("x" * rng.choice([1, 3, 255, 256, 400]) + rng.choice(["", "", "."]) for _ in range(300)))
+    compare_cuts(" ".join(f"w{rng.randrange(9999)}" for _ in range(20_000)))
+    same = cut("a b c d e f g h i j k l. Same here now.")
+    assert same.hashes[-1] == cut("Other. Same here\tnow.").hashes[-1] != cut("Same here now").hashes[-1]
 
 
 def brute(rows, run_sentences, run_words):
@@ -54,7 +117,9 @@ def test_as_brute_force(spark):
         for at, (key, text) in enumerate(rows):
             found = sentences(text)
             kept = [" ".join(words) for place, words in enumerate(found) if place not in want[at]]
-            expected.append((key, len(found), len(want[at]), None if text is None else " ".join(kept)))
+            whole = [end for _, end in plain_pieces(text or "")]
+            touched = {sum(whole[:place]) for place in want[at]}
+            expected.append((key, sum(whole), len(touched), None if text is None else " ".join(kept)))
         got = [
             (row.doc_id, row.n_sentences, row.n_removed, None if row.text is None else " ".join(row.text.split()))
             for row in cleaned.collect()
@@ -72,12 +137,12 @@ def test_planted_passage(spark):
     rows = remove_repeated_passages(docs).collect()
     assert all(("planted20" in row.text) == (row.doc_id == 0) for row in rows)
     assert all(f"Own words {row.doc_id} here." in row.text for row in rows)
-    assert run_ends([10, 10, 10], 3, 25) == [3, 0, 0]
+    assert run_ends(np.array([10, 10, 10]), 3, 25) == [3, 0, 0]
 
 
 def runs(text):
     found = sentences(text)
-    ends = run_ends([len(words) for words in found], 3, 25)
+    ends = run_ends(np.array([len(words) for words in found]), 3, 25)
     return {tuple(map(tuple, found[first:end])) for first, end in enumerate(ends) if end}
 
 
@@ -106,8 +171,7 @@ def test_passage_without_stops_at_different_offsets(spark):
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab .!\n\"”」「。你好กำ가。", max_size=80))
 def test_two_ways_to_cut_without_spaces(text):
-    words = [[text[start:end] for start, end in sentence_spans(text)], ["".join(words) for words in sentences(text)]]
-    assert ["".join(one.split()) for one in words[0]] == words[1]
+    compare_cuts(text)
 
 
 def test_marks_before_closers_and_letters_as_words():
