@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-FIRST_YEAR, CYCLE_DAYS = 1700, 146_097  # one Gregorian cycle of 400 years: 27 * 5411 days
-DATE_HALVES = (27, 5411)
+FIRST_YEAR, YEARS, CYCLE_DAYS = 1700, 400, 146_097  # one Gregorian cycle
+LEAP_DAYS = 97
+SSN_AREAS, SSN_GROUPS, SSN_SERIALS = 898, 99, 9999  # 001 to 899 without 666, 01 to 99, 0001 to 9999
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)",
@@ -37,23 +40,28 @@ def pseudonymise(
     first. What does not validate (an octet above 255, a day that no calendar has, a wrong check digit) stays as it is. A value is
     permuted among the values of its own format by a Feistel network keyed with ``key``, so equal values get equal
     pseudonyms in every document and different ones stay different; separators and length stay, cards keep a right
-    check digit and IBANs right check digits, dates stay dates of the 400 years from 1700 with as many digits as the
-    form of the old one has at least, and a date keeps its link across the forms.
+    check digit and IBANs right check digits, and social security numbers stay valid ones. Dates stay dates of the 400
+    years from 1700 and keep the width of their day and month; dates written with two digits each are linked across the
+    forms, those with one digit, and slash dates that can only have the day first, among their like. Ten digits alone are
+    a telephone number if the first is 2 or more, and stay one; time stamps and book numbers that begin with 0 or 1 stay.
 
     A null text stays null and finds nothing; texts without a candidate are not touched; repeated rows are treated
-    alike. A column called ``found`` is replaced. No rows are exchanged.
+    alike. A column called ``found``, in any case, is replaced. No rows are exchanged.
     """
     text = F.col(f"`{text_col}`")
-    kept = [name for name in docs.columns if name != "found"]
+    kept = [name for name in docs.columns if name.lower() != "found"]
+    listing = "_values"
+    while listing in {name.lower() for name in kept}:
+        listing += "_"
     # every pattern needs a digit or an at sign, which one quick pass finds out for most texts
     values = F.when(F.rlike(text, F.lit("[0-9@]")), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     values = F.coalesce(values, F.array().cast("array<string>"))
     listed = docs.select(
         *[F.col(f"`{name}`") for name in kept],
-        F.transform(values, lambda value: _with_kind(value, day_first)).alias("_values_of_text"),
-    ).withColumn("_values_of_text", F.transform("_values_of_text", lambda one: _replaced(one, key, rounds, day_first)))
+        F.transform(values, lambda value: _with_kind(value, day_first)).alias(listing),
+    ).withColumn(listing, F.transform(listing, lambda one: _replaced(one, key, rounds, day_first)))
     pieces = F.split(text, ANY, -1)
-    found = F.col("_values_of_text")
+    found = F.col(listing)
     whole = F.concat(
         F.array_join(F.transform(found, lambda one, place: F.concat(F.get(pieces, place), one["new"])), ""),
         F.element_at(pieces, -1),
@@ -92,7 +100,8 @@ def _with_kind(value: Column, day_first: bool) -> Column:
         .when(kind == "iban", _rest_97(value) == 1)
         .when(kind == "date", _day(value, day_first).isNotNull())
         .when(kind == "card", _luhn_sum(digits) % 10 == 0)
-        .when(kind == "phone", F.length(digits) >= 8)
+        .when(kind == "ssn", F.rlike(digits, F.lit(r"^(?!000|666|9)\d{3}(?!00)\d{2}(?!0000)")))
+        .when(kind == "phone", (F.length(digits) >= 8) & ~F.rlike(value, F.lit(r"^[01]\d{9}$")))
         .otherwise(True)
     )
     return F.struct(
@@ -108,7 +117,7 @@ def _replaced(one: Column, key: str, rounds: int, day_first: bool) -> Column:
         .when(kind == "ip", _address(old, key, rounds))
         .when(kind == "iban", _iban(old, key, rounds))
         .when(kind == "date", _date(old, key, rounds, day_first))
-        .when(kind == "ssn", _in_format(old, _characters(digits, "ssn", key, rounds)))
+        .when(kind == "ssn", _in_format(old, _social_number(digits, key, rounds)))
         .when(kind == "card", _card(old, digits, key, rounds))
         .otherwise(_in_format(old, _number(old, digits, key, rounds)))
     )
@@ -267,37 +276,163 @@ def _address(old: Column, key: str, rounds: int) -> Column:
     )
 
 
-def _date(old: Column, key: str, rounds: int, day_first: bool) -> Column:
-    def permuted(day: Column) -> Column:
-        pair = _numbers(F.floor(day / DATE_HALVES[1]), day % DATE_HALVES[1], DATE_HALVES, "date", key, rounds)
-        return _let(pair, lambda pair: (pair["left"] * DATE_HALVES[1] + pair["right"]).cast("int"))
+class _Days:
+    """Dates of the cycle that one form can write, numbered from 0.
+
+    ``months`` is 9 where the month has one digit, else 12; ``days`` is ``single`` (1 to 9), ``late`` (from 13) or
+    ``all``. Days up to a year are a line in the year plus its leap days, so numbers and dates are turned into each other
+    without a table.
+    """
+
+    def __init__(self, months: int, days: str):
+        self.months, self.days = months, days
+        in_year = 365 if months == 12 else 273
+        left_out = {"all": 0, "late": 12 * months}
+        self.leaps = 0 if days == "single" else 1
+        self.each = 9 * months if days == "single" else in_year - left_out[days]
+        self.total = YEARS * self.each + LEAP_DAYS * self.leaps
+
+    def number(self, date: Column) -> Column:
+        first = {"all": 1, "late": 13, "single": 1}[self.days]
+        return self._years(F.year(date) - FIRST_YEAR) + self._month(date) + F.dayofmonth(date) - first
+
+    def date(self, number: Column) -> Column:
+        about = F.floor(number * YEARS / self.total)
+        years = F.filter(
+            F.sequence(about - 1, about + 1), lambda year: (self._years(year) <= number) & year.between(0, YEARS - 1)
+        )
+
+        def in_year(year: Column) -> Column:
+            start = F.make_date(year.cast("int") + FIRST_YEAR, F.lit(1), F.lit(1))
+            rest = number - self._years(year)
+            months = F.transform(
+                F.sequence(F.lit(0), F.lit(self.months - 1)), lambda month: F.add_months(start, month)
+            )
+            month = F.element_at(F.filter(months, lambda one: self._month(one) <= rest), -1)
+            late = 12 if self.days == "late" else 0
+            return _let(month, lambda one: F.date_add(one, (rest - self._month(one)).cast("int") + late))
+
+        return _let(F.element_at(years, -1), in_year)
 
-    def written(day: Column) -> Column:
-        moved = F.date_add(F.lit(f"{FIRST_YEAR}-01-01").cast("date"), day)
-        new = F.lit(None).cast("string")
-        # a day or month of one digit makes the form one of one or two digits
-        short = F.rlike(old, F.lit(r"(?:^|\D)\d(?:\D|$)"))
-        for start, form in DATE_FORMS.items():
-            made = _in_form(moved, form, short)
-            if day_first and form.startswith("M/"):
-                month_first = F.try_to_timestamp(old, F.lit(form)).isNotNull()
-                made = F.when(month_first, made).otherwise(_in_form(moved, DAY_FIRST, short))
-            new = F.when(F.rlike(old, F.lit(start)), made).otherwise(new)
-        return new
+    def _years(self, year: Column) -> Column:
+        """Dates before a year of the cycle."""
+        before = F.make_date(year.cast("int") + FIRST_YEAR, F.lit(1), F.lit(1))
+        leaps = F.datediff(before, F.lit(f"{FIRST_YEAR}-01-01").cast("date")) - 365 * year
+        return (year * self.each + (leaps if self.leaps else 0)).cast("bigint")
 
-    return _let(_let(_day(old, day_first), permuted), written)
+    def _month(self, date: Column) -> Column:
+        """Dates of its year before the month of a date."""
+        month = F.month(date) - 1
+        if self.days == "single":
+            return month * 9
+        days = F.dayofyear(F.trunc(date, "month")) - 1
+        return days - 12 * month if self.days == "late" else days
 
 
-def _in_form(day: Column, form: str, short: Column) -> Column:
-    padded = form.replace("d", "dd").replace("M", "MM")
-    return F.when(short, F.date_format(day, form)).otherwise(F.date_format(day, padded))
+def _permuted(number: Column, total: int, domain: str, key: str, rounds: int) -> Column:
+    """A permutation of the numbers below ``total``.
+
+    Halves are numbers below two near factors. A total without such factors is permuted twice without its last and then
+    without its first number, so every number is moved.
+    """
+
+    def once(number: Column, total: int, domain: str) -> Column:
+        left, right = _near_factors(total)
+        pair = _numbers(F.floor(number / right), number % right, (left, right), domain, key, rounds)
+        return _let(pair, lambda pair: pair["left"] * right + pair["right"])
+
+    if _near_factors(total)[0] >= 2:
+        return once(number, total, domain)
+    most = F.lit(total - 1)
+    first = F.when(number < most, once(number, total - 1, f"{domain}|first")).otherwise(number)
+    return _let(
+        first, lambda number: F.when(number > 0, once(number - 1, total - 1, f"{domain}|second") + 1).otherwise(number)
+    )
+
+
+def _near_factors(total: int) -> tuple[int, int]:
+    left = next(one for one in range(isqrt(total), 0, -1) if total % one == 0)
+    return left, total // left
+
+
+def _date(old: Column, key: str, rounds: int, day_first: bool) -> Column:
+    """The date permuted among those of its width; slash dates that must have the day first among such dates."""
+    parts = F.split(old, r"\D")
+    year_first = F.rlike(old, F.lit(r"^\d{4}-"))
+    slash = F.contains(old, F.lit("/"))
+    late = slash & (F.get(parts, 0).cast("int") > 12) if day_first else F.lit(False)
+    month_leads = (slash & ~late) | F.lit(False)
+    day = F.when(year_first, F.get(parts, 2)).when(month_leads, F.get(parts, 1)).otherwise(F.get(parts, 0))
+    month = F.when(month_leads, F.get(parts, 0)).otherwise(F.get(parts, 1))
+    date = F.make_date(
+        F.when(year_first, F.get(parts, 0)).otherwise(F.get(parts, 2)).cast("int"), month.cast("int"), day.cast("int")
+    )
+
+    def written(new: Column) -> Column:
+        def padded(value: Column, width: Column) -> Column:
+            return F.lpad(value.cast("string"), F.greatest(width, F.length(value.cast("string"))), F.lit("0"))
+
+        new_day, new_month = padded(F.dayofmonth(new), F.length(day)), padded(F.month(new), F.length(month))
+        year = F.year(new).cast("string")
+        return (
+            F.when(year_first, F.concat_ws("-", year, new_month, new_day))
+            .when(month_leads, F.concat_ws("/", new_month, new_day, year))
+            .when(slash, F.concat_ws("/", new_day, new_month, year))
+            .otherwise(F.concat_ws(".", new_day, new_month, year))
+        )
+
+    made = F.lit(None).cast("date")
+    for months, short_month in ((12, F.length(month) == 2), (9, F.length(month) == 1)):
+        for days, fits in (
+            ("late", late), ("single", ~late & (F.length(day) == 1)), ("all", ~late & (F.length(day) == 2)),
+        ):
+            form = _Days(months, days)
+            new = _let(_permuted(form.number(date), form.total, f"date|{months}|{days}", key, rounds), form.date)
+            made = F.when(short_month & fits, new).otherwise(made)
+    return _let(made, written)
+
+
+def _social_number(digits: Column, key: str, rounds: int) -> Column:
+    """Areas run from 001 to 899 without 666; group and serial number are not zero."""
+    area = F.substr(digits, F.lit(1), F.lit(3)).cast("int")
+    place = F.when(area > 666, area - 2).otherwise(area - 1)
+    left = place * SSN_GROUPS + F.substr(digits, F.lit(4), F.lit(2)).cast("int") - 1
+    right = F.substr(digits, F.lit(6), F.lit(4)).cast("int") - 1
+    pair = _numbers(left, right, (SSN_AREAS * SSN_GROUPS, SSN_SERIALS), "ssn", key, rounds)
+
+    def spelled(pair: Column) -> Column:
+        place = F.floor(pair["left"] / SSN_GROUPS)
+        area = F.when(place >= 665, place + 2).otherwise(place + 1)
+        parts = ((area, 3), (pair["left"] % SSN_GROUPS + 1, 2), (pair["right"] + 1, 4))
+        return F.concat(*[F.lpad(value.cast("string"), width, "0") for value, width in parts])
+
+    return _let(pair, spelled)
+
+
+def _ten_digits(digits: Column, key: str, rounds: int) -> Column:
+    """Ten digits of which the first stays below 2, or stays 2 or more, which telephone numbers begin with."""
+    half = 100_000
+    left, right = F.substr(digits, F.lit(1), F.lit(5)).cast("bigint"), F.substr(digits, F.lit(6), F.lit(5)).cast("bigint")
+    low = F.lit(20_000)
+
+    def spelled(shift: Column | int):
+        return lambda pair: F.concat(
+            *[F.lpad(value.cast("string"), 5, "0") for value in (pair["left"] + shift, pair["right"])]
+        )
+
+    real = _let(_numbers(left - low, right, (80_000, half), "phone", key, rounds), spelled(low))
+    other = _let(_numbers(left, right, (20_000, half), "phone|other", key, rounds), spelled(0))
+    return F.when(left >= low, real).otherwise(other)
 
 
 def _number(old: Column, digits: Column, key: str, rounds: int) -> Column:
-    """What stands before the last ten digits stays in the North American form; otherwise up to two digits of the country
-    code, or the leading zero, stay. The other digits are permuted, among numbers of the same length.
+    """What stands before the last ten digits stays in the North American form and before ten digits alone; otherwise up
+    to two digits of the country code, or the leading zero, stay. The other digits are permuted, among numbers of the
+    same length.
     """
-    american = F.rlike(old, F.lit(r"(?:^|[ .-]|\+\d{1,3})(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}$")) & (F.length(digits) >= 10)
+    american = F.rlike(
+        old, F.lit(r"(?:^|[ .-]|\+\d{1,3})(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}$|^\d{10}$")
+    ) & (F.length(digits) >= 10)
     code = (
         F.when(american, F.length(digits) - 10)
         .when(F.startswith(old, F.lit("+")), F.when(F.rlike(digits, F.lit("^[17]")), 1).otherwise(2))
@@ -308,7 +443,9 @@ def _number(old: Column, digits: Column, key: str, rounds: int) -> Column:
         code,
         lambda code: F.concat(
             F.substr(digits, F.lit(1), code),
-            _characters(F.substr(digits, code + 1, F.length(digits)), "phone", key, rounds),
+            F.when(american, _ten_digits(F.substr(digits, code + 1, F.lit(10)), key, rounds)).otherwise(
+                _characters(F.substr(digits, code + 1, F.length(digits)), "phone", key, rounds)
+            ),
         ),
     )
 
