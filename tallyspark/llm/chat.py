@@ -42,12 +42,33 @@ def text_part(text: Column) -> Column:
     return F.array(part).cast(PART_TYPE)
 
 
-def _visit(part: Column) -> Column:
-    """What a part becomes in the flat text."""
+def _visited(part: Column, place: Column) -> Column:
+    """What a part becomes in the flat text, and what is told of it."""
     flat = escape(F.coalesce(part["text"], F.lit("")))
     for kind in PART_TOKENS:
         flat = F.when(part["type"] == kind, F.lit(f"<|{kind}|>")).otherwise(flat)
-    return flat
+    return F.struct(
+        flat.alias("flat"), place.alias("part"), part["type"].alias("kind"), part["ref"].alias("ref"),
+        _expanded(part).alias("tokens"),
+    )
+
+
+def _joined(pieces: Column) -> Column:
+    """Pieces without empty ones, so that what stands together is escaped as if it were one text.
+
+    Parts are escaped one by one; only a ``<`` at the end of one and a ``|`` at the start of the next can make a mark.
+    """
+
+    def bordered(pieces: Column) -> Column:
+        def one(piece: Column, place: Column) -> Column:
+            before = F.coalesce(F.get(pieces, place - 1)["flat"], F.lit(""))
+            meets = F.endswith(before, F.lit("<")) & F.startswith(piece["flat"], F.lit("|"))
+            return piece.withField("flat", F.when(meets, F.concat(F.lit(_SLASH), piece["flat"])).otherwise(piece["flat"]))
+
+        return F.transform(pieces, one)
+
+    kept = F.filter(pieces, lambda piece: piece["flat"] != "")
+    return F.element_at(F.transform(F.array(kept), bordered), 1)
 
 
 def _expanded(part: Column) -> Column:
@@ -64,7 +85,7 @@ def format_chat(
     """One row per conversation: ``conv_id, n_turns, formatted, loss_spans, attachments, attachment_tokens``.
 
     A turn is ``<|im_start|>role``, a line feed, its parts in order, ``<|im_end|>`` and a line feed. Text parts are
-    escaped reversibly; image, audio and document parts become one placeholder each. ``loss_spans`` are the places
+    escaped reversibly, neighbours like one text; image, audio and document parts become one placeholder each. ``loss_spans`` are the places
     (start, length in code points) of the bodies of ``loss_role``; ``attachments`` lists turn, part, kind, reference,
     place of the placeholder within its turn's body and expanded tokens, with the usual count of its kind where none
     is given. Parts of any other type, null included, are text.
@@ -77,22 +98,28 @@ def format_chat(
     parts = F.filter(F.coalesce(F.col(parts_col).cast(PART_TYPE), F.array().cast(PART_TYPE)), lambda p: p.isNotNull())
     role = F.coalesce(F.col(role_col), F.lit(""))
     flat = turns.select(
-        F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), role.alias("role"), parts.alias("parts")
+        F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), role.alias("role"),
+        _joined(F.transform(parts, _visited)).alias("pieces"),
     ).withColumns(
         {
-            "body": F.array_join(F.transform("parts", _visit), ""),
+            "body": F.array_join(F.transform("pieces", lambda one: one["flat"]), ""),
             "found": F.filter(
                 F.transform(
-                    "parts",
-                    lambda part, place: F.struct(
-                        place.alias("part"), part["type"].alias("kind"), part["ref"].alias("ref"),
-                        _expanded(part).alias("tokens"),
-                        F.length(
-                            F.array_join(F.transform(F.slice(F.col("parts"), F.lit(1), place), _visit), "")
-                        ).alias("at"),
+                    "pieces",
+                    lambda one, place: F.when(
+                        one["kind"].isin(*PART_TOKENS),
+                        F.struct(
+                            one["part"].alias("part"), one["kind"].alias("kind"), one["ref"].alias("ref"),
+                            one["tokens"].alias("tokens"),
+                            F.length(
+                                F.array_join(
+                                    F.transform(F.slice("pieces", F.lit(1), place), lambda before: before["flat"]), ""
+                                )
+                            ).alias("at"),
+                        ),
                     ),
                 ),
-                lambda found: found["kind"].isin(*PART_TOKENS),
+                lambda found: found.isNotNull(),
             ),
         }
     )

@@ -32,15 +32,23 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest"
 ) -> DataFrame:
-    """The kept row of every group of equal texts, with all its columns as they were."""
+    """The kept row of every group of equal texts, with all its columns as they were, whatever their names.
+
+    Null texts are empty texts here as well, so one row of them stays, its text as it was. Of rows with the same text and
+    identifier one stays; null identifiers lose to others. An empty table gives no rows.
+    """
     names = docs.columns
+    rest = [F.col(f"`{name}`").alias(f"c{place}") for place, name in enumerate(names) if name != text_col]
     rows = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-        F.struct(*[docs[f"`{name}`"] for name in names if name != text_col], F.lit(True).alias("_row")).alias("row"),
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
+        F.struct(*rest, F.lit(True).alias("there")).alias("row"),
     )
     kept = _resolved(_labelled(rows, keep, rows.schema["row"].dataType)).filter("kept")
     return kept.select(
-        *[F.col("text").alias(name) if name == text_col else F.col("row")[name].alias(name) for name in names]
+        *[
+            F.col("text").alias(name) if name == text_col else F.col("row")[f"c{place}"].alias(name)
+            for place, name in enumerate(names)
+        ]
     )
 
 

@@ -57,3 +57,10 @@ def test_group_over_many_partitions(spark):
 def test_empty(no_docs):
     assert exact_duplicates(no_docs).count() == 0
     assert drop_exact_duplicates(no_docs).columns == no_docs.columns
+
+
+def test_any_names(spark):
+    rows = [(1, "a", 1, 2, 3, 4, 5), (2, "A", 6, 7, 8, 9, 0), (3, None, 1, 1, 1, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int, ID int, SHA int, c0 int, there int")
+    kept = drop_exact_duplicates(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == rows[1:]
