@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.operators.joins import first_per_key
+from tallyspark.operators.movements import union_all
 
 
 def upsert(
@@ -54,3 +55,24 @@ def seed_clients(clients: DataFrame, term_id: int) -> DataFrame:
     return clients.select(
         "account_id", F.lit(term_id).cast("int").alias("period_id"), F.lit("{}").alias("indicators")
     )
+
+
+def indicator_objects(
+    clients: DataFrame, updates: Mapping[str, DataFrame], key: str = "account_id", value: str = "value"
+) -> DataFrame:
+    """``account_id, indicators``: per client one VARIANT object of the values that all sources have for it.
+
+    ``updates`` map the name of an indicator to its ``(account_id, value)`` frame. All of them meet in one aggregation,
+    where a chain of updates would join the clients once per indicator. A name that a source has more than once for a
+    client takes its lowest value; null values are left out, accounts that are no clients too.
+    """
+    rows = [clients.select(key, F.lit(None).cast("string").alias("_name"), F.lit(None).cast("string").alias("_value"))]
+    for name, source in updates.items():
+        rows.append(source.select(key, F.lit(name).alias("_name"), F.col(value).cast("string").alias("_value")))
+    lowest = union_all(rows).groupBy(key, "_name").agg(F.min("_value").alias("_value"))
+    entry = F.when(F.col("_value").isNotNull(), F.struct("_name", "_value"))
+    grouped = lowest.groupBy(key).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("_map"),
+        F.max(F.col("_name").isNull()).alias("_client"),
+    )
+    return grouped.filter("_client").select(key, F.to_variant_object("_map").alias("indicators"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions import codes
@@ -116,15 +118,23 @@ def compute_returns(
 
 
 def json_breakdown(returns: DataFrame, clients: DataFrame, subaccounts: DataFrame) -> DataFrame:
-    """Clients and return by indicators kept as JSON, affiliation label and sub-account label.
+    """Clients and return by indicators kept as JSON text, affiliation label and sub-account label."""
+    return _breakdown(returns, clients, subaccounts, lambda key: F.get_json_object("indicators", f"$.{key}"))
 
-    Sums per account are taken before the clients are attached, so the join carries one row per account and
-    sub-account.
-    """
 
-    def indicator(key: str):
-        return F.get_json_object("indicators", f"$.{key}")
+def variant_breakdown(returns: DataFrame, clients: DataFrame, subaccounts: DataFrame) -> DataFrame:
+    """``json_breakdown`` of indicators kept as VARIANT, which were parsed when they were stored."""
+    return _breakdown(
+        returns, clients, subaccounts, lambda key: F.try_variant_get("indicators", f"$['{key}']", "string")
+    )
+
 
+def _breakdown(
+    returns: DataFrame, clients: DataFrame, subaccounts: DataFrame, indicator: Callable[[str], Column]
+) -> DataFrame:
+    """Sums per account are taken before the clients are attached, so the join carries one row per account and
+    sub-account.
+    """
     affiliation = (
         F.when(indicator("3") == "Asignado", "Asignado")
         .when(indicator("4") == "Pensionado", "Pensionado")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -137,6 +138,42 @@ class Warehouse:
         placed = rows.withColumn(BUCKET, _bucket_of(keys, F.col(BUCKETS))).hint("rebalance", F.col(BUCKET))
         placed.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(BUCKETS, BUCKET).parquet(path)
 
+    # ---- tables clustered by account, for joins without a shuffle
+
+    def cluster(
+        self, name: str, rows: DataFrame, key: str, count: int, partition: str | None = None, suffix: str = "clustered"
+    ) -> DataFrame:
+        """Store rows as a table clustered and sorted by a key, and read it.
+
+        Tables with the same ``count`` are joined and grouped by the key without an exchange. Spark keeps the clustering
+        in its catalog, so a later session makes the table known again by ``clustered``.
+        """
+        table = self._catalog_name(name, suffix)
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        writer = rows.write.mode("overwrite").bucketBy(count, key).sortBy(key).option("path", self.path(f"{name}__{suffix}"))
+        if partition is not None:
+            writer = writer.partitionBy(partition)
+        writer.saveAsTable(table)
+        return self.spark.table(table)
+
+    def clustered(self, name: str, key: str, count: int, partition: str | None = None, suffix: str = "clustered") -> DataFrame:
+        """A table that ``cluster`` has stored with these settings, in this session or an earlier one."""
+        table = self._catalog_name(name, suffix)
+        if not self.spark.catalog.tableExists(table):
+            path = self.path(f"{name}__{suffix}")
+            schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in self.spark.read.parquet(path).schema)
+            parts = "" if partition is None else f"PARTITIONED BY (`{partition}`)"
+            self.spark.sql(
+                f"CREATE TABLE {table} ({schema}) USING parquet {parts} CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+                f"INTO {count} BUCKETS LOCATION '{path}'"
+            )
+            if partition is not None:
+                self.spark.sql(f"MSCK REPAIR TABLE {table}")
+        return self.spark.table(table)
+
+    def _catalog_name(self, name: str, suffix: str) -> str:
+        return f"{name}_{suffix}_{hashlib.md5(self.folder.encode()).hexdigest()[:12]}"
+
 
 def _bucket_of(keys: list[str], buckets: int | Column) -> Column:
     count = buckets if isinstance(buckets, Column) else F.lit(buckets)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyspark.operators import returns
+from tallyspark.operators import changes, returns
 from tallyspark.registry.base import TERM, register, with_views
 from tallyspark.registry.valuation import BALANCE_VIEWS, BALANCES, balances
 from tallyspark.operators.valuation import value_balances
 from tallyspark.sources import roles
+from tallyspark.sources.shared import written_once
 
 COMMISSION_VIEWS = ("commission_src", "concept_subaccount")
 COMMISSION = """
@@ -147,10 +148,7 @@ def returns_positive(spark, folder):
     return return_facts(spark, folder, include_commission_only=False, positive_only=True)
 
 
-@register(
-    "json_breakdown",
-    with_views(
-        """
+BREAKDOWN = """
         SELECT json_extract_string(indicators, '$."34"') AS generation,
                json_extract_string(indicators, '$."21"') AS validity,
                CASE WHEN json_extract_string(indicators, '$."3"') = 'Asignado' THEN 'Asignado'
@@ -165,12 +163,10 @@ def returns_positive(spark, folder):
                      || CASE WHEN c_acctbal > 5000 THEN 'Asignado' ELSE 'Afiliado' END || '"'
                      || CASE WHEN c_acctbal < 0 THEN ', "4": "Pensionado"' ELSE '' END || '}' AS indicators
               FROM customer) c ON c.account_id = r.account_id
-        GROUP BY 1, 2, 3, 4, 5
-        """,
-        *RETURN_VIEWS,
-        **RETURN_STEPS,
-    ),
-)
+        GROUP BY 1, 2, 3, 4, 5"""
+
+
+@register("json_breakdown", with_views(BREAKDOWN, *RETURN_VIEWS, **RETURN_STEPS))
 def json_breakdown(spark, folder):
     balance = F.col("c_acctbal")
     clients = roles.table(spark, folder, "customer").select(
@@ -182,3 +178,18 @@ def json_breakdown(spark, folder):
         ).alias("indicators"),
     )
     return returns.json_breakdown(return_facts(spark, folder), clients, roles.subaccount_type(spark, folder))
+
+
+@register("variant_breakdown", with_views(BREAKDOWN, *RETURN_VIEWS, **RETURN_STEPS))
+def variant_breakdown(spark, folder):
+    """The breakdown from indicators of four sources, merged in one pass and stored as VARIANT."""
+    customer = roles.table(spark, folder, "customer").withColumnRenamed("c_custkey", "account_id")
+    balance = F.col("c_acctbal")
+    sources = {
+        "34": customer.select("account_id", F.col("c_mktsegment").alias("value")),
+        "21": customer.select("account_id", F.lit("V").alias("value")),
+        "3": customer.select("account_id", F.when(balance > 5000, "Asignado").otherwise("Afiliado").alias("value")),
+        "4": customer.filter(balance < 0).select("account_id", F.lit("Pensionado").alias("value")),
+    }
+    stored = written_once(changes.indicator_objects(customer.select("account_id"), sources), "indicators")
+    return returns.variant_breakdown(return_facts(spark, folder), stored, roles.subaccount_type(spark, folder))

@@ -244,6 +244,17 @@ def statement_front_from_sums(spark, folder):
     ).drop("created_at")
 
 
+@register("statement_front_clustered", with_views("SELECT * FROM front", *VIEWS, **STEPS))
+def statement_front_clustered(spark, folder):
+    """The front over returns and formats that are stored clustered by account."""
+    store = Warehouse(spark, new_table_path(spark, "clustered"))
+    facts = store.cluster("return_fact", roles.return_fact(spark, folder), "account_id", 8, "period_id")
+    of_clients = store.cluster("chosen", chosen(spark, folder), "account_id", 8)
+    return statements.statement_front(
+        facts, of_clients, formats(spark, folder), roles.front_line(spark, folder), roles.period(spark, folder), TERM
+    ).drop("created_at")
+
+
 @register("statement_header", with_views("SELECT * FROM header", *VIEWS, **STEPS))
 def statement_header(spark, folder):
     return products(spark, folder).header.drop("created_at")

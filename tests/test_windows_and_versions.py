@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.operators import statements
+from tallyspark.operators import changes, statements
 from tallyspark.operators.reports import load_summary
 from tallyspark.operators.terms import Term
 from tallyspark.plans import running_sums
@@ -133,3 +133,54 @@ def test_row_limit_of_a_load(spark, tmp_path):
     assert tables.transfer(spark, source, target, term_id=2, limit=0) == 0
     assert tables.read_table(spark, source, 6).count() == 6
     assert tables.transfer(spark, source, target, term_id=1) == 25
+
+
+# ---- tables clustered by account
+
+def test_clustered_tables_join_without_an_exchange(spark, setting, tmp_path):
+    """Neither the returns nor the formats are shuffled by account: not for the join, and not for the sums after it."""
+    returns, chosen, formats, lines, periods = setting
+    store = Warehouse(spark, str(tmp_path))
+    facts = store.cluster("facts", returns, "account_id", 4, "period_id")
+    of_clients = store.cluster("chosen", chosen, "account_id", 4)
+    text = io.StringIO()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = facts.join(of_clients, "account_id").groupBy("account_id", "format_id", "subaccount_id").agg(F.sum("credit"))
+        with contextlib.redirect_stdout(text):
+            joined.explain("simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in text.getvalue() and "SortMergeJoin" in text.getvalue()
+    got = statements.statement_front(facts, of_clients, formats, lines, periods, TERM)
+    assert rows_of(got) == rows_of(statements.statement_front(returns, chosen, formats, lines, periods, TERM))
+
+
+def test_clustered_tables_are_found_again(spark, setting, tmp_path):
+    returns = setting[0]
+    store = Warehouse(spark, str(tmp_path))
+    store.cluster("facts", returns, "account_id", 4, "period_id")
+    spark.sql(f"DROP TABLE {store._catalog_name('facts', 'clustered')}")  # as in another session
+    again = store.clustered("facts", "account_id", 4, "period_id")
+    assert again.count() == returns.count()
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        again.groupBy("account_id").agg(F.sum("credit")).explain("simple")
+    assert "Exchange" not in text.getvalue()
+    smaller = store.cluster("facts", returns.filter("period_id = 1"), "account_id", 2)
+    assert smaller.count() == returns.filter("period_id = 1").count()
+
+
+# ---- indicators
+
+def test_indicators_are_merged_into_one_object(spark):
+    clients = spark.createDataFrame([(1,), (2,), (3,)], "account_id long")
+    updates = {
+        "3": spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (9, "x")], "account_id long, value string"),
+        "odd key'": spark.createDataFrame([(1, 5), (2, 7)], "account_id long, value int"),
+    }
+    found = changes.indicator_objects(clients, updates)
+    assert found.schema["indicators"].dataType.simpleString() == "variant"
+    texts = {row.account_id: row.text for row in found.select("account_id", F.to_json("indicators").alias("text")).collect()}
+    assert texts == {1: '{"3":"a","odd key\'":"5"}', 2: '{"odd key\'":"7"}', 3: "{}"}
+    assert changes.indicator_objects(clients.limit(0), updates).count() == 0
