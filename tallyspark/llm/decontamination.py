@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WINDOW_WORDS = 10
-MAX_SET = 50_000
+BITS_PER_WINDOW = 64
+MOST_LONGS = 1 << 21  # of the bit set that every task holds: 16 MB at most, whatever the benchmark
 
 
 def word_list(text: Column) -> Column:
@@ -38,7 +41,7 @@ def benchmark_windows(
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, id_col: str = "doc_id", text_col: str = "text",
-    max_set: int = MAX_SET,
+    most_longs: int = MOST_LONGS,
 ) -> DataFrame:
     """Per document: ``doc_id, n_words, n_hit, n_items, items, contaminated``.
 
@@ -46,13 +49,13 @@ def contamination(
     rows and repeated or null identifiers give one row each; an empty benchmark hits nothing.
     """
     windows = written_once(benchmark_windows(benchmark, size), "windows")
-    found = _with_hits(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), windows, max_set)
-    return _verified(found.select("uid", "doc_id", "n_words", "hits"), windows, max_set).drop("uid", "spans")
+    found = _with_hits(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), windows, most_longs)
+    return _verified(found.select("uid", "doc_id", "n_words", "hits"), windows).drop("uid", "spans")
 
 
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, remove: str = "documents", size: int = WINDOW_WORDS,
-    text_col: str = "text", max_set: int = MAX_SET,
+    text_col: str = "text", most_longs: int = MOST_LONGS,
 ) -> DataFrame:
     """The documents with all their columns, without contaminated documents or (``remove='spans'``) without hit words.
 
@@ -63,10 +66,10 @@ def decontaminate(
         raise ValueError(f"remove must be documents or spans, not {remove}")
     windows = written_once(benchmark_windows(benchmark, size), "windows")
     rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
-    stored = written_once(_with_hits(rows.withColumn("text", F.col("row")[text_col]), windows, max_set), "hits")
+    stored = written_once(_with_hits(rows.withColumn("text", F.col("row")[text_col]), windows, most_longs), "hits")
     clean = stored.filter(F.size("hits") == 0).select("row")
     dirty = stored.filter(F.size("hits") > 0)
-    marked = _verified(dirty.select("uid", F.lit(None).cast("bigint").alias("doc_id"), "n_words", "hits"), windows, max_set)
+    marked = _verified(dirty.select("uid", F.lit(None).cast("bigint").alias("doc_id"), "n_words", "hits"), windows)
     joined = dirty.select("uid", "row").join(marked.select("uid", "n_hit", "spans"), "uid")
     if remove == "documents":
         joined = joined.filter("n_hit = 0")
@@ -77,49 +80,81 @@ def decontaminate(
     return clean.unionByName(rest).select(*[F.col("row")[name].alias(name) for name in docs.columns])
 
 
-def _with_hits(rows: DataFrame, windows: DataFrame, max_set: int) -> DataFrame:
-    """Rows plus ``uid``, ``n_words`` and ``hits``: windows of the text whose hash is in the set of the benchmark.
+def _probes(value: Column, longs: int) -> list[Column]:
+    """Two places in a set of so many 64-bit numbers, a power of two, from the two halves of a hash."""
+    last = F.lit(64 * longs - 1).cast("bigint")
+    return [value.bitwiseAND(last), F.shiftrightunsigned(value, 32).bitwiseAND(last)]
+
+
+def window_bits(windows: DataFrame, longs: int) -> Column:
+    """The hash set of the windows as an array of numbers whose bits are set, a constant of the query."""
+    places = windows.select(F.explode(F.array(*_probes(F.xxhash64("window"), longs))).alias("place"))
+    number, bit = F.shiftright("place", 6), F.col("place").bitwiseAND(F.lit(63)).cast("int")
+    set_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    numbers = [0] * longs
+    for row in places.groupBy(number.alias("number")).agg(F.bit_or(set_bit).alias("bits")).toLocalIterator():
+        numbers[row.number] = row.bits  # as many as the set has numbers, at most
+    return F.from_json(F.lit(json.dumps(numbers)), "array<bigint>")
+
 
-    The set goes to every task as a literal of at most ``max_set`` hashes. Beyond that bound every window of the
-    lengths in use is a hit to be verified, and the verifying join shuffles instead of broadcasting.
+def _with_hits(rows: DataFrame, windows: DataFrame, most_longs: int) -> DataFrame:
+    """Rows plus ``uid``, ``n_words`` and ``hits``: windows of the text whose hash may be in the set of the benchmark.
+
+    The set goes to every task as bits: 64 for each window of the benchmark, and never more than ``most_longs`` numbers.
+    Every window of a text is looked up at two bits; what is found is verified by its words in a join. A benchmark too
+    large for the bits gives more to verify, not another way.
     """
-    lengths = sorted(row.length for row in windows.select("length").distinct().collect())  # one per length up to size
-    hashed = windows.select("length", F.xxhash64("window").alias("hash"))
-    numbers = {length: [] for length in lengths}
-    bounded = windows.count() <= max_set
-    if bounded:
-        for row in hashed.distinct().toLocalIterator():
-            numbers[row.length].append(row.hash)
+    known = windows.agg(F.count(F.lit(1)), F.array_sort(F.collect_set("length"))).first()  # lengths: up to the size
+    longs = 1
+    while longs < most_longs and longs * 64 < known[0] * BITS_PER_WINDOW:
+        longs *= 2
+    bits = window_bits(windows, longs)
+
+    def found(value: Column) -> Column:
+        tests = [
+            F.getbit(
+                F.element_at(bits, (F.shiftright(place, 6) + 1).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")
+            ) == 1
+            for place in _probes(value, longs)
+        ]
+        return tests[0] & tests[1]
+
     listed = rows.withColumn("words", word_list(F.col("text"))).withColumn("n_words", F.size("words").cast("bigint"))
     hits = F.array().cast("array<struct<at:int,length:int,window:array<string>>>")
-    for length in lengths:
-        starts = f"CASE WHEN n_words >= {length} THEN sequence(1, size(words) - {length - 1}) ELSE array() END"
-        test = "true"
-        if bounded:
-            test = f"xxhash64(slice(words, i, {length})) IN ({', '.join(f'{number}L' for number in numbers[length])})"
-        hits = F.concat(
-            hits,
-            F.expr(
-                f"transform(filter({starts}, i -> {test}), i -> named_struct('at', i, 'length', {length}, "
-                f"'window', slice(words, i, {length})))"
-            ),
+    for length in known[1]:
+        starts = F.when(F.col("n_words") >= length, F.sequence(F.lit(1), F.size("words") - (length - 1))).otherwise(
+            F.array().cast("array<int>")
         )
+        candidates = F.filter(_hashed(starts, length), lambda one: found(one["hash"]))
+        hits = F.concat(hits, F.transform(candidates, _told(length)))
     return listed.withColumns({"hits": hits, "uid": F.monotonically_increasing_id()}).drop("words", "text")
 
 
-def _verified(found: DataFrame, windows: DataFrame, max_set: int) -> DataFrame:
+def _hashed(starts: Column, length: int) -> Column:
+    return F.transform(
+        starts, lambda at: F.struct(at.alias("at"), F.xxhash64(F.slice("words", at, length)).alias("hash"))
+    )
+
+
+def _told(length: int):
+    def told(one: Column) -> Column:
+        return F.struct(
+            one["at"].alias("at"), F.lit(length).alias("length"), F.slice("words", one["at"], length).alias("window")
+        )
+
+    return told
+
+
+def _verified(found: DataFrame, windows: DataFrame) -> DataFrame:
     """Compare the words of each hit with those of the windows, then join overlapping hits of a document."""
     hits = found.select("uid", "doc_id", "n_words", F.explode_outer("hits").alias("hit")).select(
         "uid", "doc_id", "n_words", "hit.at", "hit.length", "hit.window"
     )
-    side = windows.select("window", "items")
-    if windows.count() <= max_set:
-        side = F.broadcast(side)
-    checked = hits.join(side, "window", "left")
+    checked = hits.join(windows.select("window", "items"), "window", "left")
     true_hit = F.when(F.col("items").isNotNull(), F.struct("at", "length"))
-    merged = checked.groupBy("uid", "doc_id", "n_words").agg(
-        F.array_sort(F.collect_list(true_hit)).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    single = checked.select("uid", "doc_id", "n_words", true_hit.alias("span"), F.explode_outer("items").alias("item"))
+    merged = single.groupBy("uid", "doc_id", "n_words").agg(  # sets: items of one template do not multiply them
+        F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.collect_set("item")).alias("items")
     )
     covered = F.aggregate(
         "spans",

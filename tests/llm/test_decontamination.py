@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from tallyspark.llm.decontamination import contamination, decontaminate
 
 ITEMS = [
@@ -41,8 +43,8 @@ def tables(spark):
 def test_as_brute_force(spark):
     docs, items = tables(spark)
     want = sorted(((key, *brute(ITEMS, text)) for key, text in TEXTS), key=str)
-    for bound in (50_000, 1):  # 1: more windows than the broadcast set may hold
-        found = contamination(docs, items, max_set=bound).collect()
+    for bound in (1 << 21, 1):  # 1: more windows than the bits can tell apart
+        found = contamination(docs, items, most_longs=bound).collect()
         assert sorted(((row.doc_id, row.n_words, row.n_hit, row["items"]) for row in found), key=str) == want
         assert all(row.contaminated == (row.n_hit > 0) and row.n_items == len(row["items"]) for row in found)
 
@@ -63,3 +65,24 @@ def test_empty(spark, no_docs):
     assert contamination(no_docs, items).count() == 0
     assert contamination(docs, items.limit(0)).filter("contaminated").count() == 0
     assert decontaminate(docs, items.limit(0)).count() == len(TEXTS)
+
+
+def test_same_plan_at_any_size_of_the_benchmark(spark):
+    """A thousand and half a million windows: the same operators, and no hit is lost or made up."""
+    docs = spark.range(40).select(
+        F.col("id").alias("doc_id"),
+        F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(30)), lambda at: F.concat(F.lit("w"), F.col("id") * 1000 + at))).alias("text"),
+    )
+    shapes = []
+    for count in (1_000, 500_000):
+        items = spark.range(count).select(
+            F.col("id").alias("item_id"),
+            F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(9)), lambda at: F.concat(F.lit("w"), F.col("id") * 10 + at))).alias("text"),
+        )
+        found = contamination(docs, items)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        shapes.append(re.findall(r"^[ :+-]*([A-Z]\w+)", plan, re.M))
+        hit = {row.doc_id: (row.n_hit, row.n_items) for row in found.collect()}
+        # a document begins with item 100 * id, and holds the two after it and no more whole ones
+        assert all(one == ((30, 3) if 100 * key + 2 < count else (0, 0)) for key, one in hit.items())
+    assert shapes[0] == shapes[1]
