@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WINDOW_WORDS = 10
 BITS_PER_WINDOW = 64
+PROBES = 4  # 1 in 65,000 windows that are not in the benchmark has all bits set
 MOST_LONGS = 1 << 21  # of the bit set that every task holds: 16 MB at most, whatever the benchmark
 
 
@@ -81,9 +84,10 @@ def decontaminate(
 
 
 def _probes(value: Column, longs: int) -> list[Column]:
-    """Two places in a set of so many 64-bit numbers, a power of two, from the two halves of a hash."""
+    """Places in a set of so many 64-bit numbers, a power of two: steps of one half of a hash from the other."""
     last = F.lit(64 * longs - 1).cast("bigint")
-    return [value.bitwiseAND(last), F.shiftrightunsigned(value, 32).bitwiseAND(last)]
+    start, step = value.bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(value, 32)
+    return [(start + turn * step).bitwiseAND(last) for turn in range(PROBES)]
 
 
 def window_bits(windows: DataFrame, longs: int) -> Column:
@@ -101,7 +105,7 @@ def _with_hits(rows: DataFrame, windows: DataFrame, most_longs: int) -> DataFram
     """Rows plus ``uid``, ``n_words`` and ``hits``: windows of the text whose hash may be in the set of the benchmark.
 
     The set goes to every task as bits: 64 for each window of the benchmark, and never more than ``most_longs`` numbers.
-    Every window of a text is looked up at two bits; what is found is verified by its words in a join. A benchmark too
+    Every window of a text is looked up at four bits; what is found is verified by its words in a join. A benchmark too
     large for the bits gives more to verify, not another way.
     """
     known = windows.agg(F.count(F.lit(1)), F.array_sort(F.collect_set("length"))).first()  # lengths: up to the size
@@ -117,7 +121,7 @@ def _with_hits(rows: DataFrame, windows: DataFrame, most_longs: int) -> DataFram
             ) == 1
             for place in _probes(value, longs)
         ]
-        return tests[0] & tests[1]
+        return reduce(and_, tests)
 
     listed = rows.withColumn("words", word_list(F.col("text"))).withColumn("n_words", F.size("words").cast("bigint"))
     hits = F.array().cast("array<struct<at:int,length:int,window:array<string>>>")

@@ -295,6 +295,8 @@ def repair_conversations(
     but one are duplicates. Null roles and texts are empty: such a text is blank, such a role must be replaced. Rows
     with a null conversation are one conversation. Other columns are not read. An empty table gives no rows.
 
+    Texts are stored and take no part in the sorting; they move once, to the edits of their rows.
+
     A conversation is cut into segments of 256 turns. For each the agenda finds the lightest edits from every state
     before it to every state after it; a second agenda joins up to 256 of those, as often as the longest conversation
     needs. So no task holds a whole conversation, however long; only the audit is one string per conversation.
@@ -302,15 +304,16 @@ def repair_conversations(
     columns = [F.col(f"`{conv_col}`").alias("conv_id"), F.col(f"`{turn_col}`").alias("turn")]
     for name, to in ((role_col, "role"), (text_col, "text")):
         columns.append(F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")).alias(to))
-    digest = F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256)
-    rows = number_rows(
-        turns.select(*columns).withColumn("digest", digest),
+    stored = written_once(turns.select(*columns, F.monotonically_increasing_id().alias("row")), "turn-texts")
+    light = number_rows(
+        stored.select(
+            "conv_id", "turn", "row",
+            F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256).alias("digest"),
+            F.substring("role", 1, 1).alias("initial"), blank(F.col("text")).alias("blank"),
+            truncated(F.col("text")).alias("truncated"),
+        ),
         [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("digest")], "place",
     )
-    light = rows.select(
-        "conv_id", "turn", "place", "digest", F.substring("role", 1, 1).alias("initial"),
-        blank(F.col("text")).alias("blank"), truncated(F.col("text")).alias("truncated"),
-    )
     seen = light.groupBy(F.col("conv_id").alias("of"), F.col("digest").alias("same")).agg(F.min("place").alias("earliest"))
     told = light.join(seen, light.conv_id.eqNullSafe(seen.of) & (light.digest == seen.same)).select(
         "conv_id", "turn", "place", "initial",
@@ -368,7 +371,8 @@ def repair_conversations(
     )
     edits = whole.mapInArrow(_edits, _EDIT_TYPE)
     text = F.when(F.col("edit") == "I", "").otherwise(F.col("text"))
-    repaired = edits.join(rows.drop("digest"), "place").select(
+    placed = edits.join(light.select("place", "conv_id", "turn", "row"), "place")
+    repaired = placed.join(stored.select("row", "role", "text"), "row").select(
         "talk", "conv_id", "place", "slot", F.when(F.col("edit") != "I", F.col("turn")).alias("turn"),
         F.coalesce("new_role", "role").alias("role"), text.alias("text"), "edit",
     )
