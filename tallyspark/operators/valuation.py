@@ -180,52 +180,74 @@ def sliced(history: DataFrame, slices: DataFrame, ts: str = "settled_at") -> Dat
     return dated.join(days, "_day").filter(inside).select(*history.columns, "slice")
 
 
-def latest_units_by_slice(history: DataFrame, slices: DataFrame, salts: int = SALTS) -> DataFrame:
+def units_by_moment(history: DataFrame) -> DataFrame:
+    """Units summed per account, fund, sub-account and moment, stored: what balances of many dates read again.
+
+    Rows are summed where they are read, so a key with most rows of the table at one moment costs one row per task, and
+    one with many moments is spread by them.
+    """
+    return written_once(history.groupBy(*BALANCE_KEYS, "settled_at").agg(F.sum("units").alias("units")), "units")
+
+
+def latest_units_by_slice(units: DataFrame, slices: DataFrame) -> DataFrame:
     """Units of the latest day of each key up to every cutoff: ``latest_units`` of all slices in one pass.
 
-    ``slice, until`` are the first and last slice for which the row is the latest. As in ``latest_units``, rows are cut
-    down to the last day within (key, slice, salt) where they are read, and summed before the last ranking, so a key
-    with most rows of the table is spread. The next slice of a key is looked up among its slices, not its rows.
+    ``units`` has one row per key and moment. ``slice, until`` are the first and last slice for which the row is the
+    latest. Rows are cut down to the last day within (key, slice) where they are read. The next slice of a key is the
+    smallest among its later ones, a running minimum from the last slice down.
     """
-    keys = [*BALANCE_KEYS, "slice"]
-    in_scope = sliced(history.select(*BALANCE_KEYS, "settled_at", "units"), slices).withColumn(
-        "_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts))
-    )
-    summed = (
-        _latest_day(in_scope, [*keys, "_salt"], "settled_at")
-        .groupBy(*keys, "settled_at")
-        .agg(F.round(F.sum("units"), 6).cast("decimal(18,6)").alias("units"))
-    )
-    latest = written_once(_latest_day(summed, keys, "settled_at"), "latest")
+    dated = sliced(units.select(*BALANCE_KEYS, "settled_at", "units"), slices)
+    latest = _latest_day(dated, [*BALANCE_KEYS, "slice"], "settled_at")
     newest = slices.agg(F.max("slice")).scalar()
-    following = F.lead("slice").over(Window.partitionBy(*BALANCE_KEYS).orderBy("slice"))
-    spans = latest.select(*keys).distinct().select(
-        *[F.col(key).alias(f"_{key}") for key in keys], F.coalesce(following - 1, newest).alias("until")
+    later = Window.partitionBy(*BALANCE_KEYS).orderBy(F.col("slice").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    return latest.select(
+        *BALANCE_KEYS, "slice", "settled_at", F.round("units", 6).cast("decimal(18,6)").alias("units"),
+        F.coalesce(F.min("slice").over(later) - 1, newest).alias("until"),
     )
-    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
-    return latest.join(spans, reduce(and_, same)).select(*latest.columns, "until")
+
+
+def prices_by_slice(subaccounts: DataFrame, prices: DataFrame, terms: DataFrame, slices: DataFrame) -> DataFrame:
+    """One row per fund and sub-account: ``told``, an array over all slices of the priced terms of each.
+
+    Prices as of all dates come from one as-of join of dates and prices. The size is that of funds, sub-accounts and
+    terms, whatever the history holds; it is stored, so that its size is known when it is joined.
+    """
+    dated = terms.join(slices, "cutoff").select("period_id", "slice", F.col("price_date").alias("_asked"))
+    dates = terms.agg(F.collect_set("price_date")).scalar()  # one date a term
+    asked = prices.select("fund_id", "regime_id").distinct().withColumn("_asked", F.explode(dates))
+    priced = asof_join(asked, prices, ["fund_id", "regime_id"], "_asked", "price_date", ["price"])
+    by_subaccount = priced.filter("price IS NOT NULL").join(subaccounts.select("subaccount_id", "regime_id"), "regime_id")
+    term = F.struct("period_id", "price_date", "price")
+    by_slice = (
+        by_subaccount.join(dated, "_asked")
+        .groupBy("fund_id", "subaccount_id", "slice").agg(F.collect_list(term).alias("terms"))
+        .groupBy("fund_id", "subaccount_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("slice", "terms"))).alias("of"))
+    )
+    every = by_slice.crossJoin(slices.agg(F.sequence(F.min("slice"), F.max("slice")).alias("every")))
+    nothing = F.slice(F.map_values("of")[0], 1, 0)
+    told = F.transform("every", lambda one: F.coalesce(F.col("of")[one], nothing))
+    return written_once(every.select("fund_id", "subaccount_id", told.alias("told")), "prices")
 
 
 def balances_of_terms(
-    history: DataFrame, subaccounts: DataFrame, prices: DataFrame, terms: DataFrame, kind: str = BALANCE_KIND
+    history: DataFrame, subaccounts: DataFrame, prices: DataFrame, terms: DataFrame, kind: str = BALANCE_KIND,
+    summed: bool = False,
 ) -> DataFrame:
     """``value_balances`` of every term at once: ``terms`` has ``period_id, cutoff, price_date``.
 
-    The history is read once, whatever the number of terms; each balance is then told for all terms up to the next one
-    of its key, which is the size of the result. Prices as of all dates come from one as-of join of dates and prices.
+    The history is read once, whatever the number of terms; with ``summed`` it is what ``units_by_moment`` made of it.
+    Each balance meets the prices of its fund and sub-account once and is then told for all terms up to the next one of
+    its key, which is the size of the result: no row of the result is joined or shuffled.
     """
     terms = written_once(terms.select("period_id", "cutoff", "price_date"), "terms")
     slices = written_once(cutoff_slices(terms), "slices")
-    latest = latest_units_by_slice(history, slices)
-    told = latest.withColumn("slice", F.explode(F.sequence("slice", "until"))).drop("until")
-    dated = terms.join(slices, "cutoff").select("period_id", "slice", F.col("price_date").alias("_asked"))
-    dates = terms.agg(F.collect_set("price_date")).scalar()  # one date a term
-    asked = prices.select("fund_id", "regime_id").distinct().withColumn("_asked", F.explode(dates))
-    priced = asof_join(asked, prices, ["fund_id", "regime_id"], "_asked", "price_date", ["price"])
-    by_subaccount = priced.filter("price IS NOT NULL").join(
-        subaccounts.select("subaccount_id", "regime_id"), "regime_id"
-    ).drop("regime_id")
-    return told.join(dated, "slice").join(by_subaccount, ["fund_id", "subaccount_id", "_asked"]).select(
-        "period_id", *BALANCE_KEYS, "settled_at", F.lit(kind).alias("kind"), "price_date", "units",
-        F.round(F.col("units") * F.col("price"), 2).cast("decimal(18,2)").alias("amount"),
+    latest = latest_units_by_slice(history if summed else units_by_moment(history), slices)
+    own = F.slice("told", (F.col("slice") + 1).cast("int"), (F.col("until") - F.col("slice") + 1).cast("int"))
+    told = latest.join(prices_by_slice(subaccounts, prices, terms, slices), ["fund_id", "subaccount_id"]).select(
+        *BALANCE_KEYS, "settled_at", "units", F.explode(F.flatten(own)).alias("_term")
+    )
+    return told.select(
+        "_term.period_id", *BALANCE_KEYS, "settled_at", F.lit(kind).alias("kind"), "_term.price_date", "units",
+        F.round(F.col("units") * F.col("_term.price"), 2).cast("decimal(18,2)").alias("amount"),
     )

@@ -159,9 +159,9 @@ TERM_CUTOFFS = """
       ON CAST(t.next_start AS TIMESTAMP) < h.moment"""
 
 
-def term_cutoffs(spark, folder):
+def term_cutoffs(spark, folder, history=None):
     dates = terms.term_dates(roles.period(spark, folder)).select("period_id", "next_start", "price_date")
-    return valuation.cutoff_dates(roles.balance_history(spark, folder), dates)
+    return valuation.cutoff_dates(roles.balance_history(spark, folder) if history is None else history, dates)
 
 
 @register(
@@ -199,10 +199,11 @@ def term_cutoffs_query(spark, folder):
     ),
 )
 def balances_all_periods(spark, folder):
-    """Balances of every period in one pass over the history."""
+    """Balances of every period in one pass over the history; its sums give the cut-offs as well."""
+    units = valuation.units_by_moment(roles.balance_history(spark, folder))
     return valuation.balances_of_terms(
-        roles.balance_history(spark, folder), roles.subaccount_type(spark, folder), roles.share_price(spark, folder),
-        term_cutoffs(spark, folder),
+        units, roles.subaccount_type(spark, folder), roles.share_price(spark, folder),
+        term_cutoffs(spark, folder, units), summed=True,
     )
 
 

@@ -123,3 +123,33 @@ def test_history_is_read_once_and_cut_down_first(spark, tables, tmp_path):
         valuation._latest_day(summed, [*valuation.BALANCE_KEYS, "slice"], "settled_at").explain("simple")
     assert text.getvalue().count(str(tmp_path)[:40]) <= 2 and "WindowGroupLimit" in text.getvalue()
     assert "CartesianProduct" not in text.getvalue() and "NestedLoop" not in text.getvalue()
+
+
+def test_odd_rows_of_all_terms(spark, tables):
+    """Null keys, moments and units, repeated rows, terms that share a cut-off, and the history summed beforehand."""
+    _, kinds, prices, terms = tables
+    rows = rows_of(spark, 60, 5)
+    rows += rows[:20] + [(None, *row[1:]) for row in rows[20:30]] + [(*row[:3], None, row[4]) for row in rows[30:35]]
+    rows += [(*row[:4], None) for row in rows[35:40]] + [(1, None, "F", *row[3:]) for row in rows[40:45]]
+    history = spark.createDataFrame(rows, HISTORY)
+    terms = terms.unionByName(terms.withColumn("period_id", F.col("period_id") + 10))
+    dated = valuation.cutoff_dates(history, terms)
+    together = Counter(map(tuple, valuation.balances_of_terms(history, kinds, prices, dated).collect()))
+    units = valuation.units_by_moment(history)
+    again = valuation.balances_of_terms(units, kinds, prices, valuation.cutoff_dates(units, terms), summed=True)
+    single = Counter()
+    for row in dated.collect():
+        one = valuation.value_balances(history, kinds, prices, F.lit(row.cutoff), F.lit(row.price_date))
+        single.update((row.period_id, *found) for found in map(tuple, one.collect()))
+    assert together == single and single == Counter(map(tuple, again.collect()))
+    assert {row[1] for row in single} == {None, 1, 2, 3}
+
+
+def test_rows_of_the_result_are_not_joined(spark, tables):
+    """Prices are joined to the balances before these are told for their terms, and no exchange comes after."""
+    history, kinds, prices, terms = tables
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        valuation.balances_of_terms(history, kinds, prices, valuation.cutoff_dates(history, terms)).explain("simple")
+    plan = text.getvalue()
+    assert 0 < plan.index("Generate") < min(plan.index("Join"), plan.index("Exchange"))
