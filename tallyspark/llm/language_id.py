@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SIZES = (3, 4, 5)  # bytes of UTF-8 per n-gram, word limits included
 PROFILE = 5_000  # n-grams per language, the most frequent ones of all training texts
 SLOTS = 1 << 17
 PROBES = 3
-SLICE = 1 << 20  # bytes looked at together
+SLICE = 1 << 18  # bytes looked at together
 HELD_GRAMS = 1 << 21  # different n-grams a task counts before it hands them on
+NEW_GRAMS = 1 << 19  # n-grams of a language that wait to be added to its counts
+GIVEN_GRAMS = 1 << 16  # n-grams in a batch that a task hands on
 SALTS = 16
 UNKNOWN = "und"
 
@@ -27,6 +30,18 @@ _LETTERS[128:] = np.arange(128, 256)
 _ANY_LETTER = regex.compile(r"\p{L}")
 
 
+def _pieces(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Neighbouring texts of about ``SLICE`` bytes in all and the place of the first, so that a batch of many long texts
+    costs a task no more than itself; a text longer than that comes alone."""
+    filled = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(filled):
+        before = int(filled[first - 1]) if first else 0
+        after = max(first + 1, int(np.searchsorted(filled, before + SLICE, side="right")))
+        yield first, texts.slice(first, after - first).to_pylist()
+        first = after
+
+
 def _flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased bytes of all texts with everything but letters blank, and the end of each text."""
     parts = [f" {text.lower()} ".encode("utf-8", "replace") for text in texts]
@@ -151,29 +166,35 @@ def _count(batches):
     def flush():
         for lang, parts in held.items():
             keys, seen = joined(parts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * (len(keys) + 1), pa.string()),
-                    pa.array(np.concatenate([[0], keys.astype(np.int64)]), pa.int64()),
-                    pa.array(np.concatenate([[0], seen]).astype(np.int64), pa.int64()),
-                    pa.array([texts[lang]] + [0] * len(keys), pa.int64()),
-                ],
-                names=["lang", "gram", "seen", "texts"],
-            )
+            columns = [np.append(np.int64(0), keys.astype(np.int64)), np.append(np.int64(0), seen)]
+            columns.append(np.zeros(len(keys) + 1, np.int64))
+            columns[2][0] = texts[lang]
+            for at in range(0, len(keys) + 1, GIVEN_GRAMS):
+                given = [pa.array(column[at : at + GIVEN_GRAMS], pa.int64()) for column in columns]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(given[0]), pa.string()), *given], names=["lang", "gram", "seen", "texts"]
+                )
         held.clear()
         texts.clear()
 
     for batch in batches:
-        by_lang: dict[str, list[str]] = {}
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-            by_lang.setdefault(lang, []).append(text)
-        for lang, members in by_lang.items():
-            texts[lang] = texts.get(lang, 0) + len(members)
-            parts = held.setdefault(lang, [(np.empty(0, np.uint64), np.empty(0, np.int64))])
-            parts += [np.unique(keys, return_counts=True) for keys, _ in _grams(_flat(members)[0])]
-            held[lang] = [joined(parts)]
-        if sum(len(parts[0][0]) for parts in held.values()) > HELD_GRAMS:
-            yield from flush()
+        langs = batch.column("lang").to_pylist()
+        for first, piece in _pieces(batch.column("text")):
+            by_lang: dict[str, list[str]] = {}
+            for text, lang in zip(piece, langs[first : first + len(piece)], strict=True):
+                by_lang.setdefault(lang, []).append(text)
+            for lang, members in by_lang.items():
+                texts[lang] = texts.get(lang, 0) + len(members)
+                parts = held.setdefault(lang, [(np.empty(0, np.uint64), np.empty(0, np.int64))])
+                for keys, _ in _grams(_flat(members)[0]):
+                    parts.append(np.unique(keys, return_counts=True))
+                    if sum(len(part[0]) for part in parts[1:]) > max(NEW_GRAMS, len(parts[0][0])):
+                        parts[:] = [joined(parts)]
+            if sum(len(part[0]) for parts in held.values() for part in parts) > HELD_GRAMS:
+                for parts in held.values():
+                    parts[:] = [joined(parts)]
+                if sum(len(parts[0][0]) for parts in held.values()) > HELD_GRAMS // 2:
+                    yield from flush()
     yield from flush()
 
 
@@ -181,37 +202,31 @@ def identify(docs: DataFrame, model: LanguageFilter, text_col: str = "text") ->
     """All rows and columns plus ``lang_pred`` and ``score`` (part of the n-grams that the language contains).
 
     ``und`` and 0 stand for a null text, one without a letter, and for any text where no language was learned. Where
-    languages tie, the one with more training texts wins. Only the text is looked at. Columns of the same names are
-    replaced; repeated rows are predicted alike.
+    languages tie, the one with more training texts wins. Only the text is looked at, and only it goes to Python; the
+    other columns stay where they are. Columns of the same names are replaced; repeated rows are predicted alike.
     """
     kept = [name for name in docs.columns if name not in ("lang_pred", "score")]
-    rows = docs.select(
-        F.struct(*[F.col(f"`{name}`") for name in kept]).alias("row"), F.col(text_col).cast("string").alias("text")
-    )
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def predict(batches):
+    def predict(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            asked = [i for i, text in enumerate(texts) if text is not None and _ANY_LETTER.search(text)]
-            if asked and model.languages:
-                shares = model.shares([texts[i] for i in asked])
-                best = shares.argmax(axis=0)
-                scores[asked] = shares[best, np.arange(len(asked))]
-                for i, place in zip(asked, best.tolist(), strict=True):
-                    names[i] = model.languages[place]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=["row", "lang_pred", "score"],
-            )
-
-    schema = T.StructType(
-        [rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    )
-    return rows.mapInArrow(predict, schema).select(
-        *[F.col("row")[name].alias(name) for name in kept], "lang_pred", "score"
+        for column in columns:
+            names, scores = np.full(len(column), len(model.languages)), np.zeros(len(column))
+            for first, texts in _pieces(column):
+                asked = [i for i, text in enumerate(texts) if text is not None and _ANY_LETTER.search(text)]
+                if asked and model.languages:
+                    shares = model.shares([texts[i] for i in asked])
+                    best, places = shares.argmax(axis=0), first + np.array(asked)
+                    names[places], scores[places] = best, shares[best, np.arange(len(asked))]
+            known = pa.array([*model.languages, UNKNOWN], pa.string())
+            yield pa.StructArray.from_arrays([known.take(pa.array(names)), pa.array(scores)], ["lang_pred", "score"])
+
+    # not deterministic for Spark, or a filter of the result would have every text predicted again
+    predicted = F.arrow_udf(predict, "lang_pred string, score double").asNondeterministic()
+    found = "_".join(["found", *docs.columns])  # no column's name
+    rows = docs.withColumn(found, predicted(F.col(text_col).cast("string")))
+    return rows.select(
+        *[F.col(f"`{name}`") for name in kept], *[F.col(f"`{found}`")[name].alias(name) for name in ("lang_pred", "score")]
     )
 
 
@@ -224,5 +239,4 @@ def op6_language_bitmask(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     model = learn_from(docs)
     asked = docs.select("doc_id", "text", held_out().alias("held_out"))
-    narrow = asked.withColumn("key", F.struct("doc_id", "held_out"))
-    return identify(narrow.select("key", "text"), model).select("key.doc_id", "key.held_out", "lang_pred", "score")
+    return identify(asked, model).select("doc_id", "held_out", "lang_pred", "score")

@@ -499,9 +499,9 @@ class _Join:
         def intersect(batches):
             for batch in batches:
                 kept = []
-                pairs = zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True)
+                pairs = zip(batch.column("set_a"), batch.column("set_b"), strict=True)
                 for place, (a, b) in enumerate(pairs):
-                    a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                    a, b = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
                     common = len(np.intersect1d(a, b, assume_unique=True))
                     if 100 * common >= percent * (len(a) + len(b) - common):
                         kept.append(place)

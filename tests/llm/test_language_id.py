@@ -1,9 +1,13 @@
+import contextlib
+import io
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tallyspark.llm import registry
+from tallyspark.llm import language_id, registry
 from tallyspark.llm.language_id import SIZES, LanguageFilter, _flat, _grams, held_out, identify, learn
 
 
@@ -40,6 +44,49 @@ def test_more_than_64_languages():
     assert model.masks.shape[0] == 2 and len(model.languages) == 70
 
 
+def test_long_texts_are_counted_in_pieces(monkeypatch):
+    """No more than a slice of texts, or one longer text, is looked at together, and every n-gram counts."""
+    looked_at = []
+
+    def watched(texts):
+        looked_at.append((len(texts), sum(len(text.encode()) for text in texts)))
+        return _flat(texts)
+
+    monkeypatch.setattr(language_id, "_flat", watched)
+    monkeypatch.setattr(language_id, "SLICE", 1000)
+    monkeypatch.setattr(language_id, "NEW_GRAMS", 50)
+    monkeypatch.setattr(language_id, "GIVEN_GRAMS", 7)
+    texts = ["", "Éa bc ", "long words " * 200, *[f"text of {chr(97 + n % 26)}{chr(97 + n % 7)}z" for n in range(300)]]
+    langs = ["en" if n % 3 else "de" for n in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(["", *texts]).slice(1), pa.array(langs)], names=["text", "lang"])
+    found, seen_texts = Counter(), Counter()
+    for given in language_id._count([batch]):
+        for row in given.to_pylist():
+            found[row["lang"], row["gram"].to_bytes(8, "big").lstrip(b"\0")[1:]] += row["seen"]
+            seen_texts[row["lang"]] += row["texts"]
+    want = Counter((lang, gram) for text, lang in zip(texts, langs, strict=True) for gram in plain_grams(text))
+    assert +found == want and seen_texts == Counter(langs)
+    assert len(looked_at) > 5 and all(count == 1 or size <= 1000 for count, size in looked_at)
+
+
+def test_pieces_cover_all_rows():
+    texts = pa.array([None, "", "é" * 600, None, "ab"])
+    pieces = list(language_id._pieces(pa.concat_arrays([texts] * 900)))
+    assert [text for _, piece in pieces for text in piece] == texts.to_pylist() * 900
+    assert [first for first, _ in pieces] == np.cumsum([0, *[len(piece) for _, piece in pieces]])[:-1].tolist()
+    assert len(pieces) > 2 and list(language_id._pieces(texts.slice(0, 0))) == []
+
+
+def test_only_the_text_goes_to_python(spark, odd_docs):
+    """Rows are not sent to Python and back beside their text, and a filter of the result predicts nothing again."""
+    found = identify(odd_docs, learn(odd_docs)).filter("lang_pred <> 'und' AND score >= 0.1")
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        found.explain("simple")
+    assert text.getvalue().count("ArrowEvalPython") == 1 and "MapInArrow" not in text.getvalue()
+    assert found.count() > 0
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     model = learn(odd_docs)
     found = identify(odd_docs.withColumn("score", F.lit(1)), model)
