@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.llm.components import connected_components
-from tallyspark.sources.shared import written_once
+from tallyspark.sources.shared import small_batches, written_once
 
 WORDS = 5
 PERCENT = 80
@@ -160,8 +160,9 @@ def jaccard_components(
        left lies in one component.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = written_once(_signed(rows, words), "signed")
-    join = _Join(rows, _levels(signed), words, percent)
+    with small_batches(docs.sparkSession):
+        signed = written_once(_signed(rows, words), "signed")
+        join = _Join(rows, _levels(signed), words, percent)
     labelled = join.classes.select("cid", "fp", "rep").join(join.labels(), "cid", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "cid"))
     lowest = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -280,18 +281,20 @@ class _Join:
         self.rows, self.words, self.percent = rows, words, percent
         self.levels = rows.sparkSession.sparkContext.broadcast(levels)
         self.classes = self._make_classes()
-        self.links = None
+        self.links = None  # of which the labels do not know yet
         self._labels = None
         self._search()
 
     def labels(self) -> DataFrame:
-        """``cid, component`` of the classes that have a link."""
+        """``cid, component`` of the classes that have a link; links that are new are joined to the components so far."""
+        if self.links is not None:
+            edges = self.links
+            if self._labels is not None:
+                edges = edges.union(self._labels.select("cid", "component"))
+            found = connected_components(edges)
+            self._labels, self.links = written_once(found.withColumnRenamed("vertex", "cid"), "labels"), None
         if self._labels is None:
-            spark = self.classes.sparkSession
-            if self.links is None:
-                return spark.createDataFrame([], "cid long, component long")
-            found = connected_components(self.links)
-            self._labels = written_once(found.withColumnRenamed("vertex", "cid"), "labels")
+            return self.classes.sparkSession.createDataFrame([], "cid long, component long")
         return self._labels
 
     def _make_classes(self) -> DataFrame:
@@ -351,7 +354,8 @@ class _Join:
         """
         percent = self.percent
         keyed = self.classes.select("cid", "n", F.explode("lowest").alias("key"))
-        ordered = keyed.repartition("key").sortWithinPartitions("key", "n", "cid")
+        # a range of (key, size) per task, so that a key that many sets share is divided
+        ordered = keyed.repartitionByRange("key", "n", "cid").sortWithinPartitions("key", "n", "cid")
 
         def pair(batches):
             for batch in batches:
@@ -451,7 +455,7 @@ class _Join:
         width, left = PARTNERS, pairs
         while True:
             apart = left
-            if self.links is not None:
+            if self.links is not None or self._labels is not None:
                 label = self.labels()
                 apart = (
                     left.join(label.toDF("a", "of_a"), "a", "left").join(label.toDF("b", "of_b"), "b", "left")
@@ -464,8 +468,7 @@ class _Join:
                 return
             links = written_once(self._verified(chosen.select("a", "b")), "links")
             if not links.isEmpty():
-                kept = links if self.links is None else self.links.unionByName(links)
-                self.links, self._labels = kept, None
+                self.links = links  # `labels` has taken those before
             left = ranked.filter(F.col("rank") > width).drop("rank")
             width *= 8
 

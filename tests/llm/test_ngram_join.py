@@ -2,16 +2,18 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyspark.llm import ngram_join
+from tallyspark.llm import components, ngram_join
 from tallyspark.llm.components import connected_components
 from tallyspark.llm.ngram_join import (
     SKETCH_BITS, bitmap, bounded_pairs, differing_bits_of, folded, in_order, jaccard_components, keep_one_per_component, levels_of,
     may_start, possible, prefix_length, shingles,
 )
+from tallyspark.sources.shared import BATCH_SETTING, small_batches
 
 
 def brute(rows, words=5):
@@ -128,6 +130,86 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_rounds_of_few_edges_take_few_tasks(spark, monkeypatch):
+    """A path of few edges: the tables of its rounds do not follow the number of shuffle partitions."""
+    parts = []
+
+    def counted(df, name):
+        found = written_once(df, name)
+        parts.append(len(found.inputFiles()))
+        return found
+
+    written_once = components.written_once
+    monkeypatch.setattr(components, "written_once", counted)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    for key, value in held.items():
+        spark.conf.set(key, value)
+    try:
+        edges = spark.range(500).selectExpr("id AS a", "id + 1 AS b")
+        found = dict(connected_components(edges).collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert set(found.values()) == {0} and len(found) == 501
+    assert max(parts[1:]) <= spark.sparkContext.defaultParallelism
+
+
+def test_links_are_joined_to_components_once(spark, monkeypatch):
+    """A later search starts from the components of the links before, not from all links again."""
+    given = []
+
+    def noted(edges):
+        given.append(edges.count())
+        return connected_components(edges)
+
+    monkeypatch.setattr(ngram_join, "connected_components", noted)
+    join = ngram_join._Join.__new__(ngram_join._Join)
+    join.classes, join._labels = spark.range(0), None
+    join.links = spark.range(2, 60).selectExpr("id AS a", "explode(sequence(1L, id - 1)) AS b")
+    assert {row.component for row in join.labels().collect()} == {1}
+    assert join.labels().count() == 59
+    join.links = spark.createDataFrame([(1, 0), (100, 99)], "a long, b long")
+    label = dict(join.labels().collect())
+    assert label == dict.fromkeys(range(60), 0) | {99: 99, 100: 99}
+    assert given == [58 * 59 // 2, 59 + 2]
+
+
+def test_key_of_many_sets_is_cut_in_many_tasks(spark, monkeypatch):
+    """The first look for partners has no task with all sets of a frequent key."""
+    join = ngram_join._Join.__new__(ngram_join._Join)
+    join.percent = 80
+    join.classes = spark.range(4000).selectExpr("id AS cid", "100L AS n", "array(7L) AS lowest")
+    monkeypatch.setattr(ngram_join, "NEIGHBOURS", 1)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = join._likely_pairs().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert 4000 - 9 <= pairs < 3999  # a pair is left to the full search at each limit of a task
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Sets and texts go to Python in small batches while the join runs; the session's own setting stays."""
+    def size(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    wide = spark.range(0, 6000, 1, 1).selectExpr("repeat('x', 2000) AS text")
+    with small_batches(spark):
+        seen = [row.size for row in wide.mapInArrow(size, "size long").collect()]
+    assert len(seen) > 1 and max(seen) < 5 << 20
+    assert spark.conf.get(BATCH_SETTING, None) is None
+    spark.conf.set(BATCH_SETTING, "1m")
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(BATCH_SETTING) == "1m"
+        assert spark.conf.get(BATCH_SETTING) == "1m"
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+
+
 def test_rows_with_unique_identifiers_are_kept_in_place(spark):
     rows = corpus(9, groups=6, plain=5)
     _, groups = brute(rows)
