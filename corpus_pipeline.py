@@ -18,7 +18,7 @@ from tallyspark.llm.language_id import UNKNOWN, identify, learn_from
 from tallyspark.llm.ngram_join import keep_one_per_component
 from tallyspark.llm.packing import pack
 from tallyspark.llm.registry import find_package
-from tallyspark.sources.shared import drop_intermediates, new_table_path, table_scope
+from tallyspark.sources.shared import bound_batches, drop_intermediates, new_table_path, small_batches, table_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_SHARE = 0.1  # of a document's n-grams in the language found; less is no language that was learned
@@ -62,13 +62,15 @@ def _tidy(stage, before):
     """A stage that first removes the intermediate tables of the stage before it.
 
     They are not needed any more, because that stage's result has been written and is read from there. So the disk in
-    use is that of one stage. One pipeline may run at a time in an application.
+    use is that of one stage. One pipeline may run at a time in an application. Python workers get small batches, also
+    while the result is written after this returns.
     """
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         if before is not None:
             drop_intermediates(spark, f"pipeline-{before.__name__}")
+        bound_batches(spark)
         with table_scope(f"pipeline-{stage.__name__}"):
             return stage(spark, docs, sf_dir)
 
@@ -85,8 +87,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     find_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
-    for name, stage in STAGES:
-        path = new_table_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    with small_batches(spark):
+        for name, stage in STAGES:
+            path = new_table_path(spark, f"stage-{name}")
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs
